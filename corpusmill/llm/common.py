@@ -63,11 +63,40 @@ def chunks(offsets: np.ndarray, most: int = 1 << 20):
         first = last
 
 
+def block_rows(total: np.ndarray, width: int = 1 << 14):
+    """A task's sums as rows (block, sums), without blocks of zeros."""
+    for k in range(0, len(total), width):
+        part = total[k : k + width]
+        if part.any():
+            yield pa.record_batch({"block": pa.array([k // width], pa.int32()), "sums": pa.array([part.tobytes()], pa.binary())})
+
+
+def sum_blocks(rows: DataFrame, n: int, kind=np.int64, width: int = 1 << 14) -> np.ndarray:
+    """Adds up the rows of `block_rows` from all tasks: an array of the fixed length n.
+
+    Rows of a block meet in a task that adds them one by one; the driver gets n numbers.
+    """
+
+    def add(batches):
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, data in zip(batch.column("block").to_pylist(), batch.column("sums"), strict=True):
+                part = np.frombuffer(data.as_buffer(), kind)
+                held[k] = held[k] + part if k in held else part.copy()
+        for k, part in held.items():
+            yield pa.record_batch({"block": pa.array([k], pa.int32()), "sums": pa.array([part.tobytes()], pa.binary())})
+
+    out = np.zeros(n, kind)
+    for k, data in rows.repartition("block").mapInArrow(add, "block int, sums binary").collect():
+        out[k * width : k * width + width] += np.frombuffer(data, kind)
+    return out
+
+
 _ROOT = 0x9E3779B97F4A7C15
 _POWERS: list[np.ndarray] = []
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _POWERS or len(_POWERS[0]) < n:
         size = max(n, 1 << 20)
         inverse = pow(_ROOT, -1, 1 << 64)
@@ -78,7 +107,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
-_BYTE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+BYTE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -109,10 +138,10 @@ def token_runs(raw: np.ndarray, offsets: np.ndarray, classes: np.ndarray):
     ends = np.append(at[1:], n)
     keep = kind[at] != 0
     starts, ends = at[keep], ends[keep]
-    power, inverse = _powers(n)
+    power, inverse = powers(n)
     total = np.empty(n + 1, np.uint64)
     total[0] = 0
-    np.cumsum(_BYTE[raw] * power[:n], out=total[1:])
+    np.cumsum(BYTE[raw] * power[:n], out=total[1:])
     h = mix((total[ends] - total[starts]) * inverse[starts])
     return h, starts, ends, np.searchsorted(starts, offsets)
 

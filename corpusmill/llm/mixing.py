@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from corpusmill.llm.common import table
+from corpusmill.llm.common import stash, table
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -86,9 +86,14 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, rep
 
 
 def mix(
-    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS, seed: str = SEED
+    docs: DataFrame,
+    weights: tuple[int, ...] = WEIGHTS,
+    share: float = SHARE,
+    repeats: int = REPEATS,
+    seed: str = SEED,
+    carry: list[str] | None = None,
 ) -> DataFrame:
-    """Columns of docs, with `size`, `source_size`, `target` and `copies` (0 .. repeats) added.
+    """Columns of docs (or those in `carry`, with source among them), with `size`, `source_size`, `target` and `copies` (0 .. repeats) added.
 
     Nulls: a null text has size 0; null is a source of its own, last in order. Documents
     of size 0 cost nothing and are taken as often as the queue reaches them. Rows that
@@ -96,15 +101,12 @@ def mix(
     columns named like the added ones are replaced.
     """
     added = ("size", "source_size", "target", "copies")
-    carried = [c for c in docs.columns if c not in added]
+    carried = [c for c in carry or docs.columns if c not in added]
     digest = F.md5(F.coalesce(F.col("text"), F.lit("")))
-    rows = docs.select(*carried).withColumns(
-        {
-            "size": word_count(F.col("text")),
-            "__shuffle": F.md5(F.concat_ws("/", F.lit(seed), F.col("doc_id").cast("string"), digest)),
-        }
-    )
-    n = max(1, -(-docs.count() // ROWS_PER_BUCKET))
+    shuffle = F.md5(F.concat_ws("/", F.lit(seed), F.col("doc_id").cast("string"), digest))
+    # Words are counted once; the passes below read what is written here.
+    rows = stash(docs.select(*carried, word_count(F.col("text")).alias("size"), shuffle.alias("__shuffle")), "mix")
+    n = max(1, -(-rows.count() // ROWS_PER_BUCKET))
     part = F.floor(F.conv(F.substring("__shuffle", 1, 8), 16, 10).cast("double") / float(1 << 32) * n)
     queued = running(rows, ["source"], part, [F.col("__shuffle"), F.col("size")], "size", "__queued")
     targets = source_targets(rows, weights, share, repeats).withColumnRenamed("source", "__source")
@@ -123,7 +125,7 @@ def mix(
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mix(table(spark, sf_dir, "documents"))
+    mixed = mix(table(spark, sf_dir, "documents"), carry=["doc_id", "source"])
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 

@@ -2,15 +2,34 @@
 
 from __future__ import annotations
 
-from corpusmill.llm import mixing, sharding, warc
+from corpusmill.llm import (
+    decontamination,
+    jaccard,
+    lm_scoring,
+    media,
+    mixing,
+    quality,
+    secrets,
+    sharding,
+    suffix_dedup,
+    warc,
+)
 
 QUERIES = {
+    "op1_quality": quality.op1_quality,
     "op2_sharding": sharding.op2_sharding,
+    "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
+    "op4_secrets": secrets.op4_secrets,
+    "op5_lm_scoring": lm_scoring.op5_lm_scoring,
+    "op6_media": media.op6_media,
+    "op7_jaccard_join": jaccard.op7_jaccard_join,
     "op8_mixing": mixing.op8_mixing,
+    "op9_decontamination": decontamination.op9_decontamination,
     "op10_warc": warc.op10_warc,
 }
 
 SQL = {
     "op8_mixing": mixing.OP8_SQL,
+    "op9_decontamination": decontamination.OP9_SQL,
     "op10_warc": warc.OP10_SQL,
 }
