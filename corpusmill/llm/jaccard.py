@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.llm.common import SPACE, chunks, mix, stash, table, token_runs, utf8
@@ -228,19 +228,18 @@ def _verify_all(units: DataFrame, words: int, threshold: tuple[int, int]) -> Dat
     return units.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "k long, root long, links long")
 
 
-def near_duplicates(
-    docs: DataFrame, words: int = WORDS, threshold: tuple[int, int] = (4, 5), trees: int = TREES, recall: float = RECALL
-) -> DataFrame:
-    """(doc_id, k, class_id, n_copies, n_links) for each document.
+def text_key() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+
+
+def linked_texts(docs: DataFrame, words: int, threshold: tuple[int, int], trees: int, recall: float) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, k) of each document, and (k, n_copies, low, n_links, root) of each text.
 
-    k is a hash of the text. Texts are linked where their shingle sets have a Jaccard
-    similarity of threshold[0] / threshold[1] or more. class_id is the least doc_id of the
-    documents that links and equal texts connect (null if none has an id); n_copies counts
-    the documents with this very text, n_links the different texts linked to it. Null and
-    empty texts are one text; texts without words are linked to none.
+    low is the least doc_id of the text's documents, root the least k of the texts that
+    links connect with this one.
     """
     depth = prefix_length(threshold[0] / threshold[1], trees, recall)
-    docs = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("k"), "text")
+    docs = docs.select("doc_id", text_key().alias("k"), "text")
     rows = stash(signatures(docs, words, trees, depth), "signatures")
     texts = rows.dropDuplicates(["k"])
     forest = texts.select("k", F.explode("keys").alias("key"))
@@ -270,11 +269,46 @@ def near_duplicates(
     roots = components(verified.select(F.col("k").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "k")
     text = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n_copies"), F.min("doc_id").alias("low"))
     text = text.join(links, "k", "left").join(roots, "k", "left").withColumn("root", F.coalesce("root", "k"))
-    text = stash(text, "texts")
+    text = text.withColumn("n_links", F.coalesce("n_links", F.lit(0)))
+    return rows.select("doc_id", "k"), stash(text, "texts")
+
+
+def near_duplicates(
+    docs: DataFrame, words: int = WORDS, threshold: tuple[int, int] = (4, 5), trees: int = TREES, recall: float = RECALL
+) -> DataFrame:
+    """(doc_id, class_id, n_copies, n_links) for each document.
+
+    Texts are linked where their shingle sets have a Jaccard similarity of threshold[0] /
+    threshold[1] or more. class_id is the least doc_id of the documents that links and
+    equal texts connect (null if none has an id); n_copies counts the documents with this
+    very text, n_links the different texts linked to it. Null and empty texts are one
+    text; texts without words are linked to none. Repeated rows are copies.
+    """
+    rows, text = linked_texts(docs, words, threshold, trees, recall)
     classes = text.groupBy("root").agg(F.min("low").alias("class_id"))
-    text = text.join(classes, "root").select("k", "class_id", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    return rows.select("doc_id", "k").join(text, "k").select("doc_id", "k", "class_id", "n_copies", "n_links")
+    text = text.join(classes, "root").select("k", "class_id", "n_copies", "n_links")
+    return rows.join(text, "k").drop("k")
+
+
+def keep_one(
+    docs: DataFrame, words: int = WORDS, threshold: tuple[int, int] = (4, 5), trees: int = TREES, recall: float = RECALL
+) -> DataFrame:
+    """The columns of docs for one document of each class: that with the least doc_id.
+
+    Documents without an id stay only where their class has no id; then, and among rows
+    repeated with that id, which row stays is arbitrary.
+    """
+    _, text = linked_texts(docs, words, threshold, trees, recall)
+    first = F.struct(F.col("low").isNull(), F.col("low"), F.col("k"))
+    stays = text.groupBy("root").agg(F.min(first).alias("x")).select(F.col("x.k").alias("__k"), F.col("x.low").alias("__low"))
+    return (
+        docs.withColumn("__k", text_key())
+        .join(stays, "__k")
+        .where(F.col("doc_id").eqNullSafe(F.col("__low")))
+        .dropDuplicates(["__k"])
+        .select(*docs.columns)
+    )
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents")).drop("k")
+    return near_duplicates(table(spark, sf_dir, "documents"))

@@ -124,6 +124,12 @@ def mix(
     return queued.withColumn("copies", taken.cast("int")).select(*carried, *added)
 
 
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """The documents that the mix takes, each as often as it takes it, with the columns of docs."""
+    taken = mix(docs).where("copies > 0")
+    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents"), carry=["doc_id", "source"])
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))

@@ -3,7 +3,8 @@
 Random indexing: every word bucket owns a sparse random index vector, fixed by a seed. One
 pass over all documents adds to each word's context vector the index vectors of the words
 beside it. The sums are integers of a fixed shape, so tasks can add theirs up in any order.
-A document is the mean of its words' vectors. A two-layer network, trained with numpy on a
+A document is the mean of its words' vectors, the mean of the products of neighbouring
+words' vectors (which tells repeated words from varied ones) and its length. A two-layer network, trained with numpy on a
 bounded sample of labelled documents, maps that mean to a probability, and a temperature
 fitted on labelled rows kept out of training calibrates it.
 """
@@ -23,6 +24,8 @@ from corpusmill.llm.common import block_rows, chunks, sum_blocks, table, token_r
 
 BUCKETS = 1 << 15
 DIMS = 32
+FEATURES = 2 * DIMS + 1
+SHRINK = 4
 BESIDE = 2  # words to each side that count as context
 NONZERO = 2
 SAMPLE = 20_000  # labelled rows the network is fitted on, at most
@@ -85,18 +88,28 @@ def word_vectors(context: np.ndarray) -> np.ndarray:
 
 
 def pool(column: pa.Array, vectors: np.ndarray) -> np.ndarray:
-    """Mean word vector of each text; zero for a text without words."""
+    """FEATURES numbers for each text; all zero for a text without words.
+
+    Means are drawn towards zero by SHRINK words, so that few words say little.
+    """
     raw, offs = utf8(column)
-    out = np.zeros((len(column), DIMS), np.float32)
-    for a, b in chunks(offs):
+    out = np.zeros((len(column), FEATURES))
+    for a, b in chunks(offs, 1 << 18):
         part = offs[a : b + 1]
         word, rows = buckets(raw[part[0] : part[-1]], part - part[0])
         n = np.diff(rows)
         full = np.flatnonzero(n)
-        if len(full):
-            # A row's sum starts where its own tokens do, so other rows don't change it.
-            sums = np.add.reduceat(vectors[word].astype(np.float64), rows[:-1][full], axis=0)
-            out[a:b][full] = sums / n[full, None]
+        if len(full) == 0:
+            continue
+        v = vectors[word]
+        both = np.zeros_like(v)
+        np.multiply(v[:-1], v[1:], out=both[:-1])
+        both[rows[1:][full] - 1] = 0  # a text's last word has no neighbour
+        # A row's sums start where its own tokens do, so other rows don't change them.
+        first, weight = rows[:-1][full], n[full, None] + SHRINK
+        out[a:b][full, :DIMS] = np.add.reduceat(v, first, axis=0) / weight
+        out[a:b][full, DIMS:-1] = np.add.reduceat(both, first, axis=0) / weight
+        out[a:b][full, -1] = np.log(n[full])
     return out
 
 
@@ -204,7 +217,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model:
         .collect()
     )
     rows.sort(key=lambda r: r["doc_id"])
-    x = np.array([np.frombuffer(r["x"], np.float32) for r in rows]).reshape(-1, DIMS)
+    x = np.array([np.frombuffer(r["x"]) for r in rows]).reshape(-1, FEATURES)
     y = np.array([r["__quality"] for r in rows], int)
     return fit(vectors, x, y, np.array([r["fold"] == 3 for r in rows], bool))
 
