@@ -32,7 +32,7 @@ from corpusmill.llm.common import BYTE, powers, chunks, mix, stash, table, utf8
 LENGTH = 200
 GRAM = 32
 HOT = 1000  # runs of an anchor class from which its windows are exploded
-SLAB = 1 << 20  # windows sorted at once in a task
+SLAB = 1 << 18  # windows sorted at once in a task
 _PLACE = np.uint64((1 << 31) - 1)
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 
@@ -138,41 +138,43 @@ def find_runs(docs: DataFrame, length: int) -> DataFrame:
     return docs.mapInArrow(run, _RUN)
 
 
-_CONTEXT = "doc_id long, k long, h long, hot boolean, weight int, s int, stretch binary"
+_CONTEXT = "doc_id long, k long, h long, weight int, s long, stretch binary"
+_NAMES = ["doc_id", "k", "h", "weight", "s", "stretch"]
+_KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
 
 
-def _stretches(marked: DataFrame, length: int) -> DataFrame:
-    """The bytes of the runs in column `todo` of each document."""
-    names = ["doc_id", "k", "h", "hot", "weight", "s", "stretch"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.binary()]
+def _stretches(batch: pa.RecordBatch, length: int, most: int = 2000) -> Iterator[pa.RecordBatch]:
+    """The bytes of the runs in column `todo` of each document, `most` at a time."""
+    rows: list[tuple] = []
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows: list[tuple] = []
-            for doc, k, text, todo in zip(*(batch.column(c) for c in ("doc_id", "k", "text", "todo")), strict=True):
-                doc, k, raw = doc.as_py(), k.as_py(), (text.as_py() or "").encode()
-                rows += [
-                    (doc, k, x["h"], x["hot"], x["weight"], x["s"], raw[x["s"] : x["e"] + length]) for x in todo.as_py()
-                ]
-            for i in range(0, len(rows), 20_000):
-                cols = zip(*rows[i : i + 20_000], strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names)
+    def out() -> pa.RecordBatch:
+        made = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _KINDS, strict=True)]
+        rows.clear()
+        return pa.RecordBatch.from_arrays(made, _NAMES)
 
-    return marked.mapInArrow(run, _CONTEXT)
+    for doc, k, text, todo in zip(*(batch.column(c) for c in ("doc_id", "k", "text", "todo")), strict=True):
+        doc, k, raw = doc.as_py(), k.as_py(), (text.as_py() or "").encode()
+        for x in todo:
+            s = x["s"].as_py()
+            rows.append((doc, k, x["h"].as_py(), x["weight"].as_py(), s, raw[s : x["e"].as_py() + length]))
+            if len(rows) >= most:
+                yield out()
+    if rows:
+        yield out()
 
 
 _SPAN = "doc_id long, k long, a long, b long"
 
 
-def _sort_classes(contexts: DataFrame, length: int) -> DataFrame:
-    """Spans found in classes that a task can hold. Rows must come class by class."""
+def _sort_classes(marked: DataFrame, length: int) -> DataFrame:
+    """Spans found in classes that a task can hold, whole classes at a time."""
 
     def spans(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(held)
         weight = t["weight"].to_numpy()
         first, last = repeated(t["h"].to_numpy(), weight, t["stretch"].to_pylist(), length)
         hit = np.flatnonzero((first >= 0) & (weight == 1))
-        s = t["s"].to_numpy()[hit].astype(np.int64)
+        s = t["s"].to_numpy()[hit]
         rows = pa.array(hit)
         cols = [t["doc_id"].combine_chunks().take(rows), t["k"].combine_chunks().take(rows)]
         cols += [pa.array(s + first[hit]), pa.array(s + last[hit] + length)]
@@ -201,6 +203,7 @@ def _sort_classes(contexts: DataFrame, length: int) -> DataFrame:
                 for i, j in _groups(part.column("h").to_numpy(), SLAB // length):
                     yield spans([part.slice(i, j - i)])
 
+    contexts = marked.mapInArrow(lambda batches: (x for b in batches for x in _stretches(b, length)), _CONTEXT)
     return contexts.repartition("h").sortWithinPartitions("h").mapInArrow(run, _SPAN)
 
 
@@ -214,19 +217,20 @@ def _groups(h: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
             first = int(end)
 
 
-def _explode_windows(contexts: DataFrame, length: int) -> DataFrame:
+def _explode_windows(marked: DataFrame, length: int) -> DataFrame:
+    """A row for each window of the runs in column `todo`."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, batch.num_rows, 2000):
-                part = batch.slice(i, 2000)
+            for part in _stretches(batch, length):
                 text, start, prefix, at = windows(part.column("stretch").to_pylist(), length)
                 rows = pa.array(text)
                 cols = [part.column(c).take(rows) for c in ("doc_id", "k", "h", "weight")]
                 cols += [pa.array(prefix.of(at, at + length).view(np.int64))]
-                cols += [pa.array(part.column("s").to_numpy()[text].astype(np.int64) + start)]
+                cols += [pa.array(part.column("s").to_numpy()[text] + start)]
                 yield pa.RecordBatch.from_arrays(cols, ["doc_id", "k", "h", "weight", "w", "at"])
 
-    return contexts.mapInArrow(run, "doc_id long, k long, h long, weight int, w long, at long")
+    return marked.mapInArrow(run, "doc_id long, k long, h long, weight int, w long, at long")
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
@@ -256,9 +260,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
     whole = marks.where("n > 1").select(
         "doc_id", "k", F.col("s").cast("long").alias("a"), (F.col("e") + F.lit(length)).cast("long").alias("b")
     )
-    contexts = _stretches(_with(docs, lists, "inner"), length)
-    small = _sort_classes(contexts.where("not hot"), length)
-    exploded = _explode_windows(contexts.where("hot"), length)
+    marked = _with(docs, lists, "inner")
+    some = lambda hot: marked.withColumn("todo", F.filter("todo", lambda x: x["hot"] == hot)).where(F.size("todo") > 0)
+    small = _sort_classes(some(False), length)
+    exploded = _explode_windows(some(True), length)
     equal = exploded.groupBy("h", "w").agg(F.sum("weight").alias("n")).where("n > 1").select("h", "w")
     large = exploded.where("weight = 1").join(equal, ["h", "w"], "left_semi").select(
         "doc_id", "k", F.col("at").alias("a"), (F.col("at") + length).alias("b")
@@ -301,7 +306,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, 1000) for b in batches for i in range(0, b.num_rows, 1000)):
             rows = []
             for doc, text, spans in zip(*(batch.column(c) for c in ("doc_id", "text", "spans")), strict=True):
                 raw = (text.as_py() or "").encode()
@@ -310,8 +315,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
                 kept = b"".join(raw[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True))
                 rows.append((doc.as_py(), len(raw), len(raw) - len(kept), len(gone), kept))
             cols = zip(*rows, strict=True)
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names)
 
     return marked.select("doc_id", "text", "spans").mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
