@@ -32,15 +32,19 @@ def _start(writer, every: str | None) -> StreamingQuery:
     return (writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)).start()
 
 
+def _timed(rows: DataFrame, time_column: str, delay: str) -> DataFrame:
+    return rows.withColumn(time_column, F.col(time_column).cast("timestamp")).withWatermark(time_column, delay)
+
+
 def distinct_within(rows: DataFrame, keys: list[str], time_column: str, delay: str) -> DataFrame:
     """The first row of each key, with state kept for `delay` of event time (an extension)."""
-    return rows.withWatermark(time_column, delay).dropDuplicatesWithinWatermark(keys)
+    return _timed(rows, time_column, delay).dropDuplicatesWithinWatermark(keys)
 
 
 def tumbling_counts(rows: DataFrame, time_column: str, width: str, delay: str, *keys: str) -> DataFrame:
     """Rows in each window of event time and key (an extension)."""
     window = F.window(time_column, width)
-    return rows.withWatermark(time_column, delay).groupBy(window.alias("window"), *keys).agg(F.count(F.lit(1)).alias("n"))
+    return _timed(rows, time_column, delay).groupBy(window.alias("window"), *keys).agg(F.count(F.lit(1)).alias("n"))
 
 
 def supervise(
