@@ -47,12 +47,15 @@ class Automaton:
         self.window = window
         self.next: list[dict[bytes, int]] = [{}]
         self.link, self.length = [-1], [0]
-        ends: dict[int, set] = {}
-        short: dict[int, dict[int, set]] = {}
-        for name, seq in items:
+        items = list(items)
+        for _, seq in items:
             last = 0
             for w in seq:
                 last = self._extend(last, w)
+        # Only now are states final: a later item may split the state of an earlier one's words.
+        ends: dict[int, set] = {}
+        short: dict[int, dict[int, set]] = {}
+        for name, seq in items:
             if not seq:
                 continue
             if len(seq) < window:
