@@ -30,6 +30,7 @@ def word_count(text: Column) -> Column:
 def running(df: DataFrame, group: list[str], bucket: Column, order: list[Column], value: str, out: str) -> DataFrame:
     """Add the running sum of `value` in each group, in the order of bucket and `order`.
 
+    Group columns must not be null, since the parts are joined on them.
     A window sums within each bucket; a table with a row for each bucket carries what
     the buckets before it hold, so that no task needs a whole group.
     """
@@ -108,7 +109,8 @@ def mix(
     rows = stash(docs.select(*carried, word_count(F.col("text")).alias("size"), shuffle.alias("__shuffle")), "mix")
     n = max(1, -(-rows.count() // ROWS_PER_BUCKET))
     part = F.floor(F.conv(F.substring("__shuffle", 1, 8), 16, 10).cast("double") / float(1 << 32) * n)
-    queued = running(rows, ["source"], part, [F.col("__shuffle"), F.col("size")], "size", "__queued")
+    named = rows.withColumn("__group", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("null")))
+    queued = running(named, ["__group"], part, [F.col("__shuffle"), F.col("size")], "size", "__queued")
     targets = source_targets(rows, weights, share, repeats).withColumnRenamed("source", "__source")
     queued = queued.join(targets, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
     copies = [(F.lit(i) * F.col("source_size") + F.col("__queued")) / F.col("weight") for i in range(repeats)]
