@@ -235,9 +235,9 @@ def decontaminate(
     """
     left = find(docs, benchmark, window).where(~contaminated(coverage))
     if longest is not None:
-        cut = F.udf(lambda text, spans: cut_words(text, [tuple(x) for x in spans]), "string")
+        cut = F.udf(lambda text, spans: cut_words(text, [tuple(x) for x in spans]) if spans else text, "string")
         over = F.filter("spans", lambda x: x["end"] - x["start"] > longest)
-        left = left.withColumn("text", F.when(F.size(over) > 0, cut("text", over)).otherwise(F.col("text")))
+        left = left.withColumn("text", cut("text", over))
     return left.select(*docs.columns)
 
 

@@ -1,0 +1,191 @@
+import gzip
+import hashlib
+import random
+import re
+import zlib
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from corpusmill.llm import decontamination as dc
+from corpusmill.llm import media, secrets, warc
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def fold(text):
+    return WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def brute(text, items, window=13):
+    seq, hit, names = fold(text), set(), set()
+    for name, item in items:
+        w = fold(item)
+        n = min(window, len(w))
+        if not n:
+            continue
+        grams = {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+        for i in range(len(seq) - n + 1):
+            if tuple(seq[i : i + n]) in grams:
+                hit |= set(range(i, i + n))
+                names.add(str(name))
+    return len(seq), len(hit), sorted(names)
+
+
+@settings(max_examples=60, deadline=None)
+@given(
+    st.lists(st.text("ab c", max_size=40), min_size=1, max_size=4),
+    st.lists(st.text("ab c", max_size=60), min_size=1, max_size=3),
+    st.integers(1, 6),
+)
+def test_automaton(items, texts, window):
+    named = list(enumerate(items))
+    a = dc.Automaton([(str(k), dc.words(t)) for k, t in named], window)
+    for t in texts:
+        spans, names = dc.hit_spans(a, dc.words(t), [])
+        assert (len(dc.words(t)), sum(e - s for s, e in spans), sorted(names)) == brute(t, named, window)
+
+
+def bench(spark, *rows):
+    return spark.createDataFrame(list(rows), "item_id long, text string")
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 60])
+def test_find(spark, docs, block_bytes):
+    rng = random.Random(1)
+    long = [" ".join(rng.choice("abcdefghÉ1") * rng.randint(1, 2) for _ in range(40)) for _ in range(4)]
+    items = [(1, long[0]), (2, long[1]), (3, "Short item"), (4, ""), (5, None), (None, "no id here"), (7, long[0])]
+    rows = [(0, None), (1, ""), (2, "x " * 50 + long[0][:60]), (3, long[1].upper()), (4, "a SHORT, item!"), (5, "no id here"), (5, "no id here")]
+    rows += [(6, "y " * 30_000 + long[1])]
+    got = dc.find(docs(*rows).withColumn("items", F.lit(1)), bench(spark, *items), block_bytes=block_bytes).collect()
+    assert len(got) == len(rows)
+    texts = {i: t for i, t in rows}
+    named = [("" if k is None else k, t) for k, t in items]
+    for r in got:
+        assert (r["n_words"], r["n_hit"], r["items"]) == brute(texts[r["doc_id"]], named)
+
+
+def test_decontaminate(spark, docs):
+    item = " ".join(f"w{i}" for i in range(20))
+    d = docs((1, "clean text"), (2, item), (3, "a " * 500 + item + ", b"), (4, None))
+    left = dc.decontaminate(d, bench(spark, (1, item)))
+    assert sorted(r["doc_id"] for r in left.collect()) == [1, 3, 4] and left.columns == d.columns
+    cut = {r["doc_id"]: r["text"] for r in dc.decontaminate(d, bench(spark, (1, item)), longest=15).collect()}
+    assert cut[3] == "a " * 500 + ", b" and cut[1] == "clean text" and cut[4] is None
+    assert dc.find(d, bench(spark)).where("n_hit > 0").count() == 0
+    assert dc.find(d.limit(0), bench(spark, (1, item))).count() == 0
+
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+
+
+def base(text):
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 12]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+    return sorted(found)
+
+
+PIECES = ["password", "PASSWD", "api_key", "apikey", "token", "secret", '"', "'", ":", "=", "  ", " ", "AKIA", "ABCD1234EFGH5678", "deadbeef", "0123456789abcdef", "é", "x", "abcdefghijkl", "\n", "ſecret"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=14).map("".join))
+def test_base_spans_stay(text):
+    assert [(a, k, b) for a, b, k, _ in secrets.scan(text) if k < 3] == base(text)
+
+
+def test_guess_cost():
+    cost = secrets.guess_cost
+    assert cost("password") < 2 < cost("zq8Kx1vP")
+    assert cost("P4ssw0rd") < 3 and cost("qwertyuiop") < 4 and cost("aaaaaaaaaaaa") < 4
+    assert cost("monkey2019") < cost("mqnkzy8d1w") and cost("abcdefgh") < 3 and cost("") == 0
+    for v in ("correct", "x9!Kq", "12/04/1999"):
+        assert cost(v) <= sum(__import__("math").log10(10 if c.isdigit() else 26 if c.isalpha() else 33) for c in v) + 1e-9
+
+
+def test_secrets_rows(spark, docs):
+    key = "wJalrXUtnFEMIbPxRfiCYzEXAMP"
+    rows = [(1, None), (2, ""), (3, f"é pwd: {key}"), (4, "password: monkey, the token is returned; secret: wonderful things"), (5, "token = " + "ab12" * 10), (5, "token = " + "ab12" * 10), (6, "z" * 200_000 + " secret=0123456789abcdef0")]
+    got = secrets.find(docs(*rows).withColumn("spans", F.lit(1))).collect()
+    kinds = [[x["kind"] for x in r["spans"]] for r in got]
+    assert kinds == [[], [], ["guess"], [], ["assign", "hex"], ["assign", "hex"], ["assign", "hex"]]
+    assert (got[2]["spans"][0]["start"], got[2]["spans"][0]["end"]) == (7, 7 + len(key))
+    assert secrets.find(docs()).collect() == []
+
+
+def test_media_round_trip(spark, docs):
+    rows = [(1, None), (2, ""), (3, "é" * 32), (4, "the quick brown fox jumps " * 3200), (5, "the cat sat on the mat " * 60), (5, "the cat sat on the mat " * 60)]
+    stored = media.store(docs(*rows).withColumn("media", F.lit("x")))
+    got = media.fingerprint(stored.withColumn("fingerprint", F.lit(0))).collect()
+    for (i, text), r in zip(rows, got, strict=True):
+        raw = (text or "").encode()
+        payload = raw + b"\0" * ((-len(raw)) % 64 or (0 if raw else 64))
+        assert (r["doc_id"], r["n_bytes"], r["payload_bytes"]) == (i, len(raw), len(payload))
+        assert r["payload_sha256"] == hashlib.sha256(payload).hexdigest() and r["tail_crc32"] == zlib.crc32(payload[-64:])
+    assert got[4] == got[5] and len(got[4]["fingerprint"]) > 0 and got[0]["fingerprint"] == []
+    times = [x["time"] for x in got[3]["fingerprint"]]
+    assert times == sorted(times) and times[-1] > 250
+    files = {r["doc_id"]: r["media"] for r in stored.collect()}
+    assert media.from_wav(bytes(files[3])) == ("é" * 32).encode()
+    with pytest.raises(Exception, match="RIFF|wave|EOF"):
+        media.fingerprint(spark.createDataFrame([(b"no wav at all, no",)], "media binary")).collect()
+    assert media.fingerprint(spark.createDataFrame([(None,)], "media binary")).first()["payload_bytes"] is None
+
+
+def test_fingerprints_tell_tones_apart():
+    import numpy as np
+
+    def tone(f):
+        return (128 + 100 * np.sin(2 * np.pi * f * np.arange(4096) / media.RATE)).astype(np.uint8).tobytes()
+
+    a, b = (set(media.pairs(tone(f))[1].tolist()) for f in (500, 1500))
+    assert a and b and not a & b
+
+
+def pages(spark, *rows):
+    return spark.createDataFrame([(i, "http://x/ y", h) for i, h in rows], "page_id long, url string, html string")
+
+
+def test_warc_round_trip(spark):
+    big, other = "é" * 700, "y" * 1000
+    rows = [(1, big), (2, big), (3, "small"), (4, "small"), (5, None), (6, other), (None, other), (7, big), (7, big), (8, "z" * 300_000)]
+    plan = warc.plan_records(pages(spark, *rows).withColumn("sha1", F.lit("clash")))
+    archives = warc.write_archives(plan, most=2000).collect()
+    assert len(archives) > 1
+    back = warc.read_archives(spark.createDataFrame(archives)).collect()
+    kind = sorted((r["record_id"], r["record_type"], r["refers_to"] or "") for r in back)
+    page = "<urn:x-page:{}>".format
+    want = [(1, "revisit", page(7)), (2, "revisit", page(7)), (3, "response", ""), (4, "response", ""), (5, "response", ""), (6, "response", "")]
+    want += [("null", "revisit", page(6)), (7, "response", ""), (7, "response", ""), (8, "response", "")]
+    assert kind == sorted((page(i), k, r) for i, k, r in want)
+    payloads = {r["record_id"]: bytes(r["payload"]) for r in back if r["record_type"] == "response"}
+    assert payloads[page(7)] == big.encode() and payloads[page(5)] == b"" and payloads[page(8)] == b"z" * 300_000
+    for r in back:
+        if r["record_id"] == page(1):
+            assert (r["payload_bytes"], r["payload_digest"]) == (1400, hashlib.sha1(big.encode()).hexdigest())
+    assert warc.write_archives(warc.plan_records(pages(spark))).collect() == []
+
+
+def member(payload=b"hello", broken=False):
+    raw = warc.record("response", "1", "http://x", payload, len(payload), hashlib.sha1(payload).hexdigest(), None)
+    if not broken:
+        return raw
+    return gzip.compress(gzip.decompress(raw).replace(b"hello", b"hallo"))
+
+
+def test_damaged_archives_raise():
+    assert len(list(warc.records(member() * 3))) == 3
+    assert list(warc.records(gzip.decompress(member()) * 2))[1][1].endswith(b"hello")
+    assert list(warc.records(b"")) == []
+    for bad in (member(broken=True), member()[:-20], gzip.compress(b"HTTP/1.1\r\n\r\n")):
+        with pytest.raises((ValueError, zlib.error)):
+            list(warc.records(bad))
+
+
+def test_read_files(spark, tmp_path):
+    (tmp_path / "a.warc.gz").write_bytes(member() * 2)
+    (tmp_path / "b.warc").write_bytes(gzip.decompress(member()))
+    assert warc.read_files(spark, str(tmp_path)).count() == 3
