@@ -22,6 +22,7 @@ class Model(Protocol):
     def __call__(self, texts: Sequence[str]) -> list: ...
 
 
+MOST_CHARS = 3 * 512  # of a text, for an encoder of 512 tokens
 FAILED = json.dumps({"sentiment": "neutral", "entities": [], "reason": "vllm_offline_failed"})
 
 
@@ -90,7 +91,7 @@ def answer(
 
 
 def embed(
-    df: DataFrame, text: str, out: str, factory: Callable[[], Model], batch: int = 64, most_chars: int = 3 * 512, small: int = 16
+    df: DataFrame, text: str, out: str, factory: Callable[[], Model], batch: int = 64, most_chars: int = MOST_CHARS, small: int = 16
 ) -> DataFrame:
     """df with a float vector for each text, cut to most_chars first.
 

@@ -88,3 +88,14 @@ def mean_pool(states: Column, attention: Column) -> Column:
     zero = F.transform(F.element_at(states, 1), lambda x: F.lit(0.0))
     total = F.aggregate(used, zero, lambda acc, x: F.zip_with(acc, x["v"], lambda a, b: a + b.cast("double")))
     return F.transform(total, lambda x: x / F.greatest(F.size(used).cast("double"), F.lit(1e-9)))
+
+
+def as_vector(vector: Column) -> Column:
+    """Floats; null is an empty vector and null elements are zero."""
+    return F.coalesce(F.transform(vector, lambda x: F.coalesce(x.cast("float"), F.lit(0.0).cast("float"))), F.array().cast("array<float>"))
+
+
+def text_map(fields: Column) -> Column:
+    """A struct as a map of texts; null values become empty."""
+    pairs = F.from_json(F.to_json(fields, {"ignoreNullFields": "false"}), "map<string,string>")
+    return F.transform_values(pairs, lambda k, v: F.coalesce(v, F.lit("")))

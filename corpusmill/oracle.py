@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from corpusmill.plans.steps import JUDGE_PROMPT, LABEL_PROMPT
 from corpusmill.queries import KEY_TERMS, WORDS
 
 # RE2 knows ASCII white space only, so that the class is spelled out.
@@ -196,6 +197,12 @@ SQL = {
     "topic_label_parse": """SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN lang ELSE 'general' END AS label,
         CASE doc_id % 4 WHEN 0 THEN greatest(0.0::DOUBLE, least(1.0::DOUBLE, round((doc_id % 100) / 40 - 0.5, 3))) WHEN 2 THEN 0.25 ELSE 0.5 END::DOUBLE AS confidence FROM documents""",
     "judge_parse": f"{JUDGED} SELECT * FROM judged",
+    "label_prompts": f"WITH {DOCS} SELECT doc_id, md5('{LABEL_PROMPT}' || text) AS prompt_md5 FROM docs",
+    "judge_prompts": f"""{LABELED} SELECT doc_id, md5('{JUDGE_PROMPT}' || concat_ws(chr(10), coalesce(text, ''), sentiment, entities_json, label_reason)) AS prompt_md5
+        FROM labeled JOIN documents USING (doc_id)""",
+    "embedder_inputs": "SELECT doc_id, md5(text[1:1536]) AS input_md5 FROM documents",
+    "embedding_rows": """SELECT vec_id, CASE WHEN label <> 0 THEN len(embedding) ELSE 0 END::INT AS dims, coalesce(label::VARCHAR, '') AS label,
+        vec_id::VARCHAR AS vec_id_text FROM embeddings""",
     "quality_report": f"""{JUDGED} SELECT count(*) AS sample_count, avg(task_completion) AS task_completion_avg, avg(hallucination) AS hallucination_avg,
         avg(overall) AS overall_avg, stddev_pop(overall) AS overall_std, avg(overall) >= 3.5 AS pass, 3.5::DOUBLE AS threshold,
         count_if(overall < 3.5) AS below_threshold_count, least(count_if(overall < 3.5), 10) AS listed_count FROM judged""",

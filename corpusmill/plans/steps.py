@@ -10,12 +10,12 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions.lexicons import REVIEWS, Lexicon
 from corpusmill.functions.models import FAILED, HashEmbedder, Model, StubJudge, StubLabeler, answer, embed
-from corpusmill.functions.text import clean, content_hash, event_date, mask
+from corpusmill.functions.text import clean, content_hash, event_date, mask, text_map
 from corpusmill.operators import chunking, dedup, evaluation, incremental, labeling
 from corpusmill.plans.config import Config
 from corpusmill.sources import readers, sinks
@@ -39,6 +39,11 @@ def status(step: str, rows: int) -> str:
     return out
 
 
+def judge_prompt(df: DataFrame) -> Column:
+    parts = (evaluation.source_text(df), F.col("sentiment"), F.col("entities_json"), F.col("label_reason"))
+    return F.concat(F.lit(JUDGE_PROMPT), F.concat_ws("\n", *parts))
+
+
 def clean_reviews(df: DataFrame) -> DataFrame:
     return df.withColumn("text", mask(clean(F.col("text"))))
 
@@ -80,18 +85,13 @@ def embeddings(spark: SparkSession, config: Config, embedder: Callable[[], Model
     chunks = chunking.chunk_documents(rows, config.chunk_max_chars, config.chunk_max_sentences)
     chunks = incremental.unseen(chunks, stored, ["chunk_id"])
     vectors = embed(chunks, "text_chunk", "vector", embedder, config.embed_batch)
-    texts = F.map_from_arrays(
-        F.array(*(F.lit(k) for k in ("title", "timestamp", "event_date", "chunk_index", "chunk_count"))),
-        F.array(*(F.col(f"metadata.{k}").cast("string") for k in ("title", "timestamp", "event_date", "chunk_index", "chunk_count"))),
-    )
-    return status("STEP3", sinks.write_embeddings(vectors.withColumn("metadata", texts), config.embeddings))
+    return status("STEP3", sinks.write_embeddings(vectors.withColumn("metadata", text_map(F.col("metadata"))), config.embeddings))
 
 
 def evaluate(spark: SparkSession, config: Config, judge: Callable[[], Model] = StubJudge) -> dict:
     """Judge a seeded sample of labels and report."""
     sample = incremental.seeded_sample(readers.read_table(spark, config.labeled), "id", config.sample_size, config.seed)
-    prompt = F.concat(F.lit(JUDGE_PROMPT), evaluation.source_text(sample), F.lit("\n"), "sentiment", F.lit("\n"), "entities_json")
-    said = answer(sample.withColumn("prompt", prompt), "prompt", "said", judge, 16, "", tries=3)
+    said = answer(sample.withColumn("prompt", judge_prompt(sample)), "prompt", "said", judge, 16, "", tries=3)
     judged = said.select(evaluation.source_id(sample).alias("doc_id"), evaluation.parse_judge(F.col("said")).alias("j")).select("doc_id", "j.*")
     return evaluation.report_json(judged, sample, config.quality_threshold)
 

@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions.lexicons import Lexicon
-from corpusmill.functions.text import chunk_id, clean, content_hash, distinct_items, event_date, l2_normalize, mask, sentences
+from corpusmill.functions.models import MOST_CHARS
+from corpusmill.functions.text import as_vector, chunk_id, clean, content_hash, distinct_items, event_date, l2_normalize, mask, sentences, text_map
 from corpusmill.operators import chunking, dedup, evaluation, incremental, labeling
+from corpusmill.plans.steps import LABEL_PROMPT, judge_prompt
 from corpusmill.sources import readers
 from corpusmill.streaming import streams
 
@@ -230,6 +232,28 @@ def item_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents").select("doc_id", F.size(items).alias("n"), F.md5(F.concat_ws("|", items)).alias("items_md5"))
 
 
+def label_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prompt = F.concat(F.lit(LABEL_PROMPT), "text")
+    return cleaned(spark, sf_dir).select("doc_id", F.md5(prompt).alias("prompt_md5"))
+
+
+def judge_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = labeled(spark, sf_dir)
+    return rows.select("doc_id", F.md5(judge_prompt(rows)).alias("prompt_md5"))
+
+
+def embedder_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the encoder gets of each text: its first 3 * 512 characters, as its context allows."""
+    return read(spark, sf_dir, "documents").select("doc_id", F.md5(F.substring("text", 1, MOST_CHARS)).alias("input_md5"))
+
+
+def embedding_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors and metadata in the stored types; a missing vector is empty."""
+    rows = read(spark, sf_dir, "embeddings").withColumn("embedding", F.when(F.col("label") != 0, F.col("embedding")))
+    rows = rows.select("vec_id", as_vector(F.col("embedding")).alias("v"), text_map(F.struct("label", "vec_id")).alias("m"))
+    return rows.select("vec_id", F.size("v").alias("dims"), F.col("m")["label"].alias("label"), F.col("m")["vec_id"].alias("vec_id_text"))
+
+
 def _outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a model output made from their label, in well-formed and damaged shapes."""
     docs = read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels"), "doc_id", "left")
@@ -362,7 +386,7 @@ NAMES = (
     "latest_per_key latest_turn nonblank_filter required_fields max_watermark map_watermark incremental_window new_data_gate event_date_partition "
     "json_parse_required bronze_round_trip reject_count keep_bad_rows prompt_fallback field_coalesce null_coalesce sentence_split chunk_documents "
     "chunk_counts chunk_ids sentiment_rule sentiment_distribution entity_extract item_dedup label_parse label_normalize topic_label_parse judge_parse "
-    "quality_report worst_k below_threshold integrity_metrics seeded_sample latency_summary l2_normalized idempotent_append_3key "
+    "label_prompts judge_prompts embedder_inputs embedding_rows quality_report worst_k below_threshold integrity_metrics seeded_sample latency_summary l2_normalized idempotent_append_3key "
     "idempotent_append_2key idempotent_append_1key stream_events"
 ).split()
 QUERIES = {name: globals()[name] for name in NAMES}
