@@ -75,8 +75,11 @@ def existing(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def append_plan(df: DataFrame, target: DataFrame | None, keys: Sequence[str]) -> DataFrame:
-    """What an idempotent append writes: one row for each key that the target lacks."""
-    order = [F.col(c).asc_nulls_last() for c in df.columns if c not in keys]
+    """What an idempotent append writes: one row for each key that the target lacks.
+
+    Of rows with equal keys that with the least other columns (maps aside) stays.
+    """
+    order = [F.col(c).asc_nulls_last() for c, kind in df.dtypes if c not in keys and "map<" not in kind]
     whole = required(df, keys)
     loose = df.where(" OR ".join(f"`{k}` IS NULL" for k in keys)).dropDuplicates(list(keys))
     return unseen(latest(whole, keys, *(order or [F.lit(0)])), target, keys).unionByName(loose)
