@@ -5,7 +5,6 @@ import os
 
 import duckdb
 import pytest
-from conftest import DATA
 
 from corpusmill import oracle, queries
 
@@ -19,9 +18,9 @@ def norm(v):
 
 
 @pytest.fixture(scope="module")
-def duck():
+def duck(sf_dir):
     con = duckdb.connect()
-    for p in glob.glob(f"{DATA}/*.parquet"):
+    for p in glob.glob(f"{sf_dir}/*.parquet"):
         con.execute(f"CREATE VIEW {os.path.basename(p)[:-8]} AS SELECT * FROM read_parquet('{p}')")
     return con
 
