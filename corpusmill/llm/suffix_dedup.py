@@ -10,8 +10,9 @@ window (leftmost of equals). Equal windows have equal anchors at equal places, a
 neighbouring windows share theirs, so that a run of windows travels as one row.
 Pass 2 compares the whole stretch of text that a run covers. Runs with an equal in the
 corpus are repeated as a whole. For the others, the passes over the windows themselves
-follow, digit by digit, inside tasks that each see whole anchor classes; the windows of
-very large classes are exploded and aggregated by Spark instead.
+follow, digit by digit, inside tasks that each see whole anchor classes. A class too large
+for that is cut into parts: every part sends the last digits of its windows to the tasks
+that count them over all parts, and learns which of them are repeated.
 
 A run's windows start less than `length` bytes apart. The bytes they cover together are
 therefore known from the first and the last repeated one.
@@ -31,7 +32,7 @@ from corpusmill.llm.common import BYTE, powers, chunks, mix, stash, table, utf8
 
 LENGTH = 200
 GRAM = 32
-HOT = 1000  # runs of an anchor class from which its windows are exploded
+HOT = 1000  # different runs of an anchor class that a task sorts; more are cut into parts
 SLAB = 1 << 18  # windows sorted at once in a task
 _PLACE = np.uint64((1 << 31) - 1)
 _ODD = np.uint64(0xD6E8FEB86659FD93)
@@ -138,9 +139,9 @@ def find_runs(docs: DataFrame, length: int) -> DataFrame:
     return docs.mapInArrow(run, _RUN)
 
 
-_CONTEXT = "doc_id long, k long, h long, weight int, s long, stretch binary"
-_NAMES = ["doc_id", "k", "h", "weight", "s", "stretch"]
-_KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+_CONTEXT = "doc_id long, k long, h long, parts int, weight int, s long, stretch binary"
+_NAMES = ["doc_id", "k", "h", "parts", "weight", "s", "stretch"]
+_KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
 
 
 def _stretches(batch: pa.RecordBatch, length: int, most: int = 2000) -> Iterator[pa.RecordBatch]:
@@ -156,7 +157,8 @@ def _stretches(batch: pa.RecordBatch, length: int, most: int = 2000) -> Iterator
         doc, k, raw = doc.as_py(), k.as_py(), (text.as_py() or "").encode()
         for x in todo:
             s = x["s"].as_py()
-            rows.append((doc, k, x["h"].as_py(), x["weight"].as_py(), s, raw[s : x["e"].as_py() + length]))
+            h, parts, weight = (x[n].as_py() for n in ("h", "parts", "weight"))
+            rows.append((doc, k, h, parts, weight, s, raw[s : x["e"].as_py() + length]))
             if len(rows) >= most:
                 yield out()
     if rows:
@@ -217,20 +219,64 @@ def _groups(h: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
             first = int(end)
 
 
-def _explode_windows(marked: DataFrame, length: int) -> DataFrame:
-    """A row for each window of the runs in column `todo`."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in _stretches(batch, length):
-                text, start, prefix, at = windows(part.column("stretch").to_pylist(), length)
-                rows = pa.array(text)
-                cols = [part.column(c).take(rows) for c in ("doc_id", "k", "h", "weight")]
-                cols += [pa.array(prefix.of(at, at + length).view(np.int64))]
-                cols += [pa.array(part.column("s").to_numpy()[text] + start)]
-                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "k", "h", "weight", "w", "at"])
-
-    return marked.mapInArrow(run, "doc_id long, k long, h long, weight int, w long, at long")
+_PART = "h long, part int, bucket int, digits binary, twice binary"
+
+
+def _digits_of_parts(parts: pa.Table, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text number, start and whole-window digit of all windows of some runs."""
+    text, start, prefix, at = windows(parts["stretch"].to_pylist(), length)
+    return text, start, prefix.of(at, at + length)
+
+
+def _send_digits(key: tuple, parts: pa.Table, length: int) -> pa.Table:
+    """A part's distinct digits by bucket, and whether the part alone repeats them."""
+    n = parts["parts"][0].as_py()
+    text, _, digit = _digits_of_parts(parts, length)
+    digit, inverse = np.unique(digit, return_inverse=True)
+    twice = np.bincount(inverse, parts["weight"].to_numpy()[text], len(digit)) >= 2
+    bucket = digit % np.uint64(n)
+    rows = [(b, digit[bucket == b].tobytes(), twice[bucket == b].tobytes()) for b in range(n)]
+    kinds = (pa.int32(), pa.binary(), pa.binary())
+    cols = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+    same = [pa.array([key[0].as_py()] * n, pa.int64()), pa.array([key[1].as_py()] * n, pa.int32())]
+    return pa.Table.from_arrays([*same, *cols], ["h", "part", "bucket", "digits", "twice"])
+
+
+def _count_digits(key: tuple, rows: pa.Table) -> pa.Table:
+    """For each part the digits of a bucket that are repeated over all parts."""
+    parts = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows["digits"].combine_chunks()]
+    own = [np.frombuffer(x.as_buffer(), bool) for x in rows["twice"].combine_chunks()]
+    every, inverse = np.unique(np.concatenate(parts), return_inverse=True)
+    again = np.bincount(inverse, 1 + np.concatenate(own), len(every))[inverse] >= 2
+    cuts = np.cumsum([len(x) for x in parts])[:-1]
+    found = [p[a].tobytes() for p, a in zip(parts, np.split(again, cuts), strict=True)]
+    return pa.Table.from_arrays([rows["h"], rows["part"], pa.array(found, pa.binary())], ["h", "part", "digits"])
+
+
+def _mark_parts(key: tuple, parts: pa.Table, again: pa.Table, length: int) -> pa.Table:
+    """Spans from the first to the last repeated window of each run of a part."""
+    text, start, digit = _digits_of_parts(parts, length) if parts.num_rows else (np.zeros(0, int),) * 3
+    known = [np.frombuffer(x.as_buffer(), np.uint64) for x in again["digits"].combine_chunks()]
+    hit = np.isin(digit, np.concatenate(known)) if known else np.zeros(len(digit), bool)
+    text, start = text[hit], start[hit]
+    first, last = np.full(parts.num_rows, -1), np.full(parts.num_rows, -1)
+    first[text[::-1]] = start[::-1]
+    last[text] = start
+    rows = np.flatnonzero((first >= 0) & (parts["weight"].to_numpy() == 1))
+    s = parts["s"].to_numpy()[rows]
+    kept = parts.take(pa.array(rows))
+    cols = [kept["doc_id"], kept["k"], pa.array(s + first[rows]), pa.array(s + last[rows] + length)]
+    return pa.Table.from_arrays(cols, ["doc_id", "k", "a", "b"])
+
+
+def _sort_large_classes(marked: DataFrame, length: int) -> DataFrame:
+    """Spans found in classes that are cut into parts."""
+    contexts = marked.mapInArrow(lambda batches: (x for b in batches for x in _stretches(b, length)), _CONTEXT)
+    contexts = contexts.withColumn("part", F.pmod(F.xxhash64("doc_id", "k", "s"), F.col("parts")).cast("int"))
+    sent = contexts.groupBy("h", "part").applyInArrow(lambda key, t: _send_digits(key, t, length), _PART)
+    again = sent.groupBy("h", "bucket").applyInArrow(_count_digits, "h long, part int, digits binary")
+    both = contexts.groupBy("h", "part").cogroup(again.groupBy("h", "part"))
+    return both.applyInArrow(lambda key, a, b: _mark_parts(key, a, b, length), _SPAN)
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
@@ -241,33 +287,31 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
     found = find_runs(docs, length)
     again = found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
     found = stash(found.join(again, "h", "left_semi"), "suffix-runs")
-    stretches = found.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.max("k").alias("top"))
+    # Both tables are written, so that joins with them deal anew and Spark can split a hot key.
+    stretches = stash(found.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.max("k").alias("top")), "suffix-stretches")
     classes = (
         stretches.groupBy("h")
         .agg(F.count_if(F.col("n") == 1).alias("single"), F.count(F.lit(1)).alias("different"))
         .where("single > 0")
-        .select("h", (F.col("different") > hot).alias("hot"))
+        .select("h", F.ceil(F.col("different") / hot).cast("int").alias("parts"))
     )
+    classes = stash(classes, "suffix-classes")
     marks = found.join(stretches, ["h", "c"]).join(classes, "h", "left")
     # A run without an equal is compared with one of each kind of run in its class.
-    todo = F.col("hot").isNotNull() & ((F.col("n") == 1) | (F.col("k") == F.col("top")))
+    todo = F.col("parts").isNotNull() & ((F.col("n") == 1) | (F.col("k") == F.col("top")))
     weight = F.least("n", F.lit(2)).cast("int")
     lists = (
         marks.where(todo)
         .groupBy("doc_id", "k")
-        .agg(F.collect_list(F.struct("h", "hot", weight.alias("weight"), "s", "e")).alias("todo"))
+        .agg(F.collect_list(F.struct("h", "parts", weight.alias("weight"), "s", "e")).alias("todo"))
     )
     whole = marks.where("n > 1").select(
         "doc_id", "k", F.col("s").cast("long").alias("a"), (F.col("e") + F.lit(length)).cast("long").alias("b")
     )
     marked = _with(docs, lists, "inner")
-    some = lambda hot: marked.withColumn("todo", F.filter("todo", lambda x: x["hot"] == hot)).where(F.size("todo") > 0)
-    small = _sort_classes(some(False), length)
-    exploded = _explode_windows(some(True), length)
-    equal = exploded.groupBy("h", "w").agg(F.sum("weight").alias("n")).where("n > 1").select("h", "w")
-    large = exploded.where("weight = 1").join(equal, ["h", "w"], "left_semi").select(
-        "doc_id", "k", F.col("at").alias("a"), (F.col("at") + length).alias("b")
-    )
+    some = lambda p: marked.withColumn("todo", F.filter("todo", p)).where(F.size("todo") > 0)
+    small = _sort_classes(some(lambda x: x["parts"] == 1), length)
+    large = _sort_large_classes(some(lambda x: x["parts"] > 1), length)
     return (
         whole.unionByName(small)
         .unionByName(large)
