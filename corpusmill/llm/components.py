@@ -14,6 +14,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     if large:
         both = both.unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
     low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    # Written first, so that the join deals both sides anew and Spark can split a hub's rows.
+    low = stash(low, "least")
     met = both.join(low, "u")
     if large:
         out = met.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
