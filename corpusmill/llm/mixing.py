@@ -21,6 +21,7 @@ SHARE = 1.5
 REPEATS = 2
 SEED = "mix-1"
 ROWS_PER_BUCKET = 20_000
+RANGES = 8  # ranges of finish times for each such bucket, as most copies finish early
 
 
 def word_count(text: Column) -> Column:
@@ -118,7 +119,7 @@ def mix(
     # Range sort of all copies by finish time: a bucket is a range, and within the bucket a
     # window sorts. `cut` is the last finish time at which the budget isn't exceeded.
     finish = queued.select("size", "last", F.explode(F.array(*copies)).alias("finish"))
-    span = F.when(F.col("last") > 0, F.floor(F.col("finish") / F.col("last") * (n * repeats))).otherwise(F.lit(0))
+    span = F.when(F.col("last") > 0, F.floor(F.col("finish") / F.col("last") * (n * repeats * RANGES))).otherwise(F.lit(0))
     total = running(finish.withColumn("__all", F.lit(0)), ["__all"], span, [F.col("finish"), F.col("size")], "size", "spent")
     budget = rows.agg(F.sum("size")).first()[0] or 0
     cut = total.where(F.col("spent") <= F.lit(budget * share)).agg(F.max("finish")).first()[0]
