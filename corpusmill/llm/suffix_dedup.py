@@ -285,9 +285,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
     spans: byte ranges whose union is what repeated windows cover, for documents with any.
     """
     found = find_runs(docs, length)
-    again = found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    # The tables of keys are written, so that joins with them deal anew and Spark can split a hot key.
+    again = stash(found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "suffix-keys")
     found = stash(found.join(again, "h", "left_semi"), "suffix-runs")
-    # Both tables are written, so that joins with them deal anew and Spark can split a hot key.
     stretches = stash(found.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.max("k").alias("top")), "suffix-stretches")
     classes = (
         stretches.groupBy("h")
