@@ -23,6 +23,7 @@ class Model(Protocol):
 
 
 MOST_CHARS = 3 * 512  # of a text, for an encoder of 512 tokens
+# Fixed value: the answer that stands for a batch whose model call failed.
 FAILED = json.dumps({"sentiment": "neutral", "entities": [], "reason": "vllm_offline_failed"})
 
 
