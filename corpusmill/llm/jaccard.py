@@ -29,6 +29,7 @@ TREES = 24
 RECALL = 0.9999
 DEEPEST = 12
 BLOCK = 256
+COLUMNS = 1 << 12  # shingles multiplied at once
 SEED = 5
 
 _rng = np.random.default_rng(SEED)
@@ -123,9 +124,9 @@ def _shared(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.n
     keep = ~once[code]
     code, row = place[code[keep]], row[keep]
     out = np.zeros((len(left), len(right)))
-    for a in range(0, place[-1] + 1, 1 << 14):
-        here = (code >= a) & (code < a + (1 << 14))
-        x = np.zeros((len(left) + len(right), 1 << 14), np.float32)
+    for a in range(0, place[-1] + 1, COLUMNS):
+        here = (code >= a) & (code < a + COLUMNS)
+        x = np.zeros((len(left) + len(right), COLUMNS), np.float32)
         x[row[here], code[here] - a] = 1
         out += x[: len(left)] @ x[len(left) :].T
     return out.astype(np.int64)
@@ -312,3 +313,19 @@ def keep_one(
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP7_SQL = r"""
+WITH RECURSIVE t AS (SELECT coalesce(text, '') AS text, min(doc_id) AS low, count(*) AS n_copies, row_number() OVER (ORDER BY min(doc_id), coalesce(text, '')) AS k
+           FROM documents GROUP BY 1),
+w AS (SELECT k, list_filter(string_split_regex(text, '[ \t\n\x0b\x0c\r]+'), lambda x: x <> '') AS w FROM t),
+g AS (SELECT DISTINCT k, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT k, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT k, count(*) AS n FROM g GROUP BY k),
+c AS (SELECT a.k AS a, b.k AS b, count(*) AS both_have FROM g a JOIN g b ON a.g = b.g AND a.k <> b.k GROUP BY 1, 2),
+l AS (SELECT a, b FROM c JOIN n x ON x.k = a JOIN n y ON y.k = b WHERE 5 * both_have >= 4 * (x.n + y.n - both_have)),
+reach AS (SELECT k, k AS other FROM t UNION SELECT reach.k, l.b FROM reach JOIN l ON l.a = reach.other),
+classes AS (SELECT reach.k, min(low) AS class_id FROM reach JOIN t ON t.k = reach.other GROUP BY 1),
+links AS (SELECT a AS k, count(*) AS n_links FROM l GROUP BY 1)
+SELECT doc_id, class_id, n_copies, coalesce(n_links, 0) AS n_links
+FROM documents d JOIN t ON t.text = coalesce(d.text, '') JOIN classes USING (k) LEFT JOIN links USING (k)
+"""
