@@ -29,6 +29,8 @@ QUERIES = {
 }
 
 SQL = {
+    "op3_suffix_dedup": suffix_dedup.OP3_SQL,
+    "op7_jaccard_join": jaccard.OP7_SQL,
     "op8_mixing": mixing.OP8_SQL,
     "op9_decontamination": decontamination.OP9_SQL,
     "op10_warc": warc.OP10_SQL,

@@ -369,3 +369,19 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = remove_repeats(table(spark, sf_dir, "documents"))
     return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP3_SQL = """
+WITH d AS (SELECT row_number() OVER () AS id, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT id, i, md5(substring(h, 2 * i - 1, 400)) AS k FROM (SELECT id, h, unnest(range(1, len(h) // 2 - 198)) AS i FROM d)),
+r AS (SELECT id, i FROM w WHERE k IN (SELECT k FROM w GROUP BY k HAVING count(*) > 1)),
+f AS (SELECT id, i, i > coalesce(lag(i) OVER (PARTITION BY id ORDER BY i), -1000) + 200 AS fresh FROM r),
+g AS (SELECT id, i, sum(fresh::INT) OVER (PARTITION BY id ORDER BY i) AS span FROM f),
+s AS (SELECT id, min(i) AS a, max(i) + 200 AS b FROM g GROUP BY id, span),
+pieces AS (SELECT id, a, b, coalesce(lag(b) OVER (PARTITION BY id ORDER BY a), 1) AS since FROM s),
+t AS (SELECT id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
+             string_agg(substring(h, 2 * since - 1, 2 * (a - since)), '' ORDER BY a) AS kept FROM pieces JOIN d USING (id) GROUP BY id)
+SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE kept || substring(h, 2 * last - 1) END)) AS kept_sha256
+FROM d LEFT JOIN t USING (id)
+"""

@@ -1,6 +1,8 @@
 import zlib
 from collections import Counter
 
+import duckdb
+import pytest
 from test_duplicates import brute_classes
 from test_scans import brute
 
@@ -39,6 +41,20 @@ def test_stages_against_brute_force(spark, sf_dir):
         assert r["text_crc32"] == zlib.crc32(text[r["doc_id"]].encode()) and 0 <= r["shard"] <= 7
 
 
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_query_equals_sql(spark, sf_dir, name):
+    con = duckdb.connect()
+    for t in ("documents", "benchmark", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    df = queries.QUERIES[name](spark, sf_dir)
+    res = con.execute(queries.SQL[name])
+    names = [d[0] for d in res.description]
+    assert sorted(names) == sorted(df.columns)
+    norm = lambda v: f"{v:.9g}" if isinstance(v, float) else v
+    want = sorted(repr([norm(v) for v in r]) for r in res.fetchall())
+    assert sorted(repr([norm(r[c]) for c in names]) for r in df.collect()) == want
+
+
 def test_names():
     assert [x.split("_")[0] for x in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
     assert set(queries.SQL) < set(queries.QUERIES)
