@@ -28,10 +28,14 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 LEAST = {"assign": 12, "access": 18, "hex": 16}
 
-#: Further contexts: a credential's name, a separator, and a value up to a space or quote.
+#: Further contexts: a credential's name, alone or within a longer name (AWS_SECRET_ACCESS_KEY,
+#: dbPassword, x-api-key), a separator, and a value up to a space or quote. Short names must be
+#: whole parts of a longer one ("author" and "opinion" aren't any). A run of name characters is
+#: looked at once, from its start, so that the search stays linear.
 CONTEXT = re.compile(
-    r"""\b(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credentials?|bearer|auth(?:orization)?)"""
-    r"""\b["']?(?:\x20*[:=]\x20*|\x20+is\x20+)(?:bearer\x20+|basic\x20+)?["']?([^\s"'<>,;|]{6,200})""",
+    r"""(?<![\w-])(?=[\w-]*?(?:passw(?:or)?d|pass[_-]?(?:phrase|code)|pwd|secret|token|(?:api|access|private)[_-]?key|credential|bearer|authorization"""
+    r"""|(?:(?<![a-z])|(?-i:(?<=[a-z])(?=[A-Z])))(?:pass|pin|o?auth)(?:(?![a-z])|(?-i:(?<=[a-z])(?=[A-Z])))))"""
+    r"""[\w-]++["']?(?:\x20*[:=]\x20*|\x20+is\x20+)(?:bearer\x20+|basic\x20+)?["']?([^\s"'<>,;|]{6,200})""",
     re.ASCII | re.IGNORECASE,
 )
 HINTS = ("pass", "pwd", "pin", "secret", "token", "key", "credential", "bearer", "auth")

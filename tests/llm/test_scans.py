@@ -189,3 +189,13 @@ def test_read_files(spark, tmp_path):
     (tmp_path / "a.warc.gz").write_bytes(member() * 2)
     (tmp_path / "b.warc").write_bytes(gzip.decompress(member()))
     assert warc.read_files(spark, str(tmp_path)).count() == 3
+
+
+@pytest.mark.parametrize("name", ["AWS_SECRET_ACCESS_KEY", "awsSecretAccessKey", "DB_PASSWORD", "client_secret", "access_token", "auth_token_v2", "userPin", "x-api-key"])
+def test_compound_names_are_contexts(name):
+    value = "Zq8$kX!1vPw"
+    assert (len(name) + 6, len(name) + 6 + len(value), 3) in [x[:3] for x in secrets.scan(f"run:{name}: {value} now")]
+
+
+def test_other_words_are_no_contexts():
+    assert all(secrets.scan(f"{name}=Zq8$kX!1vPw") == [] for name in ("author", "opinion", "compass", "spinning"))
