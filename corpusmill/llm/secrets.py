@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -35,7 +36,7 @@ LEAST = {"assign": 12, "access": 18, "hex": 16}
 CONTEXT = re.compile(
     r"""(?<![\w-])(?=[\w-]*?(?:passw(?:or)?d|pass[_-]?(?:phrase|code)|pwd|secret|token|(?:api|access|private)[_-]?key|credential|bearer|authorization"""
     r"""|(?:(?<![a-z])|(?-i:(?<=[a-z])(?=[A-Z])))(?:pass|pin|o?auth)(?:(?![a-z])|(?-i:(?<=[a-z])(?=[A-Z])))))"""
-    r"""[\w-]++["']?(?:\x20*[:=]\x20*|\x20+is\x20+)(?:bearer\x20+|basic\x20+)?["']?([^\s"'<>,;|]{6,200})""",
+    r"""[\w-]++["']?(?:\x20*[:=]\x20*|\x20+is\x20+)(?:bearer\x20+|basic\x20+)?["']?([^\s"'<>,;|]{6,})""",
     re.ASCII | re.IGNORECASE,
 )
 HINTS = ("pass", "pwd", "pin", "secret", "token", "key", "credential", "bearer", "auth")
@@ -91,16 +92,32 @@ def _alphabet(c: str) -> int:
     return 10 if c.isdigit() else 26 if c.isalpha() else 33
 
 
+def _runs_on(n: int, same: Callable[[int], bool]) -> array:
+    """How many places in a row, from each place on, `same` holds."""
+    out = array("i", bytes(4 * (n + 1)))
+    for i in range(n - 1, -1, -1):
+        out[i] = out[i + 1] + 1 if same(i) else 0
+    return out
+
+
 def guess_cost(value: str) -> float:
     """log10 of the guesses for a value: the least sum over its segmentations.
 
     best[j] is the least cost of the first j characters. Each piece adds its own cost, and
-    log10(2) for the choice of its kind.
+    log10(2) for the choice of its kind. Lengths of repeats, sequences and walks are found
+    before, from the end, so that the work is linear in the value's length.
     """
     n, low = len(value), value.lower()
     low = low if len(low) == n else value
     plain = low.translate(_LEET)
     best = [0.0] + [math.inf] * n
+    again = {w: _runs_on(n - w, lambda i, w=w: low[i] == low[i + w]) for w in range(1, min(8, n // 2) + 1)}
+    steps = [_runs_on(n - 1, lambda i, d=d: ord(low[i + 1]) - ord(low[i]) == d) for d in (1, -1)]
+    ways = [_way(a, b) for a, b in zip(low[:-1], low[1:], strict=True)] + [None]
+    walks = _runs_on(n - 1, lambda i: ways[i] is not None)
+    turns = array("i", bytes(4 * (n + 1)))
+    for i in range(n - 2, -1, -1):
+        turns[i] = turns[i + 1] + (ways[i] != ways[i + 1]) if ways[i] is not None else 0
     for i in range(n):
         base = best[i] + math.log10(2) * (i > 0)
 
@@ -120,26 +137,16 @@ def guess_cost(value: str) -> float:
         if m := _DATE.match(value, i):
             reach(m.end(), math.log10(365 * 120) if m.end() - i > 4 else math.log10(120))
         for width in range(1, min(8, (n - i) // 2) + 1):
-            unit, j = low[i : i + width], i + width
-            while low.startswith(unit, j):
-                j += width
-            if j > i + width:
-                reach(j, sum(math.log10(_alphabet(c)) for c in unit) + math.log10((j - i) // width))
-        for step in (1, -1):
-            j = i + 1
-            while j < n and ord(low[j]) - ord(low[j - 1]) == step:
-                j += 1
-            if j - i >= 3:
-                reach(j, 1.0 + math.log10(j - i))
+            times = again[width][i] // width + 1
+            if times > 1:
+                reach(i + times * width, sum(math.log10(_alphabet(c)) for c in low[i : i + width]) + math.log10(times))
+        for run in steps:
+            if run[i] >= 2:
+                reach(i + run[i] + 1, 1.0 + math.log10(run[i] + 1))
         for j in _wordlike(value, i):
             reach(j, _DICTIONARY)
-        j, turns, before = i + 1, 0, None
-        while j < n and (way := _way(low[j - 1], low[j])) is not None:
-            turns += way != before
-            before = way
-            j += 1
-        if j - i >= 3:
-            reach(j, math.log10(40 * (j - i)) + 0.5 * turns)
+        if walks[i] >= 2:
+            reach(i + walks[i] + 1, math.log10(40 * (walks[i] + 1)) + 0.5 * turns[i])
     return best[n]
 
 
@@ -165,7 +172,7 @@ def scan(text: str | None) -> list[tuple[int, int, int, float | None]]:
     if "password" in low or "passwd" in low or "secret" in low or "token" in low or "api" in low:
         for m in ASSIGN.finditer(text):
             if len(m[2]) >= LEAST["assign"]:
-                spans.append((*m.span(), 0, guess_cost(m[2][:200])))
+                spans.append((*m.span(), 0, guess_cost(m[2])))
     if "AKIA" in text:
         spans += [(*m.span(), 1, None) for m in ACCESS.finditer(text) if len(m[0]) >= LEAST["access"]]
     if _hex_run(text.encode()):

@@ -199,3 +199,11 @@ def test_compound_names_are_contexts(name):
 
 def test_other_words_are_no_contexts():
     assert all(secrets.scan(f"{name}=Zq8$kX!1vPw") == [] for name in ("author", "opinion", "compass", "spinning"))
+
+
+def test_long_values_are_whole():
+    value = "".join(random.Random(3).choices("abcXYZ019+/", k=600))
+    assert [x[:3] for x in secrets.scan(f"Authorization: Bearer {value} end")] == [(22, 622, 3)]
+    (found,) = (x for x in secrets.scan(f"token={value}") if x[2] == 0)
+    assert found[3] == secrets.guess_cost(value) > 600
+    assert secrets.guess_cost("z" * 100_000) < 10  # linear: a run is no piece for each of its places
