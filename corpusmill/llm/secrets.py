@@ -2,10 +2,11 @@
 
 A value that stands where a credential stands ("password: ...", "pwd=...", "Authorization:
 Bearer ...") is split into pieces at the least total cost by dynamic programming. A piece
-is a common word, a run of letters that reads like a word, a date, a repeat, a keyboard
-walk, a sequence or brute force; its cost is the log10 of the guesses that a cracker needs. Values that are costly to guess are
-machine-made secrets and become spans of kind `guess`; cheap ones ("password: monkey12")
-are prose or examples.
+is a common word, a word of the corpus, a run of letters at the price of its letter pairs,
+a date, a repeat, a keyboard walk, a sequence or brute force; its cost is the log10 of the
+guesses that a cracker needs. Values that are costly to guess are machine-made secrets and
+become spans of kind `guess`; cheap ones ("password: monkey12") are prose or examples. Words
+are counted over all documents, outside of such values.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 import math
 import re
 from array import array
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -59,7 +61,28 @@ _DATE = re.compile(r"(?:19|20)\d\d(?:[-/._]?(?:0[1-9]|1[0-2])(?:[-/._]?(?:0[1-9]
 
 
 _KEY = {c: (r, i) for r, row in enumerate(ROWS) for i, c in enumerate(row)}
-_DICTIONARY = math.log10(50_000)  # guesses for a word of a large dictionary
+_DICTIONARY = math.log10(50_000)  # guesses for a run of letters of other scripts
+
+MOST_WORDS = 100_000  # of the corpus, the commonest first, that every task gets
+IN_DOCUMENTS = 3  # a word stands in so many documents, outside of credential contexts
+LONGEST_WORD = 24
+
+#: Cost of a letter (column) after another (row; the first row is a word's start), in quarters
+#: of a bit as base-36 digits. Counted once in English prose (the docstrings of Python's library).
+_BIGRAMS = (
+    "gjdghinlhvsjhlkfugdhmolzvz zjfjzulzjzrbjdzjzcg9ppvtnz cqlscvwzdnz9tyeszhhodzzzlz czmzczzeizhizz8zzkrcizzzsz "
+    "evuj6tsz9wzmzugzzlgpizzvsz iwgconnzszzikcxlqabhzotjvz ezzzcezz8zzgywayzgqkgzzzkz gzzz8vjedzzknghyzdgqfzzzxz "
+    "azzz7zzzbzzoqtbzziqglzzznz kofiiljzzzvii7dnznhezkzrzl czzz8zzzfwqzxz9uzzhz8xzzxz ktzq5sozauyivltlzzcvnzizuz "
+    "cvsk8wyzazydzzduzzjjjtzzez 9kzz8zzzczzriuebzzlxizzzsz fzgdenazhzqrxoiuzzdannzzwz pnjiurnzpzpgg8lizbjigliuzz "
+    "bzzqazzpizzczxdgzbkgkzzzlz pzzzzzzzzzzmtzzzzprx0zzzzz cwnl7spzczprimeuzkggmrvzlz kziy9qziczopswhhuze9fzxzpz "
+    "ezpw8zzg8zzowzgvzegkkzvzkz hjinhonzjzzefbqgzcddzzzzzz 9zzz3zzzbzzzzzjzzzzzzzzzzz ayzubzzcazwnzfdzzdgwzzzzzz "
+    "gzduauzwbzzqpzz9zts9zzzwoz oqnlgtpzdzzhhgiazobeqslxmq czzu3vzzezzyyzfzzzmzzzzznr"
+).split()
+_AFTER = {
+    (a, b): int(_BIGRAMS[i][j], 36) / 4 * math.log10(2)
+    for i, a in enumerate("^abcdefghijklmnopqrstuvwxyz")
+    for j, b in enumerate("abcdefghijklmnopqrstuvwxyz")
+}
 
 
 def _way(a: str, b: str) -> tuple[int, int] | None:
@@ -70,22 +93,25 @@ def _way(a: str, b: str) -> tuple[int, int] | None:
     return (q - r, j - i) if abs(q - r) <= 1 and abs(j - i) <= 1 else None
 
 
-def _wordlike(value: str, i: int) -> Iterator[int]:
-    """Ends of runs from i that read like a word: letters of one case (a capital may lead),
-    a vowel among them and never more than four consonants in a row."""
-    consonants, vowel = 0, False
-    for j in range(i, min(len(value), i + 24)):
+def _letters(value: str, low: str, i: int, ranks: dict[str, int]) -> Iterator[tuple[int, float]]:
+    """(end, cost) of runs from i that may be words: letters of one case (a capital may lead).
+
+    A word of the corpus costs its rank, another run what its letters are worth after each
+    other. Letters beyond ASCII cost brute force there; runs of nothing else cost a
+    dictionary, as scripts without spaces have no words to count.
+    """
+    cost, before, plain = 0.0, "^", 0
+    for j in range(i, min(len(value), i + LONGEST_WORD)):
         c = value[j]
         if not c.isalpha() or (j > i + 1 and c.isupper() != value[i + 1].isupper()) or (j == i + 1 and c.isupper() and not value[i].isupper()):
             return
-        if c.lower() in "aeiouy" or ord(c) > 127:
-            consonants, vowel = 0, True
-        else:
-            consonants += 1
-        if consonants > 4:
-            return
-        if vowel and j - i >= 2:
-            yield j + 1
+        cost += _AFTER.get((before, low[j]), math.log10(26))
+        before = low[j]
+        plain += ord(c) < 128
+        if j - i >= 2:
+            rank = ranks.get(low[i : j + 1])
+            known = math.log10(rank + len(WORDS)) if rank else math.inf
+            yield j + 1, min(cost, known, math.inf if plain else _DICTIONARY)
 
 
 def _alphabet(c: str) -> int:
@@ -100,9 +126,11 @@ def _runs_on(n: int, same: Callable[[int], bool]) -> array:
     return out
 
 
-def guess_cost(value: str) -> float:
+def guess_cost(value: str, ranks: dict[str, int] = {}) -> float:  # noqa: B006
     """log10 of the guesses for a value: the least sum over its segmentations.
 
+    ranks: words of the corpus, the commonest is 1.
+
     best[j] is the least cost of the first j characters. Each piece adds its own cost, and
     log10(2) for the choice of its kind. Lengths of repeats, sequences and walks are found
     before, from the end, so that the work is linear in the value's length.
@@ -143,8 +171,8 @@ def guess_cost(value: str) -> float:
         for run in steps:
             if run[i] >= 2:
                 reach(i + run[i] + 1, 1.0 + math.log10(run[i] + 1))
-        for j in _wordlike(value, i):
-            reach(j, _DICTIONARY)
+        for j, cost in _letters(value, low, i, ranks):
+            reach(j, cost)
         if walks[i] >= 2:
             reach(i + walks[i] + 1, math.log10(40 * (walks[i] + 1)) + 0.5 * turns[i])
     return best[n]
@@ -158,7 +186,7 @@ def _hex_run(raw: bytes) -> bool:
 _HEX_MARK = bytes(1 if c in b"0123456789abcdef" else 0 for c in range(256))
 
 
-def scan(text: str | None) -> list[tuple[int, int, int, float | None]]:
+def scan(text: str | None, ranks: dict[str, int] = {}) -> list[tuple[int, int, int, float | None]]:  # noqa: B006
     """(start, end, kind, cost) in code points, in order of start and kind.
 
     The fixed patterns come first and stay as they are. A value in a credential context
@@ -172,7 +200,7 @@ def scan(text: str | None) -> list[tuple[int, int, int, float | None]]:
     if "password" in low or "passwd" in low or "secret" in low or "token" in low or "api" in low:
         for m in ASSIGN.finditer(text):
             if len(m[2]) >= LEAST["assign"]:
-                spans.append((*m.span(), 0, guess_cost(m[2])))
+                spans.append((*m.span(), 0, guess_cost(m[2], ranks)))
     if "AKIA" in text:
         spans += [(*m.span(), 1, None) for m in ACCESS.finditer(text) if len(m[0]) >= LEAST["access"]]
     if _hex_run(text.encode()):
@@ -183,7 +211,7 @@ def scan(text: str | None) -> list[tuple[int, int, int, float | None]]:
             a, b = m.span(1)
             if any(s <= a and b <= e for s, e, _, _ in fixed):
                 continue
-            if (cost := guess_cost(m[1])) >= STRONG:
+            if (cost := guess_cost(m[1], ranks)) >= STRONG:
                 spans.append((a, b, 3, cost))
     return sorted(spans, key=lambda x: (x[0], x[2], x[1]))
 
@@ -192,14 +220,53 @@ FOUND = "spans array<struct<kind:string,start:long,end:long,log10_guesses:double
 _FOUND = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("log10_guesses", pa.float64())]))
 
 
+_RUN_OF_LETTERS = re.compile(r"[^\W\d_]+")
+
+
+def count_words(docs: DataFrame) -> DataFrame:
+    """(word, n): documents in which each word of 3 to LONGEST_WORD letters stands.
+
+    Values in credential contexts don't count, so that a secret doesn't vouch for itself.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter[str] = Counter()
+
+        def flush() -> pa.RecordBatch:
+            rows = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
+            seen.clear()
+            return rows
+
+        for batch in batches:
+            for text in batch.column("text"):
+                text = text.as_py() or ""
+                low = text.lower()
+                if any(x in low for x in HINTS):
+                    low = ASSIGN.sub(" ", CONTEXT.sub(" ", text)).lower()
+                seen.update(w for w in set(_RUN_OF_LETTERS.findall(low)) if 3 <= len(w) <= LONGEST_WORD)
+                if len(seen) > 200_000:
+                    yield flush()
+        yield flush()
+
+    return docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def word_ranks(docs: DataFrame) -> dict[str, int]:
+    """Ranks of the MOST_WORDS commonest words of IN_DOCUMENTS documents or more."""
+    # Every partition sends its commonest to the driver: few partitions, however large the input.
+    words = count_words(docs).where(F.col("n") >= IN_DOCUMENTS).repartition(8).orderBy(F.desc("n"), "word").limit(MOST_WORDS)
+    return {r["word"]: i for i, r in enumerate(words.collect(), 1)}
+
+
 def find(docs: DataFrame) -> DataFrame:
     """Columns of docs with `spans` added (or replaced). A null or empty text has none."""
     docs = docs.drop("spans")
+    ranks = docs.sparkSession.sparkContext.broadcast(word_ranks(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [
-                [{"kind": KINDS[k], "start": a, "end": b, "log10_guesses": c} for a, b, k, c in scan(text.as_py())]
+                [{"kind": KINDS[k], "start": a, "end": b, "log10_guesses": c} for a, b, k, c in scan(text.as_py(), ranks.value)]
                 for text in batch.column("text")
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, _FOUND)], [*batch.schema.names, "spans"])

@@ -207,3 +207,13 @@ def test_long_values_are_whole():
     (found,) = (x for x in secrets.scan(f"token={value}") if x[2] == 0)
     assert found[3] == secrets.guess_cost(value) > 600
     assert secrets.guess_cost("z" * 100_000) < 10  # linear: a run is no piece for each of its places
+
+
+def test_drawn_letters_are_no_words(spark, docs):
+    rng = random.Random(5)
+    drawn = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=k)) for k in (12, 16, 20, 24) for _ in range(50)]
+    assert sum(secrets.guess_cost(v) >= secrets.STRONG for v in drawn) >= 198
+    rows = [(i, f"an unforgettable internationalisation {i}") for i in range(3)] + [(8, "passphrase: unforgettable")]
+    rows += [(10 + i, f"pwd: {drawn[0]} ") for i in range(5)]
+    got = {r["doc_id"]: [x["kind"] for x in r["spans"]] for r in secrets.find(docs(*rows)).collect()}
+    assert got[8] == [] and all(got[10 + i] == ["guess"] for i in range(5))
