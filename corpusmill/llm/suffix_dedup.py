@@ -144,17 +144,26 @@ _NAMES = ["doc_id", "k", "h", "parts", "weight", "s", "stretch"]
 _KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
 
 
-def _stretches(batch: pa.RecordBatch, length: int, most: int = 2000) -> Iterator[pa.RecordBatch]:
-    """The bytes of the runs in column `todo` of each document, `most` at a time."""
+def _stretches(batches: Iterator[pa.RecordBatch], length: int, most: int = 2000) -> Iterator[pa.RecordBatch]:
+    """The bytes of the runs in column `todo` of each document, `most` at a time.
+
+    Rows repeated with their doc_id have the same runs; a task sends them once.
+    """
     rows: list[tuple] = []
+    sent: set[tuple] = set()
 
     def out() -> pa.RecordBatch:
         made = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _KINDS, strict=True)]
         rows.clear()
         return pa.RecordBatch.from_arrays(made, _NAMES)
 
-    for doc, k, text, todo in zip(*(batch.column(c) for c in ("doc_id", "k", "text", "todo")), strict=True):
-        doc, k, raw = doc.as_py(), k.as_py(), (text.as_py() or "").encode()
+    for doc, k, text, todo in (x for b in batches for x in zip(*(b.column(c) for c in ("doc_id", "k", "text", "todo")), strict=True)):
+        doc, k = doc.as_py(), k.as_py()
+        if (doc, k) in sent:
+            continue
+        if any(x["weight"].as_py() > 1 for x in todo):
+            sent.add((doc, k))
+        raw = (text.as_py() or "").encode()
         for x in todo:
             s = x["s"].as_py()
             h, parts, weight = (x[n].as_py() for n in ("h", "parts", "weight"))
@@ -205,7 +214,7 @@ def _sort_classes(marked: DataFrame, length: int) -> DataFrame:
                 for i, j in _groups(part.column("h").to_numpy(), SLAB // length):
                     yield spans([part.slice(i, j - i)])
 
-    contexts = marked.mapInArrow(lambda batches: (x for b in batches for x in _stretches(b, length)), _CONTEXT)
+    contexts = marked.mapInArrow(lambda batches: _stretches(batches, length), _CONTEXT)
     return contexts.repartition("h").sortWithinPartitions("h").mapInArrow(run, _SPAN)
 
 
@@ -271,7 +280,7 @@ def _mark_parts(key: tuple, parts: pa.Table, again: pa.Table, length: int) -> pa
 
 def _sort_large_classes(marked: DataFrame, length: int) -> DataFrame:
     """Spans found in classes that are cut into parts."""
-    contexts = marked.mapInArrow(lambda batches: (x for b in batches for x in _stretches(b, length)), _CONTEXT)
+    contexts = marked.mapInArrow(lambda batches: _stretches(batches, length), _CONTEXT)
     contexts = contexts.withColumn("part", F.pmod(F.xxhash64("doc_id", "k", "s"), F.col("parts")).cast("int"))
     sent = contexts.groupBy("h", "part").applyInArrow(lambda key, t: _send_digits(key, t, length), _PART)
     again = sent.groupBy("h", "bucket").applyInArrow(_count_digits, "h long, part int, digits binary")
@@ -279,16 +288,14 @@ def _sort_large_classes(marked: DataFrame, length: int) -> DataFrame:
     return both.applyInArrow(lambda key, a, b: _mark_parts(key, a, b, length), _SPAN)
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
-    """docs must have doc_id, k (hash of the text) and text. Gives (doc_id, k, spans).
+def marked_runs(found: DataFrame, hot: int = HOT) -> DataFrame:
+    """Runs with n (runs of this kind), parts of their class, and whether they are `todo`.
 
-    spans: byte ranges whose union is what repeated windows cover, for documents with any.
+    A run without an equal is compared with one run of each kind in its class, so that
+    copies of a text don't fill a task.
     """
-    found = find_runs(docs, length)
-    # The tables of keys are written, so that joins with them deal anew and Spark can split a hot key.
-    again = stash(found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "suffix-keys")
-    found = stash(found.join(again, "h", "left_semi"), "suffix-runs")
-    stretches = stash(found.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.max("k").alias("top")), "suffix-stretches")
+    pick = F.xxhash64("doc_id", "k", "s")
+    stretches = stash(found.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(pick).alias("pick")), "suffix-stretches")
     classes = (
         stretches.groupBy("h")
         .agg(F.count_if(F.col("n") == 1).alias("single"), F.count(F.lit(1)).alias("different"))
@@ -297,13 +304,24 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
     )
     classes = stash(classes, "suffix-classes")
     marks = found.join(stretches, ["h", "c"]).join(classes, "h", "left")
-    # A run without an equal is compared with one of each kind of run in its class.
-    todo = F.col("parts").isNotNull() & ((F.col("n") == 1) | (F.col("k") == F.col("top")))
+    return marks.withColumn("todo", F.col("parts").isNotNull() & (F.col("pick") == pick)).drop("pick")
+
+
+def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
+    """docs must have doc_id, k (hash of the text) and text. Gives (doc_id, k, spans).
+
+    spans: byte ranges whose union is what repeated windows cover, for documents with any.
+    """
+    found = find_runs(docs, length)
+    # The tables of keys are written, so that joins with them deal anew and Spark can split a hot key.
+    again = stash(found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "suffix-keys")
+    found = stash(found.join(again, "h", "left_semi"), "suffix-runs")
+    marks = marked_runs(found, hot)
     weight = F.least("n", F.lit(2)).cast("int")
     lists = (
-        marks.where(todo)
+        marks.where("todo")
         .groupBy("doc_id", "k")
-        .agg(F.collect_list(F.struct("h", "parts", weight.alias("weight"), "s", "e")).alias("todo"))
+        .agg(F.collect_set(F.struct("h", "parts", weight.alias("weight"), "s", "e")).alias("todo"))
     )
     whole = marks.where("n > 1").select(
         "doc_id", "k", F.col("s").cast("long").alias("a"), (F.col("e") + F.lit(length)).cast("long").alias("b")

@@ -154,3 +154,13 @@ def test_components(spark, edges):
 def test_components_of_a_chain(spark):
     df = spark.range(200).selectExpr("id * 7 % 1009 AS a", "(id + 1) * 7 % 1009 AS b")
     assert {r["root"] for r in components(df).collect()} == {min(i * 7 % 1009 for i in range(201))}
+
+
+def test_copies_send_one_run_of_each_kind(spark, docs):
+    text = " ".join(random.Random(4).choices([f"w{i}" for i in range(500)], k=200))
+    rows = [(i, text) for i in range(40)] + [(0, text)] * 5 + [(99, text[:450] + "#" + text[450:])]
+    d = docs(*rows).select("doc_id", F.xxhash64("text").alias("k"), "text")
+    sent = sd.marked_runs(sd.find_runs(d, 200)).where("todo")
+    kinds = sent.groupBy("h", "c").agg(F.countDistinct("doc_id", "k", "s").alias("runs")).collect()
+    assert kinds and all(r["runs"] == 1 for r in kinds)
+    assert removed(docs(*rows)) == sorted(brute_removal([t for _, t in rows], 200))
