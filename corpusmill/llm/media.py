@@ -25,12 +25,14 @@ from corpusmill.llm.common import table
 
 BLOCK = 64
 RATE = 8000
-FRAME = 256
-HOP = 256
-PEAKS = 2
-REACH = 2  # frames ahead in which a peak finds its partners
-_WINDOW = np.hanning(FRAME).astype(np.float32)
+FRAME = 64
+HOP = 32
+PEAKS = 3
+REACH = 3  # frames ahead in which a peak finds its partners
+FLOOR = 1 / 32  # of a frame's strongest peak; weaker ones are noise
+_WINDOW = np.hanning(FRAME + 2)[1:-1].astype(np.float32)
 _SLAB = 2048  # frames transformed at once
+_ROWS = 100  # rows whose pairs are held at once
 
 
 def to_wav(payload: bytes) -> bytes:
@@ -59,13 +61,16 @@ def pad(raw: bytes) -> bytes:
 def peaks(samples: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Frequency bins of the PEAKS strongest local maxima of each frame, and their strength."""
     x = np.frombuffer(samples, np.uint8)
-    n = max(1, -(-(len(x) - FRAME) // HOP) + 1)
-    full = np.full((n - 1) * HOP + FRAME, 128, np.uint8)
-    full[: len(x)] = x
+    x = np.full(1, 128, np.uint8) if len(x) == 0 else x
+    n = -(-(len(x) + FRAME - 2 * HOP) // HOP) + 1
+    before = FRAME - HOP
+    # The ends are held, so that every sample lies in as many frames as those in the middle.
+    full = np.pad(x, (before, (n - 1) * HOP + FRAME - before - len(x)), "edge")
     bins, power = np.zeros((n, PEAKS), np.int64), np.zeros((n, PEAKS), np.float32)
     views = np.lib.stride_tricks.sliding_window_view(full, FRAME)[::HOP]
     for at in range(0, n, _SLAB):
-        part = (views[at : at + _SLAB].astype(np.float32) - np.float32(128)) * _WINDOW
+        part = views[at : at + _SLAB].astype(np.float32)
+        part = (part - part.mean(axis=1, keepdims=True)) * _WINDOW
         spec = np.abs(np.fft.rfft(part, axis=1))
         inner = spec[:, 1:-1]
         inner = np.where((inner > spec[:, :-2]) & (inner >= spec[:, 2:]), inner, 0)
@@ -75,6 +80,7 @@ def peaks(samples: bytes) -> tuple[np.ndarray, np.ndarray]:
             bins[at : at + len(best), p] = best + 1
             power[at : at + len(best), p] = inner[rows, best]
             inner[rows, best] = 0
+    power[power < power[:, :1] * np.float32(FLOOR)] = 0
     return bins, power
 
 
@@ -93,9 +99,8 @@ def pairs(samples: bytes) -> tuple[np.ndarray, np.ndarray]:
                 codes.append((bins[at, p] << 10) | (bins[at + step, q] << 2) | step)
     if not times:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    t, c = np.concatenate(times), np.concatenate(codes)
-    order = np.lexsort((c, t))
-    return t[order], c[order]
+    key = np.sort((np.concatenate(times) << 16) | np.concatenate(codes))  # codes have 16 bits
+    return key >> 16, key & 0xFFFF
 
 
 def store(docs: DataFrame) -> DataFrame:
@@ -133,7 +138,7 @@ def fingerprint(df: DataFrame) -> DataFrame:
     payload_bytes, payload_sha256, tail_crc32 (last BLOCK bytes), media_bytes,
     media_sha256 and `fingerprint`, an array of (time, hash) in order. A null media gives
     nulls and an empty fingerprint; data that is no 8-bit mono WAV raises. Silence and
-    texts of one frame have no pairs.
+    other constant payloads have no pairs.
     """
     added = [*_PLAIN, "fingerprint"]
     df = df.drop(*added)
@@ -141,7 +146,7 @@ def fingerprint(df: DataFrame) -> DataFrame:
     out = StructType([*df.select(*kept).schema.fields, *StructType.fromDDL(_READ).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, _ROWS) for b in batches for i in range(0, b.num_rows, _ROWS)):
             plain: dict[str, list] = {k: [] for k in _PLAIN}
             times, codes, ends = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [0]
             for data in (x.as_py() for x in batch.column("media")):

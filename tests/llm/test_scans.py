@@ -217,3 +217,18 @@ def test_drawn_letters_are_no_words(spark, docs):
     rows += [(10 + i, f"pwd: {drawn[0]} ") for i in range(5)]
     got = {r["doc_id"]: [x["kind"] for x in r["spans"]] for r in secrets.find(docs(*rows)).collect()}
     assert got[8] == [] and all(got[10 + i] == ["guess"] for i in range(5))
+
+
+def test_all_samples_reach_the_fingerprint():
+    def found(raw):
+        return list(zip(*(x.tolist() for x in media.pairs(bytes(raw))), strict=True))
+
+    text = bytearray(b"the quick brown fox jumps over the lazy dog; " * 23)[:1024]
+    for i in (0, 255, 256, 511, 512, 767, 1023):
+        other = bytearray(text)
+        other[i] = 0
+        assert not (media.peaks(bytes(other))[1] == media.peaks(bytes(text))[1]).all()
+    rng = random.Random(6)
+    words = ["river", "stone", "quick", "lamp", "orange", "cloud", "zebra", "violin", "paper", "jump"]
+    short = [found(media.pad(" ".join(rng.choices(words, k=8)).encode())) for _ in range(20)]
+    assert all(short) and len({str(x) for x in short}) == 20
