@@ -1,10 +1,9 @@
-"""Near duplicates: n-gram Jaccard self-join by a MinHash LSH forest with exact verification.
+"""Near duplicates: n-gram Jaccard self-join by banded MinHash LSH with exact verification.
 
-A forest of TREES tries holds each distinct text once in every tree, under a sequence of
-MinHash values. Two texts of similarity s share a prefix of length d in some tree with
-probability 1 - (1 - s^d)^TREES. Matching starts with long prefixes and shortens them until
-a pair at the threshold is met with the target recall; the texts below a trie node of that
-depth form a class of candidates. Classes with the same members are kept once.
+This stands in place of an LSH forest: each distinct text has TREES bands of one length d,
+found by a formula from the threshold and the target recall, not by looking at the data.
+Two texts of similarity s share a band with probability 1 - (1 - s^d)^TREES. The texts of
+a band's value form a class of candidates. Classes with the same members are kept once.
 
 Inside a class every pair is verified on its whole shingle sets. Classes are cut into
 blocks of at most BLOCK texts and each pair of blocks is a unit of work, so that a large
