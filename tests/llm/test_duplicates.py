@@ -113,10 +113,40 @@ def test_jaccard_equals_brute_force(spark, docs, monkeypatch, block):
     assert kept.columns == df.columns
 
 
-def test_recall_of_the_forest_at_the_threshold():
-    d = jaccard.prefix_length(0.8)
-    assert 1 - (1 - 0.8**d) ** jaccard.TREES >= jaccard.RECALL
-    assert 1 - (1 - 0.8 ** (d + 1)) ** jaccard.TREES < jaccard.RECALL
+def test_prefix_is_shortened_by_what_is_met():
+    assert jaccard.shorten({99: 100_000}, 8, 0.8, 0.999) == 8
+    assert jaccard.shorten({80: 100_000}, 8, 0.8, 0.999) == 6
+    assert jaccard.shorten({}, 8, 0.8, 0.999) == 6
+    assert jaccard.shorten({90: 50_000, 80: 50_000}, 8, 0.8, 0.99999) == 4
+    assert jaccard.recall_at({}, 8, 8, 0.8) == jaccard.met(0.8, 8)
+
+
+def with_similarity(rng, shared, own, n):
+    """Pairs of texts that share `shared` of `shared + 2 * own` shingles."""
+    out = []
+    for _ in range(n):
+        base = [f"v{rng.randrange(10**6)}" for _ in range(shared + own + 4)]
+        other = [f"u{rng.randrange(10**6)}" for _ in range(own)]
+        out.append((" ".join(base), " ".join(base[: shared + 4] + other)))
+    return out
+
+
+@pytest.mark.parametrize("shared,own", [(80, 10), (85, 8), (90, 5)])
+def test_recall_of_planted_pairs(spark, docs, shared, own):
+    pairs = with_similarity(random.Random(shared), shared, own, 300)
+    rows = [(2 * i + j, t) for i, pair in enumerate(pairs) for j, t in enumerate(pair)]
+    got = {r["doc_id"]: r for r in jaccard.near_duplicates(docs(*rows)).collect()}
+    assert sum(got[2 * i + 1]["class_id"] == 2 * i and got[2 * i]["n_links"] == 1 for i in range(300)) == 300
+    far = with_similarity(random.Random(shared), 79, 11, 300)
+    rows = [(2 * i + j, t) for i, pair in enumerate(far) for j, t in enumerate(pair)]
+    assert all(r["n_links"] == 0 for r in jaccard.near_duplicates(docs(*rows)).collect())
+
+
+def test_words_made_to_collide_are_no_links(spark, docs):
+    """Thue-Morse words have equal polynomial hashes modulo a power of two."""
+    a = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    b = a.translate(str.maketrans("ab", "ba"))
+    assert [r["n_links"] for r in jaccard.near_duplicates(docs((1, a), (2, b))).collect()] == [0, 0]
 
 
 def test_jaccard_edges(spark, docs):
