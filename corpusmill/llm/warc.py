@@ -58,12 +58,13 @@ class Source:
     def __init__(self, data: bytes):
         self.data, self.at, self.out = data, 0, b""
         self.zipped = data[:2] == b"\x1f\x8b"
-        self.gz = zlib.decompressobj(31) if self.zipped else None
+        self.gz = None
 
     def _more(self) -> bool:
+        """Adds to `out`; False at the end of the member (or of an archive that isn't compressed)."""
         if not self.zipped:
             self.out += self.data[self.at : self.at + STEP]
-            self.at, more = self.at + STEP, self.at < len(self.data)
+            self.at, more = min(self.at + STEP, len(self.data)), self.at < len(self.data)
             return more
         if self.gz is None or self.gz.eof:
             return False
@@ -71,19 +72,27 @@ class Source:
         if not piece:
             piece = self.data[self.at : self.at + STEP]
             self.at += len(piece)
-            if not piece:
-                raise ValueError("archive ends within a member")
-        self.out += self.gz.decompress(piece, STEP)
+        # Without input left, the decompressor may still hold output back.
+        got = self.gz.decompress(piece, STEP)
+        if not piece and not got and not self.gz.eof:
+            raise ValueError("archive ends within a member")
+        self.out += got
         if self.gz.eof:
             self.at -= len(self.gz.unused_data)
         return True
 
-    def next_member(self) -> bool:
-        """False at the end of the archive."""
-        if not self.zipped:
-            return bool(self.out) or self.at < len(self.data)
-        self.gz, self.out = zlib.decompressobj(31), b""
-        return self.at < len(self.data)
+    def next_record(self) -> bool:
+        """Whether a record follows, in this member or the next; False at the end of the archive.
+
+        A member is read to its end first, so that zlib has checked its trailer.
+        """
+        while not self.out:
+            if self._more():
+                continue
+            if self.at >= len(self.data):
+                return False
+            self.gz = zlib.decompressobj(31)
+        return True
 
     def line(self) -> bytes:
         while (end := self.out.find(b"\r\n")) < 0:
@@ -106,10 +115,12 @@ class Source:
 
 
 def records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header (names in lower case) and block of each record of an archive."""
-    src, first = Source(data), True
-    while (first and not src.zipped and bool(data)) or src.next_member():
-        first = False
+    """Header (names in lower case) and block of each record of an archive.
+
+    Usually a member holds one record; further ones in it are read too.
+    """
+    src = Source(data)
+    while src.next_record():
         version = src.line()
         if not version.startswith(b"WARC/"):
             raise ValueError(f"not a WARC record: {version[:20]!r}")
@@ -131,7 +142,8 @@ def plan_records(pages: DataFrame, least: int = DEDUP_FROM) -> DataFrame:
     Of pages with equal payloads of at least `least` bytes, that with the largest page_id
     (null is below all) is the response and the others revisit it. Rows repeated with that
     same page_id are responses too, since they can't refer to themselves. A null html is
-    an empty payload.
+    an empty payload. No pages give no rows; other columns of pages, whatever their names,
+    are neither read nor returned.
     """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select(
@@ -144,6 +156,7 @@ def plan_records(pages: DataFrame, least: int = DEDUP_FROM) -> DataFrame:
         .where("__n > 1")
         .drop("__n")
     )
+    copies = stash(copies, "warc-copies")  # so that the join deals it anew and Spark can split a hot payload's pages
     revisit = F.col("__first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("__first"))
     return rows.join(copies, ["sha1", "payload_bytes"], "left").select(
         "page_id",
@@ -239,7 +252,11 @@ def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """Records of .warc and .warc.gz files below a path."""
+    """Records of .warc and .warc.gz files below a path.
+
+    Spark holds a file as one value, hence files of 2 GB and more raise; archives are commonly
+    cut at 1 GB.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc*").option("recursiveFileLookup", "true").load(path)
     return read_archives(files.select(F.col("content").alias("bytes")))
 

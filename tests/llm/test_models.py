@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -76,47 +77,108 @@ def test_temperature_calibrates():
     assert abs(p.mean() - y.mean()) < 0.05 and m.temperature > 0
 
 
-def slow_score(model, text):
-    raw, offs = common.utf8(pa.array([text]))
-    h, _, _, rows = common.token_runs(raw, offs, lm_scoring._KIND)
-    word = (h >> np.uint64(48)).astype(int)
-    c = [lm_scoring.EDGE] * 2 + model.vocabulary.classes[word].tolist() + [lm_scoring.EDGE] * 2
-    w, total = [x.astype(float) for x in model.weights], 0.0
-    for i in range(len(word)):
-        around = [c[i], c[i + 1], c[i + 3], c[i + 4]]
-        z = np.tanh(w[0][around].ravel() @ w[1] + w[2]) @ w[3] + w[4]
-        total += z[c[i + 2]] - np.log(np.exp(z).sum()) + model.vocabulary.within[word[i]]
-    return len(word), total
-
-
-def test_lm_scores(spark, docs):
-    rows = [(i, "the cat sat on the mat . " * 30) for i in range(20)] + [(90, None), (91, ""), (92, "mat the on sat"), (93, "the cat sat on the mat ."), (93, "the cat sat on the mat .")]
-    d = docs(*rows).withColumn("log_prob", F.lit("x"))
-    model = lm_scoring.train(d)
-    got = {r["doc_id"]: r for r in lm_scoring.score(d, model).collect()}
-    for i, text in rows:
-        n, total = slow_score(model, text)
-        assert got[i]["n_tokens"] == n and abs(got[i]["log_prob"] - total) < 1e-3 * (1 + abs(total))
-        assert (got[i]["mean_log_prob"] is None) == (n == 0)
-    assert got[93]["mean_log_prob"] > got[92]["mean_log_prob"]
-    again = lm_scoring.train(d)
-    assert all((a == b).all() for a, b in zip(model.weights, again.weights, strict=True))
-    assert lm_scoring.score(d.limit(0), lm_scoring.train(d.limit(0))).collect() == []
-
-
-def test_a_word_distribution_sums_to_one():
-    counts = np.random.default_rng(1).integers(0, 50, 1 << lm_scoring.BUCKET_BITS)
-    v = lm_scoring.Vocabulary.of(counts)
-    assert np.allclose(np.bincount(v.classes, np.exp(v.within)), 1)
+def slow_scores(model, texts):
+    """Scores of all texts, word by word, with counts from dictionaries."""
+    split = []
+    for text in texts:
+        h = common.token_runs(*common.utf8(pa.array([text], pa.string())), lm_scoring._KIND)[0]
+        split.append((h.tolist(), model.vocabulary.classes(h).tolist()))
+    between, words = Counter(), Counter()
+    for h, _ in split:
+        full = [None, *h, None]
+        between.update(zip(full, full[1:], full[2:], strict=False))
+        words.update(h)
+    around, classes = Counter(), Counter()
+    for (a, _, b), n in between.items():
+        around[a, b] += n
+    for h, n in words.items():
+        classes[int(model.vocabulary.classes(np.array([h], np.uint64))[0])] += n
+    w, out = [x.astype(float) for x in model.weights], []
+    for h, c in split:
+        full, padded, total = [None, *h, None], [lm_scoring.EDGE] * 2 + c + [lm_scoring.EDGE] * 2, 0.0
+        for i, y in enumerate(c):
+            x = w[0][[padded[i], padded[i + 1], padded[i + 3], padded[i + 4]]].ravel()
+            z = np.tanh(x @ w[1] + w[2]) @ w[3]
+            p = words[h[i]] / classes[y]
+            for level, (bias, digit) in enumerate(((w[4][0], y >> 8), (w[5][y >> 8], y >> 4 & 15), (w[6][y >> 4], y & 15))):
+                e = np.exp(z[16 * level : 16 * level + 16] + bias)
+                p *= e[digit] / e.sum()
+            n, seen = between[tuple(full[i : i + 3])] - 1, around[full[i], full[i + 2]] - 1
+            total += np.log((lm_scoring.EVIDENCE * p + n) / (lm_scoring.EVIDENCE + seen))
+        out.append((len(c), total))
+    return out
+
+
+def test_lm_scores_equal_brute_force(spark, docs, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "PART_BYTES", 100)
+    rng = np.random.default_rng(4)
+    rows = [(i, "the cat sat on the mat . " * 30) for i in range(8)] + [(90, None), (91, ""), (92, "mat the on sat"), (93, "the cat sat on the mat ."), (93, "the cat sat on the mat .")]
+    rows += [(100 + i, " ".join(f"w{k}" for k in rng.integers(0, 60, 50))) for i in range(12)] + [(99, "x y " * 90_000)]
+    d = docs(*rows).withColumn("log_prob", F.lit("x")).withColumn("tokens", F.lit("kept")).withColumn("rows", F.lit(1)).withColumn("chunk", F.lit("c"))
+    models = []
+    real = lm_scoring.train
+    monkeypatch.setattr(lm_scoring, "train", lambda *x: models.append(real(*x)) or models[-1])
+    got = lm_scoring.score(d, own=9).collect()
+    assert len(got) == len(rows) and all((r["tokens"], r["rows"], r["chunk"], r["lang"]) == ("kept", 1, "c", "en") for r in got)
+    by_id = {r["doc_id"]: r for r in got}
+    for (i, _), (n, total) in zip(rows, slow_scores(models[0], [t for _, t in rows]), strict=True):
+        assert by_id[i]["n_tokens"] == n and abs(by_id[i]["log_prob"] - total) < 1e-3 * (1 + abs(total))
+        assert (by_id[i]["mean_log_prob"] is None) == (n == 0)
+    assert by_id[93]["mean_log_prob"] > by_id[92]["mean_log_prob"]
+    lm_scoring.score(d, own=9).collect()
+    assert all((a == b).all() for a, b in zip(models[0].weights, models[1].weights, strict=True))
+    assert lm_scoring.score(d.limit(0)).collect() == []
+
+
+def test_class_distribution_sums_to_one():
+    rng = np.random.default_rng(1)
+    v = lm_scoring.Vocabulary(np.zeros(0, np.uint64), np.zeros(0, np.int64), 0, rng.integers(0, 50, lm_scoring.CLASSES))
+    model = lm_scoring.Model(v, [x + rng.normal(0, 0.1, x.shape).astype(np.float32) for x in lm_scoring.start_weights(v)])
+    ends = np.array([0, 3])
+    total = sum(np.exp(model.log_probs(np.array([5, y, 700], np.uint16), ends)[1]) for y in range(lm_scoring.CLASSES))
+    assert abs(total - 1) < 1e-4
+    model = lm_scoring.Model(v, lm_scoring.start_weights(v))
+    share = np.exp(model.log_probs(np.array([5, 8, 700], np.uint16), ends)[1])
+    assert abs(share / ((v.counts[8] + 0.5) / (v.counts + 0.5).sum()) - 1) < 0.5
+
+
+def test_gradients_equal_differences():
+    rng = np.random.default_rng(3)
+    v = lm_scoring.Vocabulary(np.zeros(0, np.uint64), np.zeros(0, np.int64), 0, rng.integers(0, 50, lm_scoring.CLASSES))
+    w = [x.astype(np.float64) for x in lm_scoring.start_weights(v)]
+    ctx, y = rng.integers(0, lm_scoring.CLASSES, (6, 4)).astype(np.uint16), rng.integers(0, lm_scoring.CLASSES, 6)
+
+    def loss(w):
+        _, _, e, digits = lm_scoring._forward(w, ctx, y)
+        return -np.log(np.take_along_axis(e, digits[:, :, None], axis=2)[:, :, 0] / e.sum(axis=2)).sum(axis=1).mean()
+
+    net = lm_scoring.Adam(w)
+    net.step(ctx, y)
+    for k, (m, shape) in enumerate(zip(net.m, lm_scoring._SHAPES, strict=True)):
+        spot = np.unravel_index(np.abs(m).argmax(), shape)
+        up = [x.copy() for x in w]
+        up[k][spot] += 1e-5
+        assert abs((loss(up) - loss(w)) / 1e-5 - m[spot] * 10) < 1e-3
 
 
 def test_training_learns(spark, docs):
     rng = np.random.default_rng(2)
-    cycle = [" ".join(f"t{(i + j) % 7}" for j in range(400)) for i in range(30)]
-    d = docs(*enumerate(cycle)).coalesce(1)
-    model = lm_scoring.train(d)
-    first = lm_scoring.Model(model.vocabulary, lm_scoring.start_weights())
-    mean = lambda m, df: df.select("text").transform(lambda x: lm_scoring.score(x, m)).agg(F.avg("mean_log_prob")).first()[0]
-    assert mean(model, d) > mean(first, d) + 0.5
-    shuffled = docs(*enumerate(" ".join(rng.permutation(t.split())) for t in cycle))
-    assert mean(model, d) > mean(model, shuffled)
+    cycle = [" ".join(f"t{(i + j) % 7}" for j in range(600)) for i in range(120)]
+    tokens = lm_scoring.tokenize(docs(*enumerate(cycle)).coalesce(1), ["doc_id"])
+    model = lm_scoring.train(tokens)
+    first = lm_scoring.Model(model.vocabulary, lm_scoring.start_weights(model.vocabulary))
+
+    def mean(m, texts):
+        h, _, _, ends = common.token_runs(*common.utf8(pa.array(texts)), lm_scoring._KIND)
+        return m.log_probs(m.vocabulary.classes(h), ends).mean()
+
+    assert mean(model, cycle) > mean(first, cycle) + 0.5
+    assert mean(model, cycle) > mean(model, [" ".join(rng.permutation(t.split())) for t in cycle])
+
+
+def test_documents_that_occur_twice_score_apart(spark, docs):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{k}" for k in rng.zipf(1.3, 200) % 500) for _ in range(60)]
+    got = {r["doc_id"]: r["mean_log_prob"] for r in lm_scoring.score(docs(*enumerate(texts), (100, texts[7]), (101, texts[31]))).collect()}
+    twice = [got[i] for i in (7, 31, 100, 101)]
+    assert min(twice) > max(v for i, v in got.items() if i not in (7, 31, 100, 101)) + 0.5

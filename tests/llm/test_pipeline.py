@@ -4,6 +4,7 @@ from collections import Counter
 import duckdb
 import pytest
 from test_duplicates import brute_classes
+from pyspark.sql import functions as F
 from test_scans import brute
 
 import corpus_pipeline
@@ -58,3 +59,37 @@ def test_query_equals_sql(spark, sf_dir, name):
 def test_names():
     assert [x.split("_")[0] for x in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
     assert set(queries.SQL) < set(queries.QUERIES)
+
+
+def test_stages_on_odd_rows(spark, docs, tmp_path):
+    """Nulls in every column, empty texts, repeated rows and columns with names used inside; then no rows at all."""
+    good = " ".join(f"river stone {i} lamp cloud" for i in range(30))
+    rows = [(i, f"{good} {i}") for i in range(12)] + [(40, good), (40, good), (None, None), (None, ""), (50, "x"), (51, "x" * 100_000)]
+    names = ("score", "predicted", "row", "items", "spans", "n_words", "size", "target", "copies", "k", "id", "root", "shard")
+    d = docs(*rows).withColumns({n: F.lit(n) for n in names}).withColumn("lang", F.lit(None).cast("string"))
+    d = d.withColumn("source", F.when(F.col("doc_id") > 3, F.col("source"))).withColumn("n_chars", F.lit(None).cast("long"))
+    labels = spark.createDataFrame([(i, int(i < 12), 0) for i in (*range(12), 40, 50, 51)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(None, None), (1, ""), (2, good[:200])], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for start in (d, d.limit(0)):
+        df = start
+        for name, stage in corpus_pipeline.STAGES:
+            before = df
+            df = stash(stage(spark, df, str(tmp_path)), name)
+            if name != "sharding":
+                assert df.columns == d.columns and all(r[n] == n for r in df.collect() for n in names)
+            assert df.count() <= 2 * before.count()
+
+
+def test_stages_one_by_one_on_odd_rows(spark, docs, tmp_path):
+    """Each stage alone, so that none is spared by what the one before rejects."""
+    rows = [(1, "a b c"), (1, "a b c"), (None, None), (None, ""), (2, " "), (3, "z " * 60_000)]
+    d = docs(*rows)
+    spark.createDataFrame([(1, "b c d")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = {name: stage(spark, d, str(tmp_path)).collect() for name, stage in corpus_pipeline.STAGES}
+    assert len(kept["quality"]) <= 6 and len(kept["sharding"]) == 6
+    assert sorted(str(r["doc_id"]) for r in kept["near_duplicates"]) == ["1", "2", "3", "None"]
+    assert len(kept["decontamination"]) == 6
+    words = sum(len((r["text"] or "").split()) for r in kept["mixing"])
+    assert words <= 2 * 60_006

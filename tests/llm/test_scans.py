@@ -72,6 +72,10 @@ def test_decontaminate(spark, docs):
     d = docs((1, "clean text"), (2, item), (3, "a " * 500 + item + ", b"), (4, None))
     left = dc.decontaminate(d, bench(spark, (1, item)))
     assert sorted(r["doc_id"] for r in left.collect()) == [1, 3, 4] and left.columns == d.columns
+    named = d.withColumns({n: F.lit("MINE") for n in ("items", "spans", "n_words", "n_hit", "row")})
+    for longest in (None, 15):
+        kept = dc.decontaminate(named, bench(spark, (1, item)), longest)
+        assert kept.columns == named.columns and all(r[n] == "MINE" for r in kept.collect() for n in kept.columns[-5:])
     cut = {r["doc_id"]: r["text"] for r in dc.decontaminate(d, bench(spark, (1, item)), longest=15).collect()}
     assert cut[3] == "a " * 500 + ", b" and cut[1] == "clean text" and cut[4] is None
     assert dc.find(d, bench(spark)).where("n_hit > 0").count() == 0
@@ -106,6 +110,67 @@ def test_guess_cost():
         assert cost(v) <= sum(__import__("math").log10(10 if c.isdigit() else 26 if c.isalpha() else 33) for c in v) + 1e-9
 
 
+def slow_cost(value, ranks):
+    """The least sum over all segmentations, piece by piece."""
+    log, low = __import__("math").log10, value.lower()
+    plain = low.translate(str.maketrans("4@31!05$7", "aaeiiosst"))
+
+    def brute(c):
+        return log(10 if c.isdigit() else 26 if c.isalpha() else 33)
+
+    def run(i, j, step):
+        """Whether `step` holds from each character of the piece to the next, and not beyond it."""
+        return all(step(k) for k in range(i, j - 1)) and not (j < len(value) and step(j - 1))
+
+    def pieces(i, j):
+        part = value[i:j]
+        if rank := secrets.RANK.get(plain[i:j]):
+            upper = sum(c.isupper() for c in part)
+            yield log(rank) + 0.3 + (0 if not upper else 0.3 if upper in (1, j - i) else 0.3 * upper) + 0.6 * (plain[i:j] != low[i:j])
+        if (m := secrets._DATE.match(value, i)) and m.end() == j:
+            yield log(365 * 120 if j - i > 4 else 120)
+        for width in range(1, 9):
+            times = (j - i) // width
+            unit = low[i : i + width]
+            if times > 1 and times * width == j - i and low[i:j] == unit * times and (low[j : j + width] != unit or len(low[j : j + width]) < width):
+                yield sum(map(brute, unit)) + log(times)
+        for d in (1, -1):
+            if j - i > 2 and run(i, j, lambda k, d=d: ord(low[k + 1]) - ord(low[k]) == d):
+                yield 1 + log(j - i)
+        way = lambda k: secrets._way(low[k], low[k + 1])
+        if j - i > 2 and run(i, j, lambda k: way(k) is not None):
+            yield log(40 * (j - i)) + 0.5 * (1 + sum(way(k) != way(k + 1) for k in range(i, j - 2)))
+        yield from (cost for end, cost in secrets._letters(value, low, i, ranks) if end == j)
+
+    best = [0.0] + [9e9] * len(value)
+    for j in range(1, len(value) + 1):
+        best[j] = best[j - 1] + brute(value[j - 1])
+        for i in range(j):
+            best[j] = min([best[j], *(best[i] + log(2) * (i > 0) + c for c in pieces(i, j))])
+    return best[-1]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["pass", "w0rd", "Monkey", "qwer", "asdf", "abc", "321", "zz", "1999", "12/04", "xy", "K", "9", "$", "river", "é"]), max_size=5).map("".join))
+def test_guess_cost_is_the_least_sum(value):
+    ranks = {"river": 7}
+    assert secrets.guess_cost(value, ranks) == pytest.approx(slow_cost(value, ranks), abs=1e-9)
+
+
+def test_secrets_query_digests(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    text = {r["doc_id"]: r["text"] for r in docs.collect()}
+    ranks = secrets.word_ranks(docs)
+    for r in secrets.op4_secrets(spark, sf_dir).collect():
+        found = base(text[r["doc_id"]])
+        names = [f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in found]
+        assert r["base_sha256"] == hashlib.sha256(",".join(names).encode()).hexdigest()
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(k == i for _, k, _ in found) for i in range(3)]
+        every = secrets.scan(text[r["doc_id"]], ranks)
+        assert r["spans"] == ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, b, k, _ in every) and set(names) <= set(r["spans"].split(",")) | {""}
+        assert (r["max_log10_guesses"] or 0) == max([c or 0 for *_, c in every], default=0)
+
+
 def test_secrets_rows(spark, docs):
     key = "wJalrXUtnFEMIbPxRfiCYzEXAMP"
     rows = [(1, None), (2, ""), (3, f"é pwd: {key}"), (4, "password: monkey, the token is returned; secret: wonderful things"), (5, "token = " + "ab12" * 10), (5, "token = " + "ab12" * 10), (6, "z" * 200_000 + " secret=0123456789abcdef0")]
@@ -145,6 +210,39 @@ def test_fingerprints_tell_tones_apart():
     assert a and b and not a & b
 
 
+def slow_pairs(samples):
+    """(time, hash) of peak pairs, by the Fourier sum itself."""
+    import cmath
+    import math
+
+    x = list(samples)
+    n = -(-(len(x) + media.FRAME - 2 * media.HOP) // media.HOP) + 1
+    before = media.FRAME - media.HOP
+    at = lambda i: x[min(max(i - before, 0), len(x) - 1)]
+    tops = []
+    for t in range(n):
+        frame = [at(t * media.HOP + i) for i in range(media.FRAME)]
+        mean = sum(frame) / media.FRAME
+        frame = [(v - mean) * (0.5 - 0.5 * math.cos(2 * math.pi * (i + 1) / (media.FRAME + 1))) for i, v in enumerate(frame)]
+        spec = [abs(sum(v * cmath.exp(-2j * math.pi * k * i / media.FRAME) for i, v in enumerate(frame))) for k in range(media.FRAME // 2 + 1)]
+        best = sorted((-spec[k], k) for k in range(1, len(spec) - 1) if spec[k] > spec[k - 1] and spec[k] >= spec[k + 1])[: media.PEAKS]
+        tops.append([k for s, k in best if s <= best[0][0] * media.FLOOR])
+    return sorted((t, a << 10 | b << 2 | d) for t in range(n) for d in range(1, media.REACH + 1) if t + d < n for a in tops[t] for b in tops[t + d])
+
+
+def test_fingerprint_equals_the_fourier_sum():
+    text = b"Jackdaws love my big sphinx of quartz; the five boxing wizards jump quickly. 0123456789 " * 5
+    samples = media.pad(text[:400])
+    assert list(zip(*(x.tolist() for x in media.pairs(samples)), strict=True)) == slow_pairs(samples)
+
+
+def test_media_of_no_rows_and_long_texts(spark, docs):
+    assert media.fingerprint(media.store(docs())).collect() == []
+    long = "lorem ipsum dolor " * 60_000
+    r = media.fingerprint(media.store(docs((1, long)))).first()
+    assert r["n_bytes"] == len(long) and r["fingerprint"][-1]["time"] > len(long) // media.HOP - 10
+
+
 def pages(spark, *rows):
     return spark.createDataFrame([(i, "http://x/ y", h) for i, h in rows], "page_id long, url string, html string")
 
@@ -185,6 +283,28 @@ def test_damaged_archives_raise():
             list(warc.records(bad))
 
 
+@settings(max_examples=40, deadline=None)
+@given(st.sampled_from([0, 1, 2, 3]), st.integers(-700, 60), st.booleans())
+def test_records_around_the_reader_steps(steps, more, random_bytes):
+    """Payloads whose records or members end near a multiple of the reader's step."""
+    n = max(0, steps * warc.STEP + more)
+    payload = random.Random(n).randbytes(n) if random_bytes else b"a" * n
+    found = list(warc.records(member(payload) + member(b"next") + member(payload)))
+    assert [block.partition(b"\r\n\r\n")[2] for _, block in found] == [payload, b"next", payload]
+    plain = gzip.decompress(member(payload) + member(b"next"))
+    assert len(list(warc.records(plain))) == 2
+
+
+def test_members_of_several_records_and_their_trailers():
+    two = gzip.compress(gzip.decompress(member(b"one") + member(b"two")))
+    assert [b.partition(b"\r\n\r\n")[2] for _, b in warc.records(two + member(b"three"))] == [b"one", b"two", b"three"]
+    raw = bytearray(member(b"one"))
+    raw[-6] ^= 1  # the length in the trailer
+    for bad in (bytes(raw), bytes(raw) + member(b"two"), member(b"one")[:-3]):
+        with pytest.raises((ValueError, zlib.error)):
+            list(warc.records(bad))
+
+
 def test_read_files(spark, tmp_path):
     (tmp_path / "a.warc.gz").write_bytes(member() * 2)
     (tmp_path / "b.warc").write_bytes(gzip.decompress(member()))

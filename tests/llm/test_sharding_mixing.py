@@ -80,7 +80,7 @@ def test_mix_meets_targets(spark, docs, monkeypatch, per_bucket):
     monkeypatch.setattr(mixing, "ROWS_PER_BUCKET", per_bucket)
     rows = [(i, "w " * (i % 9), s) for i, s in enumerate(["b", "a", None, "c", "a", "é"] * 60)]
     rows += [(1, "w " * 1, "a"), (1, "w " * 1, "a"), (None, None, "b"), (None, "  ", "b")]
-    got = mixing.mix(docs(*rows)).collect()
+    got = mixing.mix(docs(*rows)).select("row.*", "size", "source_size", "target", "copies").collect()
     assert len(got) == len(rows)
     sizes = Counter()
     for r in got:
@@ -100,8 +100,10 @@ def test_mix_meets_targets(spark, docs, monkeypatch, per_bucket):
 def test_mix_edges(spark, docs):
     assert mixing.mix(docs()).collect() == []
     assert [r["copies"] for r in mixing.mix(docs((1, ""), (2, None))).collect()] == [2, 2]
-    odd = docs((1, "a b c")).withColumn("size", F.lit("x")).withColumn("copies", F.lit("y"))
+    named = ("size", "source_size", "target", "copies", "row", "group", "bucket", "times", "queued", "shuffle", "copy")
+    odd = docs((1, "a b c")).withColumns({n: F.lit(n) for n in named})
     assert mixing.mix(odd).first()["size"] == 3
-    assert sorted(mixing.mixed_documents(docs((1, "a b"), (2, "c d"))).columns) == sorted(docs((1, "")).columns)
+    kept = mixing.mixed_documents(odd)
+    assert kept.columns == odd.columns and all(r[n] == n for r in kept.collect() for n in named)
     a, b = (sorted(map(str, mixing.mix(docs(*((i, "a b"[: i % 4]) for i in range(50)))).collect())) for _ in range(2))
     assert a == b
