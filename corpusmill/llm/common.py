@@ -17,11 +17,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir of the session.
 
-    Only where that setting is absent (tests in local mode) a temporary folder is made
-    and set, so that later calls of the session find the same one.
+    Where that setting is absent, a local session (as in tests) gets a temporary folder, which
+    is set so that later calls find the same one. On a cluster its absence is an error, as
+    executors can't see each other's folders.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", base)
     return base

@@ -230,15 +230,31 @@ def decontaminate(
 ) -> DataFrame:
     """The documents that are left, with the columns of docs.
 
-    Documents whose hit words exceed the coverage limit go. With `longest`, spans of more
-    words than that are cut out of the texts of the others.
+    Documents whose hit words exceed the coverage limit go (a tie is over it). With `longest`,
+    spans of more words than that are cut out of the texts of the others. Columns of docs can
+    have any names and pass unchanged; nulls and empty texts have no words and stay, repeated
+    rows are judged each, and no rows give no rows.
     """
-    left = find(docs, benchmark, window).where(~contaminated(coverage))
+    row = F.struct(*(c for c in docs.columns if c != "text")).alias("row")
+    left = find(docs.select(row, "text"), benchmark, window).where(~contaminated(coverage))
     if longest is not None:
-        cut = F.udf(lambda text, spans: cut_words(text, [tuple(x) for x in spans]) if spans else text, "string")
-        over = F.filter("spans", lambda x: x["end"] - x["start"] > longest)
-        left = left.withColumn("text", cut("text", over))
-    return left.select(*docs.columns)
+        left = _without_spans(left.select("row", "text", F.filter("spans", lambda x: x["end"] - x["start"] > longest).alias("spans")))
+    return left.select(*(F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns))
+
+
+def _without_spans(docs: DataFrame) -> DataFrame:
+    """docs with the words of `spans` cut out of `text`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [
+                cut_words(text.as_py(), [(x["start"], x["end"]) for x in spans.as_py()]) if len(spans) else text.as_py()
+                for text, spans in zip(batch.column("text"), batch.column("spans"), strict=True)
+            ]
+            at = batch.schema.get_field_index("text")
+            yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,14 +1,21 @@
 """Masked pseudo-likelihood scores from a bidirectional window network.
 
-Words are hashed into buckets and counted over all documents. The commonest buckets are
-classes of their own, the rest share classes. The network sees the classes of the SIDE
-words to the left and to the right of a masked word and gives a distribution over
-classes; the word's share of its class comes from the counts. A document's score is the
-sum of the conditional log-probabilities of all its words, each predicted from both sides.
+Words are counted over all documents. The commonest have a class of their own, the others
+share classes by hash. Classes are numbered by rank, and the network predicts a masked word's class
+digit by digit (a three-level softmax) from the classes of the SIDE words to its left and to its
+right. Every word of every document is masked once while training and once while scoring.
+
+What the corpus holds beside that grows with it and stays partitioned: how often each word
+stands between the same two neighbours, and how often each rarer word occurs. The counts
+travel as packed arrays: every chunk of documents sends its distinct keys to the parts that
+count them, and gets the counts over all documents back. A word's share of its class comes from
+the latter; the former, less the occurrence that is scored, is mixed into the network's probability
+by the weight of its evidence. A document's score is the sum of the conditional
+log-probabilities of all its words.
 
 Training runs where the data is: in each round every task starts from the same weights,
-learns from masked positions of all documents of its part, and the weights are averaged by
-positions seen. Counts and averages are sums of integers, so that reruns agree.
+learns from the masked positions of its part, and the weights are averaged by
+positions seen. Averages are sums of integers, so that reruns over the same splits agree.
 """
 
 from __future__ import annotations
@@ -18,84 +25,134 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
-from corpusmill.llm.common import block_rows, chunks, mix, sum_blocks, table, token_runs, utf8
+from corpusmill.llm.common import block_rows, chunks, mix, stash, sum_blocks, table, token_runs, utf8
 
-BUCKET_BITS = 16
-OWN = 192  # commonest buckets with a class of their own
-SHARED = 64  # classes for all others
-CLASSES = OWN + SHARED
+DIGIT = 16
+CLASSES = DIGIT**3
+OWN = 3072  # commonest words with a class of their own; the others share the rest
 EDGE = CLASSES  # stands beyond a text's ends
 SIDE = 2
 EMBED = 16
 HIDDEN = 32
-ROUNDS = 2
-MASKED = 12  # a round learns from one position in so many
+ROUNDS = 2  # each position is learnt in one of them
 BATCH = 1024
 RATE = 0.01
 SEED = 11
+EVIDENCE = 4  # occurrences of a pair of neighbours at which memory and network weigh the same
+PART_BYTES = 32 << 20  # keys that a task counts at once
 _UNIT = 1 << 24  # weights travel as multiples of 1 / _UNIT
 _PER = 256  # positions that count one in the average
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_LEFT, _RIGHT, _OUTSIDE = (np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB))
 
 _KIND = np.full(256, 2, np.uint8)
 _KIND[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = 1
 _KIND[[*range(9, 14), 32]] = 0
 
-_SHAPES = [(CLASSES + 1, EMBED), (2 * SIDE * EMBED, HIDDEN), (HIDDEN,), (HIDDEN, CLASSES), (CLASSES,)]
+_SHAPES = [(CLASSES + 1, EMBED), (2 * SIDE * EMBED, HIDDEN), (HIDDEN,), (HIDDEN, 3 * DIGIT), (1, DIGIT), (DIGIT, DIGIT), (DIGIT**2, DIGIT)]
 _SIZES = [int(np.prod(s)) for s in _SHAPES]
 
 
-def _tokens(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, last row, token hashes, row offsets into them) for parts of a batch."""
-    raw, offs = utf8(column)
-    for a, b in chunks(offs):
-        part = offs[a : b + 1]
-        h, _, _, rows = token_runs(raw[part[0] : part[-1]], part - part[0], _KIND)
-        yield a, b, h, rows
+def tokenize(docs: DataFrame, carry: list[str]) -> DataFrame:
+    """Chunks of documents, written: (chunk, rows, n, tokens, ends).
+
+    rows holds the columns `carry` of the chunk's documents, tokens their word hashes and ends
+    the offsets of the documents into them.
+    """
+    docs = docs.select(F.struct(*carry).alias("row"), "text")
+    out = StructType().add("chunk", "long").add("rows", ArrayType(docs.schema["row"].dataType))
+    out = out.add("n", "long").add("tokens", "binary").add("ends", "binary")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            raw, offs = utf8(batch.column("text"))
+            for a, b in chunks(offs, 1 << 18):
+                part = offs[a : b + 1]
+                h, _, _, ends = token_runs(raw[part[0] : part[-1]], part - part[0], _KIND)
+                rows = pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), batch.column("row").slice(a, b - a))
+                cols = [pa.array([chunk]), rows, pa.array([len(h)]), *(pa.array([x.tobytes()], pa.binary()) for x in (h, ends.astype(np.int64)))]
+                yield pa.RecordBatch.from_arrays(cols, out.names)
+                chunk += 1
+
+    return stash(docs.mapInArrow(run, out), "lm-tokens")
 
 
-def _bucket(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+def _unpack(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Word hashes and document offsets of each chunk."""
+    for tokens, ends in zip(batch.column("tokens"), batch.column("ends"), strict=True):
+        yield np.frombuffer(tokens.as_buffer(), np.uint64), np.frombuffer(ends.as_buffer(), np.int64)
 
 
-def count_words(docs: DataFrame) -> np.ndarray:
-    """Occurrences of each bucket over all documents."""
+def count_words(tokens: DataFrame, most: int = 1 << 20) -> DataFrame:
+    """(word, n): occurrences of each word hash over all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << BUCKET_BITS, np.int64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            words, place = np.unique(np.concatenate([w for w, _ in held]), return_inverse=True)
+            n = np.bincount(place, np.concatenate([c for _, c in held]), len(words)).astype(np.int64)
+            held[:] = [(words, n)]
+            return words, n
+
+        def out() -> pa.RecordBatch:
+            words, n = merged()
+            held.clear()
+            return pa.record_batch({"word": pa.array(words.view(np.int64)), "n": pa.array(n)})
+
         for batch in batches:
-            for _, _, h, _ in _tokens(batch.column(0)):
-                total += np.bincount(_bucket(h), minlength=len(total))
-        yield from block_rows(total)
+            for h, _ in _unpack(batch):
+                held.append(np.unique(h, return_counts=True))
+                if sum(len(w) for w, _ in held) > most and len(merged()[0]) > most // 2:
+                    yield out()
+        if held:
+            yield out()
 
-    return sum_blocks(docs.select("text").mapInArrow(run, "block int, sums binary"), 1 << BUCKET_BITS)
+    return tokens.select("tokens", "ends").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """Class of each bucket, and the log-probability of a bucket within its class."""
+    """The words with a class of their own, ascending by hash, their classes, the first shared class, and the counts of all."""
 
-    classes: np.ndarray
-    within: np.ndarray
+    words: np.ndarray
+    own: np.ndarray
+    shared: int
+    counts: np.ndarray
 
     @staticmethod
-    def of(counts: np.ndarray) -> Vocabulary:
-        n = len(counts)
-        classes = OWN + np.arange(n) % SHARED
-        top = np.lexsort((np.arange(n), -counts))[:OWN]
-        classes[top] = np.arange(len(top))
-        c = counts.astype(np.float64) + 1  # a bucket without a count can still be scored
-        total = np.bincount(classes, c, CLASSES)
-        return Vocabulary(classes.astype(np.int64), np.log(c / total[classes]))
-
-
-def _contexts(c: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    def of(words: DataFrame, own: int = OWN) -> Vocabulary:
+        # Every partition sends its commonest to the driver: few partitions, however large the input.
+        top = words.repartition(8).orderBy(F.desc("n"), "word").limit(own).collect()
+        h = np.array([r["word"] for r in top], np.int64).view(np.uint64)
+        n = np.array([r["n"] for r in top], np.int64)
+        counts = np.zeros(CLASSES, np.int64)
+        for r in words.groupBy(F.pmod("word", F.lit(CLASSES - own)).alias("k")).agg(F.sum("n").alias("n")).collect():
+            counts[own + r["k"]] = r["n"]
+        np.subtract.at(counts, own + (h.view(np.int64) % (CLASSES - own)), n)
+        counts[: len(n)] = n
+        order = np.argsort(h)
+        return Vocabulary(h[order], order.astype(np.int64), own, counts)
+
+    def classes(self, h: np.ndarray) -> np.ndarray:
+        shared = (self.shared + (h.view(np.int64) % (CLASSES - self.shared))).astype(np.uint16)
+        if len(self.words) == 0:
+            return shared
+        at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
+        return np.where(self.words[at] == h, self.own[at].astype(np.uint16), shared)
+
+
+def _contexts(c: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Classes of the words around each word, EDGE outside its text."""
     n = len(c)
-    out = np.full((n, 2 * SIDE), EDGE, np.int64)
-    doc = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
+    out = np.full((n, 2 * SIDE), EDGE, np.uint16)
+    doc = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
     for k in range(1, SIDE + 1):
         if n > k:
             same = doc[k:] == doc[:-k]
@@ -104,21 +161,39 @@ def _contexts(c: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return out
 
 
-def start_weights() -> list[np.ndarray]:
+def start_weights(vocabulary: Vocabulary) -> list[np.ndarray]:
+    """Random but for the last three, with which the network gives each class its frequency."""
     rng = np.random.default_rng(SEED)
+    n = vocabulary.counts + 0.5
+    levels = [n.reshape(-1, DIGIT, DIGIT**2).sum(axis=2), n.reshape(DIGIT, DIGIT, DIGIT).sum(axis=2), n.reshape(-1, DIGIT)]
     return [
         rng.normal(0, 0.3, _SHAPES[0]).astype(np.float32),
         rng.normal(0, _SHAPES[1][0] ** -0.5, _SHAPES[1]).astype(np.float32),
         np.zeros(_SHAPES[2], np.float32),
-        rng.normal(0, HIDDEN**-0.5, _SHAPES[3]).astype(np.float32),
-        np.zeros(_SHAPES[4], np.float32),
+        rng.normal(0, 0.1 * HIDDEN**-0.5, _SHAPES[3]).astype(np.float32),
+        *(np.log(x / x.sum(axis=1, keepdims=True)).astype(np.float32) for x in levels),
     ]
 
 
-def _forward(w: list[np.ndarray], ctx: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _forward(w: list[np.ndarray], ctx: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Inputs, hidden units, exponentials of the three levels' logits at y's place, and y's three digits."""
     x = w[0][ctx].reshape(len(ctx), -1)
     h = np.tanh(x @ w[1] + w[2])
-    return x, h, np.clip(h @ w[3] + w[4], -60, 60)
+    z = (h @ w[3]).reshape(-1, 3, DIGIT)
+    z[:, 0] += w[4]
+    z[:, 1] += w[5][y >> 8]
+    z[:, 2] += w[6][y >> 4]
+    np.clip(z, -40, 40, out=z)
+    return x, h, np.exp(z, out=z), np.stack([y >> 8, y >> 4 & 15, y & 15], axis=1)
+
+
+def _grouped(rows: np.ndarray, key: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the rows with each key."""
+    out = np.zeros((n, rows.shape[1]), np.float32)
+    order = np.argsort(key, kind="stable")
+    at = np.flatnonzero(np.concatenate([[True], np.diff(key[order]) != 0]))
+    out[key[order[at]]] = np.add.reduceat(rows[order], at, axis=0)
+    return out
 
 
 class Adam:
@@ -128,46 +203,49 @@ class Adam:
 
     def step(self, ctx: np.ndarray, y: np.ndarray) -> None:
         w, n = self.w, len(y)
-        x, h, z = _forward(w, ctx)
-        p = np.exp(z)
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(n), y] -= 1
+        x, h, p, digits = _forward(w, ctx, y)
+        p /= p.sum(axis=2, keepdims=True)
+        p[np.arange(n)[:, None], np.arange(3), digits] -= 1
         p /= n
-        back = (p @ w[3].T) * (1 - h * h)
-        into = back @ w[1].T
-        embed = np.zeros(_SIZES[0], np.float32)
-        np.add.at(embed, (ctx[:, :, None] * EMBED + np.arange(EMBED)).ravel(), into.ravel())
+        flat = p.reshape(n, -1)
+        back = (flat @ w[3].T) * (1 - h * h)
+        into = (back @ w[1].T).reshape(-1, EMBED)
+        grads = [_grouped(into, ctx.ravel(), CLASSES + 1), x.T @ back, back.sum(axis=0), h.T @ flat]
+        grads += [p[:, 0].sum(axis=0)[None, :], _grouped(p[:, 1], y >> 8, DIGIT), _grouped(p[:, 2], y >> 4, DIGIT**2)]
         self.t += 1
-        for k, g in enumerate([embed.reshape(_SHAPES[0]), x.T @ back, back.sum(axis=0), h.T @ p, p.sum(axis=0)]):
-            self.m[k] += 0.1 * (g - self.m[k])
-            self.v[k] += 0.001 * (g * g - self.v[k])
-            up = self.m[k] / (1 - 0.9**self.t) / (np.sqrt(self.v[k] / (1 - 0.999**self.t)) + 1e-8)
-            w[k] -= np.float32(RATE) * up.astype(np.float32)
+        rate = np.float32(RATE * (1 - 0.999**self.t) ** 0.5 / (1 - 0.9**self.t))
+        for m, v, u, g in zip(self.m, self.v, w, grads, strict=True):
+            m += np.float32(0.1) * (g - m)
+            v += np.float32(0.001) * (g * g - v)
+            u -= rate * m / (np.sqrt(v) + np.float32(1e-7))
 
 
-def _round(docs: DataFrame, vocabulary, weights: list[np.ndarray], number: int) -> list[np.ndarray]:
-    sent = docs.sparkSession.sparkContext.broadcast(weights)
+def _round(tokens: DataFrame, vocabulary, weights: list[np.ndarray], number: int, rounds: int) -> list[np.ndarray]:
+    sent = tokens.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net, seen = Adam(sent.value), 0
         for batch in batches:
-            for _, _, h, rows in _tokens(batch.column(0)):
+            for h, ends in _unpack(batch):
                 if len(h) == 0:
                     continue
-                c = vocabulary.value.classes[_bucket(h)]
-                place = np.arange(len(h), dtype=np.uint64) - np.repeat(rows[:-1], np.diff(rows)).astype(np.uint64)
-                draw = mix(h ^ (place * np.uint64(0x9E3779B97F4A7C15) + np.uint64(number)))
-                at = np.flatnonzero(draw % np.uint64(MASKED) == 0)
-                ctx = _contexts(c, rows)
+                c = vocabulary.value.classes(h)
+                n = np.diff(ends)
+                whole = np.add.reduceat(h, ends[:-1][n > 0])  # tells documents apart
+                place = np.arange(len(h)) - np.repeat(ends[:-1], n)
+                draw = mix(np.repeat(whole, n[n > 0]) ^ (place.astype(np.uint64) + np.uint64(1)) * _ODD)
+                at = np.flatnonzero(draw % np.uint64(rounds) == number)
+                ctx = _contexts(c, ends)
                 for i in range(0, len(at), BATCH):
                     part = at[i : i + BATCH]
-                    net.step(ctx[part], c[part])
+                    net.step(ctx[part], c[part].astype(np.int64))
                 seen += len(at)
         share = -(-seen // _PER)
         flat = np.concatenate([x.ravel() for x in net.w]).astype(np.float64)
         yield from block_rows(np.append(np.rint(np.clip(flat, -64, 64) * _UNIT).astype(np.int64) * share, share))
 
-    total = sum_blocks(docs.select("text").mapInArrow(run, "block int, sums binary"), sum(_SIZES) + 1)
+    total = sum_blocks(tokens.select("tokens", "ends").mapInArrow(run, "block int, sums binary"), sum(_SIZES) + 1)
+    sent.destroy()
     if total[-1] == 0:
         return weights
     flat = (total[:-1] / total[-1] / _UNIT).astype(np.float32)
@@ -180,54 +258,143 @@ class Model:
     vocabulary: Vocabulary
     weights: list[np.ndarray]
 
-    def log_probs(self, h: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """log P(word | words on both sides) of each word."""
-        word = _bucket(h)
-        c = self.vocabulary.classes[word]
-        ctx = _contexts(c, rows)
-        out = np.empty(len(h))
-        for i in range(0, len(h), 2048):
-            z = _forward(self.weights, ctx[i : i + 2048])[2]
-            own = z[np.arange(len(z)), c[i : i + 2048]]
-            out[i : i + 2048] = own - np.log(np.exp(z, out=z).sum(axis=1))
-        return out + self.vocabulary.within[word]
+    def log_probs(self, c: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """log P(class | words on both sides) of each word."""
+        ctx = _contexts(c, ends)
+        out = np.empty(len(c))
+        for i in range(0, len(c), 2048):
+            _, _, e, digits = _forward(self.weights, ctx[i : i + 2048], c[i : i + 2048].astype(np.int64))
+            own = np.take_along_axis(e, digits[:, :, None], axis=2)[:, :, 0]
+            out[i : i + 2048] = np.log(own / e.sum(axis=2)).sum(axis=1)
+        return out
 
 
-def train(docs: DataFrame, rounds: int = ROUNDS) -> Model:
+def train(tokens: DataFrame, rounds: int = ROUNDS, own: int = OWN) -> Model:
     """Counts and network from all documents; without words the network stays as it starts."""
-    vocabulary = Vocabulary.of(count_words(docs))
-    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    weights = start_weights()
+    vocabulary = Vocabulary.of(stash(count_words(tokens), "lm-words"), own)
+    sent = tokens.sparkSession.sparkContext.broadcast(vocabulary)
+    weights = start_weights(vocabulary)
     for r in range(rounds):
-        weights = _round(docs, sent, weights, r)
+        weights = _round(tokens, sent, weights, r, rounds)
     return Model(vocabulary, weights)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """Columns of docs with n_tokens, log_prob and mean_log_prob added or replaced.
+def memory_keys(h: np.ndarray, c: np.ndarray, ends: np.ndarray, shared: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all words between their neighbours, and of the words of shared classes within these.
 
-    A text without words (null, empty, blank) has 0 tokens, log_prob 0 and a null mean.
-    Equal texts have equal scores up to the rounding of float32 products.
+    The upper 48 bits stand for what a word is counted in, the lower 16 for the word.
+    """
+    before, after = np.full(len(h), _OUTSIDE), np.full(len(h), _OUTSIDE)
+    before[1:], after[:-1] = h[:-1], h[1:]
+    full = np.diff(ends) > 0
+    before[ends[:-1][full]] = after[ends[1:][full] - 1] = _OUTSIDE
+    low = np.uint64(0xFFFF)
+    word = mix(h * _ODD) & low
+    between = mix(before * _LEFT + after * _RIGHT) & ~low | word
+    rare = c >= shared
+    return between, mix(c[rare].astype(np.uint64) * _LEFT + np.uint64(1)) & ~low | word[rare]
+
+
+def _part(keys: np.ndarray, parts: int) -> np.ndarray:
+    """The part that counts a key; ascending as the keys are."""
+    return ((keys >> np.uint64(40)) * np.uint64(parts)) >> np.uint64(24)
+
+
+def remember(tokens: DataFrame, vocabulary, parts: int) -> DataFrame:
+    """(chunk, part, counts): for each distinct key of a chunk, ascending, how often it and what it is counted in occur.
+
+    Counts are over all documents, as float32.
+    """
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = vocabulary.value
+        for batch in batches:
+            for chunk, (h, ends) in zip(batch.column("chunk").to_pylist(), _unpack(batch), strict=True):
+                if len(h) == 0:
+                    continue
+                keys, n = np.unique(np.concatenate(memory_keys(h, known.classes(h), ends, known.shared)), return_counts=True)
+                to = _part(keys, parts)
+                at = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]]))
+                cuts = [*at.tolist(), len(keys)]
+                words = keys.view("<u2").reshape(-1, 4)[:, :3]  # the upper bits are the part's
+                n = n.astype("<u4")
+                ranges = list(zip(cuts[:-1], cuts[1:], strict=True))
+                yield pa.record_batch(
+                    {
+                        "chunk": pa.array([chunk] * len(at)),
+                        "part": pa.array(to[at].astype(np.int64)),
+                        "keys": pa.array([words[a:b].tobytes() for a, b in ranges], pa.binary()),
+                        "times": pa.array([n[a:b].tobytes() for a, b in ranges], pa.binary()),
+                    }
+                )
+
+    def count(key: tuple, rows: pa.Table) -> pa.Table:
+        sizes = [len(x.as_buffer()) // 4 for x in rows["times"].combine_chunks()]
+        keys = np.zeros((sum(sizes), 4), "<u2")
+        keys[:, :3] = np.frombuffer(b"".join(rows["keys"].to_pylist()), "<u2").reshape(-1, 3)
+        times = np.frombuffer(b"".join(rows["times"].to_pylist()), "<u4")
+        every, place = np.unique(keys.view("<u8")[:, 0], return_inverse=True)
+        n = np.bincount(place, times, len(every)).astype(np.int64)
+        within = every >> np.uint64(16)
+        at = np.flatnonzero(np.concatenate([[True], within[1:] != within[:-1]]))
+        total = np.repeat(np.add.reduceat(n, at), np.diff(np.append(at, len(every))))
+        both = np.stack([n, total], axis=1).astype("<f4")[place]
+        cuts = np.cumsum([0, *sizes])
+        counts = pa.array([both[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())
+        return pa.table({"chunk": rows["chunk"], "part": rows["part"], "counts": counts})
+
+    sent = tokens.select("chunk", "tokens", "ends").mapInArrow(send, "chunk long, part long, keys binary, times binary")
+    return sent.groupBy("part").applyInArrow(count, "chunk long, part long, counts binary")
+
+
+def word_log_probs(model: Model, h: np.ndarray, ends: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """log P(word | words on both sides) of each word; counts are those of the chunk's distinct keys, ascending."""
+    c = model.vocabulary.classes(h)
+    between, rare = memory_keys(h, c, ends, model.vocabulary.shared)
+    place = np.unique(np.concatenate([between, rare]), return_inverse=True)[1]
+    found = counts[place].astype(np.float64)
+    p = np.exp(model.log_probs(c, ends))
+    share = found[len(h) :]
+    p[c >= model.vocabulary.shared] *= share[:, 0] / share[:, 1]
+    n, total = (found[: len(h)] - 1).T
+    return np.log((EVIDENCE * p + n) / (EVIDENCE + total))
+
+
+def score(docs: DataFrame, rounds: int = ROUNDS, own: int = OWN, carry: list[str] | None = None) -> DataFrame:
+    """Columns of docs (or those in `carry`) with mean_log_prob, log_prob and n_tokens, under a model of all docs.
+
+    Columns of docs with these names are replaced. A text without words (null, empty, blank)
+    has 0 tokens, log_prob 0 and a null mean. Repeated rows are each other's evidence and score
+    the same; equal texts have equal scores up to the rounding of float32 products. Long texts
+    are read whole. No rows give no rows.
     """
-    added = ("n_tokens", "log_prob", "mean_log_prob")
-    docs = docs.drop(*added)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    added = {"mean_log_prob": "double", "log_prob": "double", "n_tokens": "long"}
+    tokens = tokenize(docs, [c for c in carry or docs.columns if c not in added])
+    model = train(tokens, rounds, own)
+    context = docs.sparkSession.sparkContext
+    vocabulary, sent = context.broadcast(model.vocabulary), context.broadcast(model)
+    parts = max(1, -(-(tokens.agg(F.sum("n")).first()[0] or 0) * 6 // PART_BYTES))
+    counts = remember(tokens, vocabulary, parts).groupBy("chunk").agg(F.collect_list(F.struct("part", "counts")).alias("counts"))
+    kept = tokens.schema["rows"].dataType.elementType
+    out = StructType().add("row", kept)
+    for name, kind in added.items():
+        out = out.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, total = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
-            for a, b, h, rows in _tokens(batch.column("text")):
-                n[a:b] = np.diff(rows)
-                full = np.flatnonzero(n[a:b])
+            for i, (h, ends) in enumerate(_unpack(batch)):
+                n = np.diff(ends)
+                total, full = np.zeros(len(n)), np.flatnonzero(n)
                 if len(full):
-                    total[a:b][full] = np.add.reduceat(sent.value.log_probs(h, rows), rows[:-1][full])
-            mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n), pa.array(total), mean], [*batch.schema.names, *added])
+                    answers = sorted((x["part"].as_py(), x["counts"].as_py()) for x in batch.column("counts")[i].values)
+                    found = np.frombuffer(b"".join(x for _, x in answers), "<f4").reshape(-1, 2)
+                    total[full] = np.add.reduceat(word_log_probs(sent.value, h, ends, found), ends[:-1][full])
+                mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
+                yield pa.RecordBatch.from_arrays([batch.column("rows").slice(i, 1).flatten(), mean, pa.array(total), pa.array(n)], out.names)
 
-    out = StructType([*docs.schema.fields]).add("n_tokens", "long").add("log_prob", "double").add("mean_log_prob", "double")
-    return docs.mapInArrow(run, out)
+    scored = tokens.join(counts, "chunk", "left").select("rows", "tokens", "ends", "counts").mapInArrow(run, out)
+    return scored.select("row.*", *added)
 
 
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return score(docs, train(docs)).select("doc_id", "n_tokens", "log_prob", "mean_log_prob")
+    return score(table(spark, sf_dir, "documents"), carry=["doc_id"])

@@ -20,24 +20,22 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 REPEATS = 2
 SEED = "mix-1"
-ROWS_PER_BUCKET = 20_000
-RANGES = 8  # ranges of finish times for each such bucket, as most copies finish early
+ROWS_PER_BUCKET = 1000
 
 
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def running(df: DataFrame, group: list[str], bucket: Column, order: list[Column], value: str, out: str) -> DataFrame:
-    """Add the running sum of `value` in each group, in the order of bucket and `order`.
+def running(df: DataFrame, keys: list[str], order: list[str], value: str, out: str) -> DataFrame:
+    """Add the running sum of `value` in the order of the last of `keys`, the bucket, and `order`.
 
-    Group columns must not be null, since the parts are joined on them.
+    The other keys tell groups apart; none may be null, since the parts are joined on them.
     A window sums within each bucket; a table with a row for each bucket carries what
     the buckets before it hold, so that no task needs a whole group.
     """
-    df = df.withColumn("__bucket", bucket)
-    keys = [*group, "__bucket"]
-    before = W.partitionBy(*group).orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)
+    group, bucket = keys[:-1] or [F.lit(0)], keys[-1]
+    before = W.partitionBy(*group).orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
     starts = (
         df.groupBy(*keys)
         .agg(F.sum(value).alias("__sum"))
@@ -45,15 +43,11 @@ def running(df: DataFrame, group: list[str], bucket: Column, order: list[Column]
     )
     inner = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     summed = df.withColumn("__inner", F.sum(value).over(inner))
-    return (
-        summed.join(starts, keys)
-        .withColumn(out, F.col("__start") + F.col("__inner"))
-        .drop("__start", "__inner", "__bucket")
-    )
+    return summed.join(starts, keys).withColumn(out, F.col("__start") + F.col("__inner")).drop("__start", "__inner")
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, repeats: int) -> DataFrame:
-    """One row for each source: its size, weight and target in tokens.
+    """One row for each source: its size in tokens, number of documents, weight and target.
 
     Sources are numbered by code point with null last (UTF-8 byte order is code point
     order). The budget fills all sources at rates equal to their weights; a source is
@@ -61,7 +55,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, rep
     first sources end full and the others share the rest by weight. The window without
     a key runs over one row for each source.
     """
-    total = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    total = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
     by_name = W.partitionBy(F.lit(0)).orderBy(F.col("source").asc_nulls_last())
     rank = F.pmod(F.row_number().over(by_name) - 1, F.lit(len(weights))) + 1
     total = total.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), rank.cast("int")).cast("double"))
@@ -84,7 +78,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, rep
     )
     total = total.withColumn("__level", F.max(level).over(every))
     target = F.least(F.col("__cap"), F.coalesce(F.col("weight") * F.col("__level"), F.col("__cap")))
-    return total.select("source", "source_size", "weight", target.alias("target"), F.max("__full_at").over(every).alias("last"))
+    return total.select("source", "source_size", "rows", "weight", target.alias("target"))
 
 
 def mix(
@@ -95,47 +89,54 @@ def mix(
     seed: str = SEED,
     carry: list[str] | None = None,
 ) -> DataFrame:
-    """Columns of docs (or those in `carry`, with source among them), with `size`, `source_size`, `target` and `copies` (0 .. repeats) added.
+    """Columns of docs (or those in `carry`) in a struct `row`, with `size`, `source_size`, `target` and `copies` (0 .. repeats).
 
     Nulls: a null text has size 0; null is a source of its own, last in order. Documents
     of size 0 cost nothing and are taken as often as the queue reaches them. Rows that
-    agree in doc_id and text are queued one after the other. No rows give no rows. Input
-    columns named like the added ones are replaced.
+    agree in doc_id and text are queued one after the other, ties in finish time by size. No
+    rows give no rows. Columns of docs can have any names.
     """
-    added = ("size", "source_size", "target", "copies")
-    carried = [c for c in carry or docs.columns if c not in added]
     digest = F.md5(F.coalesce(F.col("text"), F.lit("")))
     shuffle = F.md5(F.concat_ws("/", F.lit(seed), F.col("doc_id").cast("string"), digest))
     # Words are counted once; the passes below read what is written here.
-    rows = stash(docs.select(*carried, word_count(F.col("text")).alias("size"), shuffle.alias("__shuffle")), "mix")
-    n = max(1, -(-rows.count() // ROWS_PER_BUCKET))
-    part = F.floor(F.conv(F.substring("__shuffle", 1, 8), 16, 10).cast("double") / float(1 << 32) * n)
-    named = rows.withColumn("__group", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("null")))
-    queued = running(named, ["__group"], part, [F.col("__shuffle"), F.col("size")], "size", "__queued")
-    targets = source_targets(rows, weights, share, repeats).withColumnRenamed("source", "__source")
-    queued = queued.join(targets, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
-    copies = [(F.lit(i) * F.col("source_size") + F.col("__queued")) / F.col("weight") for i in range(repeats)]
-
-    # Range sort of all copies by finish time: a bucket is a range, and within the bucket a
-    # window sorts. `cut` is the last finish time at which the budget isn't exceeded.
-    finish = queued.select("size", "last", F.explode(F.array(*copies)).alias("finish"))
-    span = F.when(F.col("last") > 0, F.floor(F.col("finish") / F.col("last") * (n * repeats * RANGES))).otherwise(F.lit(0))
-    total = running(finish.withColumn("__all", F.lit(0)), ["__all"], span, [F.col("finish"), F.col("size")], "size", "spent")
-    budget = rows.agg(F.sum("size")).first()[0] or 0
-    cut = total.where(F.col("spent") <= F.lit(budget * share)).agg(F.max("finish")).first()[0]
-    taken = sum((F.when(x <= F.lit(cut), 1).otherwise(0) for x in copies), F.lit(0)) if cut is not None else F.lit(0)
-    return queued.withColumn("copies", taken.cast("int")).select(*carried, *added)
+    rows = stash(docs.select(F.struct(*(carry or docs.columns)).alias("row"), "source", word_count(F.col("text")).alias("size"), shuffle.alias("shuffle")), "mix")
+    # One row for each source, written so that a join with it deals a hot source's rows anew.
+    targets = stash(source_targets(rows, weights, share, repeats).withColumnRenamed("source", "__source"), "mix-sources")
+    placed = rows.join(targets, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
+    lead = F.conv(F.substring("shuffle", 1, 8), 16, 10).cast("double") / float(1 << 32)
+    placed = placed.withColumns(
+        {
+            "group": F.coalesce(F.concat(F.lit("s"), "source"), F.lit("null")),
+            "bucket": F.floor(lead * F.ceil(F.col("rows") / ROWS_PER_BUCKET)),
+        }
+    )
+    queued = running(placed, ["group", "bucket"], ["shuffle", "size"], "size", "queued")
+    times = [(F.lit(i) * F.col("source_size") + F.col("queued")) / F.col("weight") for i in range(repeats)]
+    queued = queued.withColumn("times", F.array(*times))
+
+    # Range sort of all copies by finish time: Spark cuts the ranges at quantiles, and a window
+    # sorts within each. `cut` is the last finish time at which the budget isn't exceeded.
+    total = targets.agg(F.sum("source_size").alias("size"), F.sum("rows").alias("rows")).first()
+    finish = queued.select("size", F.explode("times").alias("finish"))
+    # Documents without words cost nothing and may be many at one time: one stands for all.
+    finish = finish.where("size > 0").unionByName(finish.where("size = 0").distinct())
+    ranges = max(1, -(-(total["rows"] or 0) * repeats // ROWS_PER_BUCKET))
+    sorted_ = stash(finish.repartitionByRange(ranges, "finish", "size").withColumn("range", F.spark_partition_id()), "mix-finish")
+    spent = running(sorted_, ["range"], ["finish", "size"], "size", "spent")
+    cut = spent.where(F.col("spent") <= F.lit((total["size"] or 0) * share)).agg(F.max("finish")).first()[0]
+    taken = F.size(F.filter("times", lambda t: t <= F.lit(cut))) if cut is not None else F.lit(repeats)
+    return queued.select("row", "size", "source_size", "target", taken.cast("int").alias("copies"))
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The documents that the mix takes, each as often as it takes it, with the columns of docs."""
     taken = mix(docs).where("copies > 0")
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mix(table(spark, sf_dir, "documents"), carry=["doc_id", "source"])
-    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    mixed = mix(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return mixed.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 OP8_SQL = r"""

@@ -125,11 +125,12 @@ class Model:
     temperature: float
 
     def logits(self, x: np.ndarray) -> np.ndarray:
-        hidden = np.tanh(((x - self.mean) / self.scale) @ self.w1 + self.b1)
-        return hidden @ self.w2 + self.b2
+        # einsum adds a row's products in one order, however many rows there are; `@` doesn't.
+        hidden = np.tanh(np.einsum("ij,jk->ik", (x - self.mean) / self.scale, self.w1) + self.b1)
+        return np.einsum("ik,k->i", hidden, self.w2) + self.b2
 
     def scores(self, x: np.ndarray) -> np.ndarray:
-        return _sigmoid(self.logits(x.astype(np.float64)) / self.temperature)
+        return np.round(_sigmoid(self.logits(x.astype(np.float64)) / self.temperature), 9)
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
@@ -190,7 +191,9 @@ def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model:
     """Word vectors over all docs; the network on at most `most` labelled rows outside fold 2.
 
     The sample is that with the smallest hashes of doc_id. Labels with a null doc_id or
-    quality are ignored; of several labels for a doc_id the largest counts.
+    quality are ignored; of several labels for a doc_id the largest counts, and of several
+    texts that with the least features. Texts are read whole, whatever their length. Without
+    documents or labels the model gives 0.5 for every text.
     """
     vectors = word_vectors(context_vectors(docs))
     picked = (
@@ -213,7 +216,8 @@ def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model:
     rows = (
         sample.withColumn("fold", fold(F.col("doc_id")))
         .mapInArrow(run, "doc_id long, __quality int, fold int, x binary")
-        .dropDuplicates(["doc_id"])
+        .groupBy("doc_id")
+        .agg(F.max("__quality").alias("__quality"), F.max("fold").alias("fold"), F.min("x").alias("x"))
         .collect()
     )
     rows.sort(key=lambda r: r["doc_id"])
@@ -225,8 +229,9 @@ def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model:
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """Columns of docs with `score` and `predicted` added or replaced.
 
-    Only the text counts. Null, empty and wordless texts share one score; equal texts have
-    equal scores.
+    Only the text counts. Null, empty and wordless texts share one score; equal texts,
+    repeated rows among them, have equal scores. A score at ACCEPT is accepted. Other columns
+    are kept as they are. No rows give no rows.
     """
     docs = docs.drop("score", "predicted")
     sent = docs.sparkSession.sparkContext.broadcast(model)

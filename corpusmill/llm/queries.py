@@ -29,6 +29,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op2_sharding": sharding.OP2_SQL,
     "op3_suffix_dedup": suffix_dedup.OP3_SQL,
     "op7_jaccard_join": jaccard.OP7_SQL,
     "op8_mixing": mixing.OP8_SQL,
