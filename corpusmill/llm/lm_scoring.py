@@ -14,7 +14,7 @@ by the weight of its evidence. A document's score is the sum of the conditional
 log-probabilities of all its words.
 
 Training runs where the data is: in each round every task starts from the same weights,
-learns from the masked positions of its part, and the weights are averaged by
+learns from the documents of its part that are dealt to the round, and the weights are averaged by
 positions seen. Averages are sums of integers, so that reruns over the same splits agree.
 """
 
@@ -37,14 +37,14 @@ CLASSES = DIGIT**3
 OWN = 3072  # commonest words with a class of their own; the others share the rest
 EDGE = CLASSES  # stands beyond a text's ends
 SIDE = 2
-EMBED = 16
-HIDDEN = 32
-ROUNDS = 2  # each position is learnt in one of them
+EMBED = 8
+HIDDEN = 16
+ROUNDS = 2  # each document is learnt in one of them
 BATCH = 1024
-RATE = 0.01
+RATE = 0.05
 SEED = 11
 EVIDENCE = 4  # occurrences of a pair of neighbours at which memory and network weigh the same
-PART_BYTES = 32 << 20  # keys that a task counts at once
+PART_BYTES = 8 << 20  # keys that a task counts at once
 _UNIT = 1 << 24  # weights travel as multiples of 1 / _UNIT
 _PER = 256  # positions that count one in the average
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -150,14 +150,12 @@ class Vocabulary:
 
 def _contexts(c: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Classes of the words around each word, EDGE outside its text."""
-    n = len(c)
-    out = np.full((n, 2 * SIDE), EDGE, np.uint16)
-    doc = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+    out = np.full((len(c), 2 * SIDE), EDGE, np.uint16)
     for k in range(1, SIDE + 1):
-        if n > k:
-            same = doc[k:] == doc[:-k]
-            out[k:, SIDE - k][same] = c[:-k][same]
-            out[:-k, SIDE - 1 + k][same] = c[k:][same]
+        out[k:, SIDE - k], out[:-k, SIDE - 1 + k] = c[:-k], c[k:]
+        for i in range(k):  # the k words at either end of a text have no word that far away
+            out[np.minimum(ends[:-1] + i, ends[1:] - 1)[np.diff(ends) > 0], SIDE - k] = EDGE
+            out[np.maximum(ends[1:] - 1 - i, ends[:-1])[np.diff(ends) > 0], SIDE - 1 + k] = EDGE
     return out
 
 
@@ -175,71 +173,80 @@ def start_weights(vocabulary: Vocabulary) -> list[np.ndarray]:
     ]
 
 
-def _forward(w: list[np.ndarray], ctx: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Inputs, hidden units, exponentials of the three levels' logits at y's place, and y's three digits."""
-    x = w[0][ctx].reshape(len(ctx), -1)
-    h = np.tanh(x @ w[1] + w[2])
-    z = (h @ w[3]).reshape(-1, 3, DIGIT)
-    z[:, 0] += w[4]
-    z[:, 1] += w[5][y >> 8]
-    z[:, 2] += w[6][y >> 4]
-    np.clip(z, -40, 40, out=z)
-    return x, h, np.exp(z, out=z), np.stack([y >> 8, y >> 4 & 15, y & 15], axis=1)
+#: Sums each level's 16 numbers, as a matrix product.
+_LEVELS = np.kron(np.eye(3), np.ones((DIGIT, 1))).astype(np.float32)
 
 
-def _grouped(rows: np.ndarray, key: np.ndarray, n: int) -> np.ndarray:
-    """Sums of the rows with each key."""
-    out = np.zeros((n, rows.shape[1]), np.float32)
+def _forward(w: list[np.ndarray], ctx: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Inputs, hidden units, each level's probabilities at y's place, and where y's digits are in these."""
+    x = w[0].take(ctx.astype(np.int64), axis=0).reshape(len(ctx), -1)
+    h = np.tanh(x @ w[1] + w[2])
+    z = h @ w[3]
+    z[:, :DIGIT] += w[4]
+    z[:, DIGIT : 2 * DIGIT] += w[5].take(y >> 8, axis=0)
+    z[:, 2 * DIGIT :] += w[6].take(y >> 4, axis=0)
+    np.exp(np.clip(z, -40, 40, out=z), out=z)
+    z *= np.repeat(1 / (z @ _LEVELS.astype(z.dtype)), DIGIT, axis=1)
+    place = np.arange(len(y))[:, None] * 3 * DIGIT + np.stack([y >> 8, (y >> 4 & 15) + DIGIT, (y & 15) + 2 * DIGIT], axis=1)
+    return x, h, z, place
+
+
+def _grouped(rows: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The keys that occur, and the sum of the rows of each."""
     order = np.argsort(key, kind="stable")
-    at = np.flatnonzero(np.concatenate([[True], np.diff(key[order]) != 0]))
-    out[key[order[at]]] = np.add.reduceat(rows[order], at, axis=0)
-    return out
+    key = key.take(order)
+    at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return key[at], np.add.reduceat(rows.take(order, axis=0), at, axis=0)
 
 
-class Adam:
+class Adagrad:
     def __init__(self, w: list[np.ndarray]):
-        self.w = [x.copy() for x in w]
-        self.m, self.v, self.t = [np.zeros_like(x) for x in w], [np.zeros_like(x) for x in w], 0
+        self.w, self.squares = [x.copy() for x in w], [np.full_like(x, 1e-8) for x in w]
 
-    def step(self, ctx: np.ndarray, y: np.ndarray) -> None:
-        w, n = self.w, len(y)
-        x, h, p, digits = _forward(w, ctx, y)
-        p /= p.sum(axis=2, keepdims=True)
-        p[np.arange(n)[:, None], np.arange(3), digits] -= 1
+    def gradients(self, ctx: np.ndarray, y: np.ndarray) -> list[tuple]:
+        """(rows, gradients) of each weight array, for the mean loss."""
+        w, n, every = self.w, len(y), slice(None)
+        x, h, p, place = _forward(w, ctx, y)
+        p.ravel()[place] -= 1
         p /= n
-        flat = p.reshape(n, -1)
-        back = (flat @ w[3].T) * (1 - h * h)
+        back = (p @ w[3].T) * (1 - h * h)
         into = (back @ w[1].T).reshape(-1, EMBED)
-        grads = [_grouped(into, ctx.ravel(), CLASSES + 1), x.T @ back, back.sum(axis=0), h.T @ flat]
-        grads += [p[:, 0].sum(axis=0)[None, :], _grouped(p[:, 1], y >> 8, DIGIT), _grouped(p[:, 2], y >> 4, DIGIT**2)]
-        self.t += 1
-        rate = np.float32(RATE * (1 - 0.999**self.t) ** 0.5 / (1 - 0.9**self.t))
-        for m, v, u, g in zip(self.m, self.v, w, grads, strict=True):
-            m += np.float32(0.1) * (g - m)
-            v += np.float32(0.001) * (g * g - v)
-            u -= rate * m / (np.sqrt(v) + np.float32(1e-7))
+        return [
+            _grouped(into, ctx.ravel()),
+            (every, x.T @ back),
+            (every, back.sum(axis=0)),
+            (every, h.T @ p),
+            (every, p[:, :DIGIT].sum(axis=0)[None, :]),
+            _grouped(p[:, DIGIT : 2 * DIGIT], y >> 8),
+            _grouped(p[:, 2 * DIGIT :], y >> 4),
+        ]
+
+    def step(self, ctx: np.ndarray, y: np.ndarray) -> None:
+        for w, squares, (rows, g) in zip(self.w, self.squares, self.gradients(ctx, y), strict=True):
+            total = squares[rows] + g * g
+            squares[rows] = total
+            w[rows] -= np.float32(RATE) * g / np.sqrt(total)
 
 
 def _round(tokens: DataFrame, vocabulary, weights: list[np.ndarray], number: int, rounds: int) -> list[np.ndarray]:
     sent = tokens.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net, seen = Adam(sent.value), 0
+        net, seen = Adagrad(sent.value), 0
         for batch in batches:
             for h, ends in _unpack(batch):
-                if len(h) == 0:
+                n = np.diff(ends)
+                n = n[n > 0]
+                if len(n) == 0:
                     continue
+                text = mix(np.add.reduceat(h, np.cumsum(n) - n))  # deals equal texts to one round
+                mine = text % np.uint64(rounds) == number
+                h, ends = h[np.repeat(mine, n)], np.concatenate([[0], np.cumsum(n[mine])])
                 c = vocabulary.value.classes(h)
-                n = np.diff(ends)
-                whole = np.add.reduceat(h, ends[:-1][n > 0])  # tells documents apart
-                place = np.arange(len(h)) - np.repeat(ends[:-1], n)
-                draw = mix(np.repeat(whole, n[n > 0]) ^ (place.astype(np.uint64) + np.uint64(1)) * _ODD)
-                at = np.flatnonzero(draw % np.uint64(rounds) == number)
                 ctx = _contexts(c, ends)
-                for i in range(0, len(at), BATCH):
-                    part = at[i : i + BATCH]
-                    net.step(ctx[part], c[part].astype(np.int64))
-                seen += len(at)
+                for i in range(0, len(h), BATCH):
+                    net.step(ctx[i : i + BATCH], c[i : i + BATCH].astype(np.int64))
+                seen += len(h)
         share = -(-seen // _PER)
         flat = np.concatenate([x.ravel() for x in net.w]).astype(np.float64)
         yield from block_rows(np.append(np.rint(np.clip(flat, -64, 64) * _UNIT).astype(np.int64) * share, share))
@@ -263,9 +270,8 @@ class Model:
         ctx = _contexts(c, ends)
         out = np.empty(len(c))
         for i in range(0, len(c), 2048):
-            _, _, e, digits = _forward(self.weights, ctx[i : i + 2048], c[i : i + 2048].astype(np.int64))
-            own = np.take_along_axis(e, digits[:, :, None], axis=2)[:, :, 0]
-            out[i : i + 2048] = np.log(own / e.sum(axis=2)).sum(axis=1)
+            _, _, p, place = _forward(self.weights, ctx[i : i + 2048], c[i : i + 2048].astype(np.int64))
+            out[i : i + 2048] = np.log(p.ravel()[place]).sum(axis=1)
         return out
 
 
