@@ -58,35 +58,54 @@ _SHAPES = [(CLASSES + 1, EMBED), (2 * SIDE * EMBED, HIDDEN), (HIDDEN,), (HIDDEN,
 _SIZES = [int(np.prod(s)) for s in _SHAPES]
 
 
+_ZIP = "zstd"  # of the packed arrays
+
+
+def _pack(*arrays: np.ndarray) -> pa.Array:
+    """Compressed bytes of the arrays, one value each, before them the number of bytes."""
+    return pa.array([len(x).to_bytes(8, "little") + pa.compress(x, _ZIP, asbytes=True) for x in (y.tobytes() for y in arrays)], pa.binary())
+
+
+def _open(value: pa.Scalar, kind: str) -> np.ndarray:
+    data = value.as_buffer()
+    return np.frombuffer(pa.decompress(data[8:], int.from_bytes(data[:8].to_pybytes(), "little"), _ZIP), kind)
+
+
 def tokenize(docs: DataFrame, carry: list[str]) -> DataFrame:
-    """Chunks of documents, written: (chunk, rows, n, tokens, ends).
+    """Chunks of documents, written: (chunk, rows, n, words, places, ends).
 
-    rows holds the columns `carry` of the chunk's documents, tokens their word hashes and ends
-    the offsets of the documents into them.
+    rows holds the columns `carry` of the chunk's documents, words the hashes of its distinct
+    words, places the n words of the documents as places in these, and ends the offsets of the
+    documents into the places.
     """
     docs = docs.select(F.struct(*carry).alias("row"), "text")
     out = StructType().add("chunk", "long").add("rows", ArrayType(docs.schema["row"].dataType))
-    out = out.add("n", "long").add("tokens", "binary").add("ends", "binary")
+    out = out.add("n", "long").add("words", "binary").add("places", "binary").add("ends", "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 32
         for batch in batches:
             raw, offs = utf8(batch.column("text"))
-            for a, b in chunks(offs, 1 << 18):
+            for a, b in chunks(offs):
                 part = offs[a : b + 1]
                 h, _, _, ends = token_runs(raw[part[0] : part[-1]], part - part[0], _KIND)
+                words, places = np.unique(h, return_inverse=True)
+                packed = (_pack(x) for x in (words, places.astype("<u4" if len(words) > 0xFFFF else "<u2"), ends.astype(np.int64)))
                 rows = pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), batch.column("row").slice(a, b - a))
-                cols = [pa.array([chunk]), rows, pa.array([len(h)]), *(pa.array([x.tobytes()], pa.binary()) for x in (h, ends.astype(np.int64)))]
-                yield pa.RecordBatch.from_arrays(cols, out.names)
+                yield pa.RecordBatch.from_arrays([pa.array([chunk]), rows, pa.array([len(h)]), *packed], out.names)
                 chunk += 1
 
     return stash(docs.mapInArrow(run, out), "lm-tokens")
 
 
-def _unpack(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Word hashes and document offsets of each chunk."""
-    for tokens, ends in zip(batch.column("tokens"), batch.column("ends"), strict=True):
-        yield np.frombuffer(tokens.as_buffer(), np.uint64), np.frombuffer(ends.as_buffer(), np.int64)
+_PACKED = ["words", "places", "ends"]
+
+
+def _unpack(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Word hashes, places and document offsets of each chunk."""
+    for words, places, ends in zip(*(batch.column(c) for c in _PACKED), strict=True):
+        words = _open(words, "<u8")
+        yield words, _open(places, "<u4" if len(words) > 0xFFFF else "<u2"), _open(ends, "<i8")
 
 
 def count_words(tokens: DataFrame, most: int = 1 << 20) -> DataFrame:
@@ -107,14 +126,14 @@ def count_words(tokens: DataFrame, most: int = 1 << 20) -> DataFrame:
             return pa.record_batch({"word": pa.array(words.view(np.int64)), "n": pa.array(n)})
 
         for batch in batches:
-            for h, _ in _unpack(batch):
-                held.append(np.unique(h, return_counts=True))
+            for words, places, _ in _unpack(batch):
+                held.append((words, np.bincount(places, minlength=len(words))))
                 if sum(len(w) for w, _ in held) > most and len(merged()[0]) > most // 2:
                     yield out()
         if held:
             yield out()
 
-    return tokens.select("tokens", "ends").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return tokens.select(*_PACKED).mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 @dataclass(frozen=True)
@@ -234,24 +253,23 @@ def _round(tokens: DataFrame, vocabulary, weights: list[np.ndarray], number: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net, seen = Adagrad(sent.value), 0
         for batch in batches:
-            for h, ends in _unpack(batch):
+            for words, places, ends in _unpack(batch):
                 n = np.diff(ends)
                 n = n[n > 0]
                 if len(n) == 0:
                     continue
-                text = mix(np.add.reduceat(h, np.cumsum(n) - n))  # deals equal texts to one round
+                text = mix(np.add.reduceat(words[places], np.cumsum(n) - n))  # deals equal texts to one round
                 mine = text % np.uint64(rounds) == number
-                h, ends = h[np.repeat(mine, n)], np.concatenate([[0], np.cumsum(n[mine])])
-                c = vocabulary.value.classes(h)
-                ctx = _contexts(c, ends)
-                for i in range(0, len(h), BATCH):
+                c = vocabulary.value.classes(words)[places[np.repeat(mine, n)]]
+                ctx = _contexts(c, np.concatenate([[0], np.cumsum(n[mine])]))
+                for i in range(0, len(c), BATCH):
                     net.step(ctx[i : i + BATCH], c[i : i + BATCH].astype(np.int64))
-                seen += len(h)
+                seen += len(c)
         share = -(-seen // _PER)
         flat = np.concatenate([x.ravel() for x in net.w]).astype(np.float64)
         yield from block_rows(np.append(np.rint(np.clip(flat, -64, 64) * _UNIT).astype(np.int64) * share, share))
 
-    total = sum_blocks(tokens.select("tokens", "ends").mapInArrow(run, "block int, sums binary"), sum(_SIZES) + 1)
+    total = sum_blocks(tokens.select(*_PACKED).mapInArrow(run, "block int, sums binary"), sum(_SIZES) + 1)
     sent.destroy()
     if total[-1] == 0:
         return weights
@@ -285,20 +303,19 @@ def train(tokens: DataFrame, rounds: int = ROUNDS, own: int = OWN) -> Model:
     return Model(vocabulary, weights)
 
 
-def memory_keys(h: np.ndarray, c: np.ndarray, ends: np.ndarray, shared: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of all words between their neighbours, and of the words of shared classes within these.
+def memory_keys(words: np.ndarray, places: np.ndarray, ends: np.ndarray, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all words between their neighbours, and of the distinct words of shared classes.
 
-    The upper 48 bits stand for what a word is counted in, the lower 16 for the word.
+    The upper 48 bits stand for the neighbours, the lower 16 for the word between them.
     """
+    h = words[places]
     before, after = np.full(len(h), _OUTSIDE), np.full(len(h), _OUTSIDE)
     before[1:], after[:-1] = h[:-1], h[1:]
     full = np.diff(ends) > 0
     before[ends[:-1][full]] = after[ends[1:][full] - 1] = _OUTSIDE
     low = np.uint64(0xFFFF)
-    word = mix(h * _ODD) & low
-    between = mix(before * _LEFT + after * _RIGHT) & ~low | word
-    rare = c >= shared
-    return between, mix(c[rare].astype(np.uint64) * _LEFT + np.uint64(1)) & ~low | word[rare]
+    between = mix(before * _LEFT + after * _RIGHT) & ~low | (mix(words * _ODD) & low)[places]
+    return between, mix(words[rare] * _LEFT) & ~low
 
 
 def _part(keys: np.ndarray, parts: int) -> np.ndarray:
@@ -306,8 +323,13 @@ def _part(keys: np.ndarray, parts: int) -> np.ndarray:
     return ((keys >> np.uint64(40)) * np.uint64(parts)) >> np.uint64(24)
 
 
+def _halves(data: np.ndarray) -> np.ndarray:
+    """Pairs of float32 as all first ones and then all second ones, which compress better."""
+    return data.T.astype("<f4").copy()
+
+
 def remember(tokens: DataFrame, vocabulary, parts: int) -> DataFrame:
-    """(chunk, part, counts): for each distinct key of a chunk, ascending, how often it and what it is counted in occur.
+    """(chunk, part, counts): for each distinct key of a chunk, ascending, its occurrences and those of its neighbours.
 
     Counts are over all documents, as float32.
     """
@@ -315,21 +337,23 @@ def remember(tokens: DataFrame, vocabulary, parts: int) -> DataFrame:
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary.value
         for batch in batches:
-            for chunk, (h, ends) in zip(batch.column("chunk").to_pylist(), _unpack(batch), strict=True):
-                if len(h) == 0:
+            for chunk, (words, places, ends) in zip(batch.column("chunk").to_pylist(), _unpack(batch), strict=True):
+                if len(places) == 0:
                     continue
-                keys, n = np.unique(np.concatenate(memory_keys(h, known.classes(h), ends, known.shared)), return_counts=True)
+                rare = known.classes(words) >= known.shared
+                keys, place = np.unique(np.concatenate(memory_keys(words, places, ends, rare)), return_inverse=True)
+                times = np.concatenate([np.ones(len(places), np.int64), np.bincount(places, minlength=len(words))[rare]])
+                n = np.bincount(place, times, len(keys)).astype("<u4")
                 to = _part(keys, parts)
                 at = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]]))
                 cuts = [*at.tolist(), len(keys)]
-                words = keys.view("<u2").reshape(-1, 4)[:, :3]  # the upper bits are the part's
-                n = n.astype("<u4")
+                short = keys.view("<u2").reshape(-1, 4)[:, :3]  # the upper bits are the part's
                 ranges = list(zip(cuts[:-1], cuts[1:], strict=True))
                 yield pa.record_batch(
                     {
                         "chunk": pa.array([chunk] * len(at)),
                         "part": pa.array(to[at].astype(np.int64)),
-                        "keys": pa.array([words[a:b].tobytes() for a, b in ranges], pa.binary()),
+                        "keys": pa.array([short[a:b].tobytes() for a, b in ranges], pa.binary()),
                         "times": pa.array([n[a:b].tobytes() for a, b in ranges], pa.binary()),
                     }
                 )
@@ -344,25 +368,26 @@ def remember(tokens: DataFrame, vocabulary, parts: int) -> DataFrame:
         within = every >> np.uint64(16)
         at = np.flatnonzero(np.concatenate([[True], within[1:] != within[:-1]]))
         total = np.repeat(np.add.reduceat(n, at), np.diff(np.append(at, len(every))))
-        both = np.stack([n, total], axis=1).astype("<f4")[place]
+        both = np.stack([n, total], axis=1)[place]
         cuts = np.cumsum([0, *sizes])
-        counts = pa.array([both[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())
+        counts = _pack(*(_halves(both[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)))
         return pa.table({"chunk": rows["chunk"], "part": rows["part"], "counts": counts})
 
-    sent = tokens.select("chunk", "tokens", "ends").mapInArrow(send, "chunk long, part long, keys binary, times binary")
+    sent = tokens.select("chunk", *_PACKED).mapInArrow(send, "chunk long, part long, keys binary, times binary")
     return sent.groupBy("part").applyInArrow(count, "chunk long, part long, counts binary")
 
 
-def word_log_probs(model: Model, h: np.ndarray, ends: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def word_log_probs(model: Model, words: np.ndarray, places: np.ndarray, ends: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """log P(word | words on both sides) of each word; counts are those of the chunk's distinct keys, ascending."""
-    c = model.vocabulary.classes(h)
-    between, rare = memory_keys(h, c, ends, model.vocabulary.shared)
-    place = np.unique(np.concatenate([between, rare]), return_inverse=True)[1]
-    found = counts[place].astype(np.float64)
-    p = np.exp(model.log_probs(c, ends))
-    share = found[len(h) :]
-    p[c >= model.vocabulary.shared] *= share[:, 0] / share[:, 1]
-    n, total = (found[: len(h)] - 1).T
+    known = model.vocabulary
+    of_word = known.classes(words)
+    rare = of_word >= known.shared
+    between, alone = memory_keys(words, places, ends, rare)
+    found = counts[np.unique(np.concatenate([between, alone]), return_inverse=True)[1]].astype(np.float64)
+    share = np.ones(len(words))  # of its class
+    share[rare] = found[len(places) :, 0] / known.counts[of_word[rare]]
+    p = np.exp(model.log_probs(of_word[places], ends)) * share[places]
+    n, total = (found[: len(places)] - 1).T
     return np.log((EVIDENCE * p + n) / (EVIDENCE + total))
 
 
@@ -388,17 +413,17 @@ def score(docs: DataFrame, rounds: int = ROUNDS, own: int = OWN, carry: list[str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, (h, ends) in enumerate(_unpack(batch)):
+            for i, (words, places, ends) in enumerate(_unpack(batch)):
                 n = np.diff(ends)
                 total, full = np.zeros(len(n)), np.flatnonzero(n)
                 if len(full):
-                    answers = sorted((x["part"].as_py(), x["counts"].as_py()) for x in batch.column("counts")[i].values)
-                    found = np.frombuffer(b"".join(x for _, x in answers), "<f4").reshape(-1, 2)
-                    total[full] = np.add.reduceat(word_log_probs(sent.value, h, ends, found), ends[:-1][full])
+                    answers = sorted(batch.column("counts")[i].values, key=lambda x: x["part"].as_py())
+                    found = np.concatenate([_open(x["counts"], "<f4").reshape(2, -1).T for x in answers])
+                    total[full] = np.add.reduceat(word_log_probs(sent.value, words, places, ends, found), ends[:-1][full])
                 mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
                 yield pa.RecordBatch.from_arrays([batch.column("rows").slice(i, 1).flatten(), mean, pa.array(total), pa.array(n)], out.names)
 
-    scored = tokens.join(counts, "chunk", "left").select("rows", "tokens", "ends", "counts").mapInArrow(run, out)
+    scored = tokens.join(counts, "chunk", "left").select("rows", *_PACKED, "counts").mapInArrow(run, out)
     return scored.select("row.*", *added)
 
 
