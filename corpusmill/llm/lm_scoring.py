@@ -1,21 +1,22 @@
 """Masked pseudo-likelihood scores from a bidirectional window network.
 
-Words are counted over all documents. The commonest have a class of their own, the others
-share classes by hash. Classes are numbered by rank, and the network predicts a masked word's class
-digit by digit (a three-level softmax) from the classes of the SIDE words to its left and to its
-right. Every word of every document is masked once while training and once while scoring.
-
-What the corpus holds beside that grows with it and stays partitioned: how often each word
-stands between the same two neighbours, and how often each rarer word occurs. The counts
-travel as packed arrays: every chunk of documents sends its distinct keys to the parts that
-count them, and gets the counts over all documents back. A word's share of its class comes from
-the latter; the former, less the occurrence that is scored, is mixed into the network's probability
-by the weight of its evidence. A document's score is the sum of the conditional
-log-probabilities of all its words.
+Words are hashed into buckets and counted over all documents. The commonest buckets are classes
+of their own, the rest share classes; a word's share of its class comes from the counts. Classes
+are numbered by rank, and the network predicts a masked word's class digit by digit (a three-level
+softmax) from the classes of the SIDE words to its left and to its right. Every word of every
+document is masked once while training and once while scoring.
+
+What the corpus holds beyond that grows with it and stays partitioned: how often each word stands
+between the same two neighbours. Every chunk of documents sends its words, with the network's
+log-probabilities, to the parts that count words by their neighbours. There the counts, less the
+occurrence that is scored, are mixed into the network's probability by the weight of their
+evidence, and the sums for each document come back. A document's score is the sum of the
+conditional log-probabilities of all its words.
 
 Training runs where the data is: in each round every task starts from the same weights,
-learns from the documents of its part that are dealt to the round, and the weights are averaged by
-positions seen. Averages are sums of integers, so that reruns over the same splits agree.
+learns from the documents of its part that are dealt to the round, and the weights are averaged
+by positions seen. Counts and averages are sums of integers, so that reruns over the same splits
+agree.
 """
 
 from __future__ import annotations
@@ -34,7 +35,8 @@ from corpusmill.llm.common import block_rows, chunks, mix, stash, sum_blocks, ta
 
 DIGIT = 16
 CLASSES = DIGIT**3
-OWN = 3072  # commonest words with a class of their own; the others share the rest
+BUCKET_BITS = 20
+OWN = 3072  # commonest buckets with a class of their own; the others share the rest
 EDGE = CLASSES  # stands beyond a text's ends
 SIDE = 2
 EMBED = 8
@@ -44,7 +46,8 @@ BATCH = 1024
 RATE = 0.05
 SEED = 11
 EVIDENCE = 4  # occurrences of a pair of neighbours at which memory and network weigh the same
-PART_BYTES = 8 << 20  # keys that a task counts at once
+PART_BYTES = 8 << 20  # of keys that a task counts at once
+KEY_BYTES = 6
 _UNIT = 1 << 24  # weights travel as multiples of 1 / _UNIT
 _PER = 256  # positions that count one in the average
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -71,10 +74,21 @@ def _open(value: pa.Scalar, kind: str) -> np.ndarray:
     return np.frombuffer(pa.decompress(data[8:], int.from_bytes(data[:8].to_pybytes(), "little"), _ZIP), kind)
 
 
+def _short(numbers: np.ndarray) -> np.ndarray:
+    """The lower 48 bits of each number."""
+    return numbers.astype("<u8").view("<u2").reshape(-1, 4)[:, :3]
+
+
+def _long(data: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(data) // 3, 4), "<u2")
+    out[:, :3] = data.reshape(-1, 3)
+    return out.view("<u8")[:, 0]
+
+
 def tokenize(docs: DataFrame, carry: list[str]) -> DataFrame:
     """Chunks of documents, written: (chunk, rows, n, words, places, ends).
 
-    rows holds the columns `carry` of the chunk's documents, words the hashes of its distinct
+    rows holds the columns `carry` of the chunk's documents, words the 48-bit hashes of its distinct
     words, places the n words of the documents as places in these, and ends the offsets of the
     documents into the places.
     """
@@ -86,11 +100,11 @@ def tokenize(docs: DataFrame, carry: list[str]) -> DataFrame:
         chunk = TaskContext.get().partitionId() << 32
         for batch in batches:
             raw, offs = utf8(batch.column("text"))
-            for a, b in chunks(offs):
+            for a, b in chunks(offs, 1 << 22):
                 part = offs[a : b + 1]
                 h, _, _, ends = token_runs(raw[part[0] : part[-1]], part - part[0], _KIND)
-                words, places = np.unique(h, return_inverse=True)
-                packed = (_pack(x) for x in (words, places.astype("<u4" if len(words) > 0xFFFF else "<u2"), ends.astype(np.int64)))
+                words, places = np.unique(h >> np.uint64(16), return_inverse=True)
+                packed = (_pack(x) for x in (_short(words), places.astype("<u4" if len(words) > 0xFFFF else "<u2"), ends.astype(np.int64)))
                 rows = pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), batch.column("row").slice(a, b - a))
                 yield pa.RecordBatch.from_arrays([pa.array([chunk]), rows, pa.array([len(h)]), *packed], out.names)
                 chunk += 1
@@ -104,67 +118,44 @@ _PACKED = ["words", "places", "ends"]
 def _unpack(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Word hashes, places and document offsets of each chunk."""
     for words, places, ends in zip(*(batch.column(c) for c in _PACKED), strict=True):
-        words = _open(words, "<u8")
+        words = _long(_open(words, "<u2"))
         yield words, _open(places, "<u4" if len(words) > 0xFFFF else "<u2"), _open(ends, "<i8")
 
 
-def count_words(tokens: DataFrame, most: int = 1 << 20) -> DataFrame:
-    """(word, n): occurrences of each word hash over all documents."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+def _bucket(words: np.ndarray) -> np.ndarray:
+    return (mix(words * _ODD) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            words, place = np.unique(np.concatenate([w for w, _ in held]), return_inverse=True)
-            n = np.bincount(place, np.concatenate([c for _, c in held]), len(words)).astype(np.int64)
-            held[:] = [(words, n)]
-            return words, n
 
-        def out() -> pa.RecordBatch:
-            words, n = merged()
-            held.clear()
-            return pa.record_batch({"word": pa.array(words.view(np.int64)), "n": pa.array(n)})
+def count_words(tokens: DataFrame) -> np.ndarray:
+    """Occurrences of each bucket over all documents."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << BUCKET_BITS, np.int64)
         for batch in batches:
             for words, places, _ in _unpack(batch):
-                held.append((words, np.bincount(places, minlength=len(words))))
-                if sum(len(w) for w, _ in held) > most and len(merged()[0]) > most // 2:
-                    yield out()
-        if held:
-            yield out()
+                np.add.at(total, _bucket(words), np.bincount(places, minlength=len(words)))
+        yield from block_rows(total)
 
-    return tokens.select(*_PACKED).mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return sum_blocks(tokens.select(*_PACKED).mapInArrow(run, "block int, sums binary"), 1 << BUCKET_BITS)
 
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """The words with a class of their own, ascending by hash, their classes, the first shared class, and the counts of all."""
+    """Class of each bucket, its log-share of the class's words, and the counts of all classes."""
 
-    words: np.ndarray
-    own: np.ndarray
-    shared: int
+    of_bucket: np.ndarray
+    share: np.ndarray
     counts: np.ndarray
 
     @staticmethod
-    def of(words: DataFrame, own: int = OWN) -> Vocabulary:
-        # Every partition sends its commonest to the driver: few partitions, however large the input.
-        top = words.repartition(8).orderBy(F.desc("n"), "word").limit(own).collect()
-        h = np.array([r["word"] for r in top], np.int64).view(np.uint64)
-        n = np.array([r["n"] for r in top], np.int64)
-        counts = np.zeros(CLASSES, np.int64)
-        for r in words.groupBy(F.pmod("word", F.lit(CLASSES - own)).alias("k")).agg(F.sum("n").alias("n")).collect():
-            counts[own + r["k"]] = r["n"]
-        np.subtract.at(counts, own + (h.view(np.int64) % (CLASSES - own)), n)
-        counts[: len(n)] = n
-        order = np.argsort(h)
-        return Vocabulary(h[order], order.astype(np.int64), own, counts)
-
-    def classes(self, h: np.ndarray) -> np.ndarray:
-        shared = (self.shared + (h.view(np.int64) % (CLASSES - self.shared))).astype(np.uint16)
-        if len(self.words) == 0:
-            return shared
-        at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
-        return np.where(self.words[at] == h, self.own[at].astype(np.uint16), shared)
+    def of(counts: np.ndarray, own: int = OWN) -> Vocabulary:
+        n = len(counts)
+        classes = own + np.arange(n) % (CLASSES - own)
+        top = np.lexsort((np.arange(n), -counts))[:own]
+        classes[top] = np.arange(len(top))
+        c = counts.astype(np.float64) + 0.5  # a bucket without a count can still be scored
+        total = np.bincount(classes, c, CLASSES)
+        return Vocabulary(classes.astype(np.uint16), np.log(c / total[classes]).astype(np.float32), total)
 
 
 def _contexts(c: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -181,7 +172,7 @@ def _contexts(c: np.ndarray, ends: np.ndarray) -> np.ndarray:
 def start_weights(vocabulary: Vocabulary) -> list[np.ndarray]:
     """Random but for the last three, with which the network gives each class its frequency."""
     rng = np.random.default_rng(SEED)
-    n = vocabulary.counts + 0.5
+    n = vocabulary.counts + 1e-3
     levels = [n.reshape(-1, DIGIT, DIGIT**2).sum(axis=2), n.reshape(DIGIT, DIGIT, DIGIT).sum(axis=2), n.reshape(-1, DIGIT)]
     return [
         rng.normal(0, 0.3, _SHAPES[0]).astype(np.float32),
@@ -260,7 +251,7 @@ def _round(tokens: DataFrame, vocabulary, weights: list[np.ndarray], number: int
                     continue
                 text = mix(np.add.reduceat(words[places], np.cumsum(n) - n))  # deals equal texts to one round
                 mine = text % np.uint64(rounds) == number
-                c = vocabulary.value.classes(words)[places[np.repeat(mine, n)]]
+                c = vocabulary.value.of_bucket[_bucket(words)][places[np.repeat(mine, n)]]
                 ctx = _contexts(c, np.concatenate([[0], np.cumsum(n[mine])]))
                 for i in range(0, len(c), BATCH):
                     net.step(ctx[i : i + BATCH], c[i : i + BATCH].astype(np.int64))
@@ -295,7 +286,7 @@ class Model:
 
 def train(tokens: DataFrame, rounds: int = ROUNDS, own: int = OWN) -> Model:
     """Counts and network from all documents; without words the network stays as it starts."""
-    vocabulary = Vocabulary.of(stash(count_words(tokens), "lm-words"), own)
+    vocabulary = Vocabulary.of(count_words(tokens), own)
     sent = tokens.sparkSession.sparkContext.broadcast(vocabulary)
     weights = start_weights(vocabulary)
     for r in range(rounds):
@@ -303,92 +294,61 @@ def train(tokens: DataFrame, rounds: int = ROUNDS, own: int = OWN) -> Model:
     return Model(vocabulary, weights)
 
 
-def memory_keys(words: np.ndarray, places: np.ndarray, ends: np.ndarray, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of all words between their neighbours, and of the distinct words of shared classes.
-
-    The upper 48 bits stand for the neighbours, the lower 16 for the word between them.
-    """
+def memory_keys(words: np.ndarray, places: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A key for each word between its neighbours: the lower 16 bits stand for the word, the upper 48 for these."""
     h = words[places]
     before, after = np.full(len(h), _OUTSIDE), np.full(len(h), _OUTSIDE)
     before[1:], after[:-1] = h[:-1], h[1:]
     full = np.diff(ends) > 0
     before[ends[:-1][full]] = after[ends[1:][full] - 1] = _OUTSIDE
     low = np.uint64(0xFFFF)
-    between = mix(before * _LEFT + after * _RIGHT) & ~low | (mix(words * _ODD) & low)[places]
-    return between, mix(words[rare] * _LEFT) & ~low
-
-
-def _part(keys: np.ndarray, parts: int) -> np.ndarray:
-    """The part that counts a key; ascending as the keys are."""
-    return ((keys >> np.uint64(40)) * np.uint64(parts)) >> np.uint64(24)
-
-
-def _halves(data: np.ndarray) -> np.ndarray:
-    """Pairs of float32 as all first ones and then all second ones, which compress better."""
-    return data.T.astype("<f4").copy()
-
-
-def remember(tokens: DataFrame, vocabulary, parts: int) -> DataFrame:
-    """(chunk, part, counts): for each distinct key of a chunk, ascending, its occurrences and those of its neighbours.
-
-    Counts are over all documents, as float32.
-    """
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = vocabulary.value
-        for batch in batches:
-            for chunk, (words, places, ends) in zip(batch.column("chunk").to_pylist(), _unpack(batch), strict=True):
-                if len(places) == 0:
-                    continue
-                rare = known.classes(words) >= known.shared
-                keys, place = np.unique(np.concatenate(memory_keys(words, places, ends, rare)), return_inverse=True)
-                times = np.concatenate([np.ones(len(places), np.int64), np.bincount(places, minlength=len(words))[rare]])
-                n = np.bincount(place, times, len(keys)).astype("<u4")
-                to = _part(keys, parts)
-                at = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]]))
-                cuts = [*at.tolist(), len(keys)]
-                short = keys.view("<u2").reshape(-1, 4)[:, :3]  # the upper bits are the part's
-                ranges = list(zip(cuts[:-1], cuts[1:], strict=True))
-                yield pa.record_batch(
-                    {
-                        "chunk": pa.array([chunk] * len(at)),
-                        "part": pa.array(to[at].astype(np.int64)),
-                        "keys": pa.array([short[a:b].tobytes() for a, b in ranges], pa.binary()),
-                        "times": pa.array([n[a:b].tobytes() for a, b in ranges], pa.binary()),
-                    }
-                )
-
-    def count(key: tuple, rows: pa.Table) -> pa.Table:
-        sizes = [len(x.as_buffer()) // 4 for x in rows["times"].combine_chunks()]
-        keys = np.zeros((sum(sizes), 4), "<u2")
-        keys[:, :3] = np.frombuffer(b"".join(rows["keys"].to_pylist()), "<u2").reshape(-1, 3)
-        times = np.frombuffer(b"".join(rows["times"].to_pylist()), "<u4")
-        every, place = np.unique(keys.view("<u8")[:, 0], return_inverse=True)
-        n = np.bincount(place, times, len(every)).astype(np.int64)
-        within = every >> np.uint64(16)
-        at = np.flatnonzero(np.concatenate([[True], within[1:] != within[:-1]]))
-        total = np.repeat(np.add.reduceat(n, at), np.diff(np.append(at, len(every))))
-        both = np.stack([n, total], axis=1)[place]
-        cuts = np.cumsum([0, *sizes])
-        counts = _pack(*(_halves(both[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)))
-        return pa.table({"chunk": rows["chunk"], "part": rows["part"], "counts": counts})
-
-    sent = tokens.select("chunk", *_PACKED).mapInArrow(send, "chunk long, part long, keys binary, times binary")
-    return sent.groupBy("part").applyInArrow(count, "chunk long, part long, counts binary")
-
-
-def word_log_probs(model: Model, words: np.ndarray, places: np.ndarray, ends: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """log P(word | words on both sides) of each word; counts are those of the chunk's distinct keys, ascending."""
-    known = model.vocabulary
-    of_word = known.classes(words)
-    rare = of_word >= known.shared
-    between, alone = memory_keys(words, places, ends, rare)
-    found = counts[np.unique(np.concatenate([between, alone]), return_inverse=True)[1]].astype(np.float64)
-    share = np.ones(len(words))  # of its class
-    share[rare] = found[len(places) :, 0] / known.counts[of_word[rare]]
-    p = np.exp(model.log_probs(of_word[places], ends)) * share[places]
-    n, total = (found[: len(places)] - 1).T
-    return np.log((EVIDENCE * p + n) / (EVIDENCE + total))
+    return mix(before * _LEFT + after * _RIGHT) & ~low | (mix(words * _ODD) & low)[places]
+
+
+def _send(batches: Iterator[pa.RecordBatch], model: Model, parts: int) -> Iterator[pa.RecordBatch]:
+    """(chunk, part, keys, logs, docs): a chunk's words that a part counts, in order of documents."""
+    for batch in batches:
+        for chunk, (words, places, ends) in zip(batch.column("chunk").to_pylist(), _unpack(batch), strict=True):
+            if len(places) == 0:
+                continue
+            bucket = _bucket(words)
+            logs = model.log_probs(model.vocabulary.of_bucket[bucket][places], ends) + model.vocabulary.share[bucket][places]
+            keys = memory_keys(words, places, ends)
+            doc = np.repeat(np.arange(len(ends) - 1, dtype="<u4"), np.diff(ends))
+            # A key's upper bits choose its part, so that the lower ones are enough there.
+            part = ((keys >> np.uint64(40)) * np.uint64(parts)) >> np.uint64(24)
+            order = np.argsort(part, kind="stable")
+            cuts = [0, *(np.flatnonzero(np.diff(part[order])) + 1).tolist(), len(order)]
+            ranges = [order[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            yield pa.record_batch(
+                {
+                    "chunk": pa.array([chunk] * len(ranges)),
+                    "part": pa.array([int(part[x[0]]) for x in ranges]),
+                    "keys": pa.array([_short(keys[x]).tobytes() for x in ranges], pa.binary()),
+                    "logs": pa.array([logs[x].astype("<f2").tobytes() for x in ranges], pa.binary()),
+                    "docs": _pack(*(doc[x] for x in ranges)),
+                }
+            )
+
+
+def _sum_up(key: tuple, rows: pa.Table) -> pa.Table:
+    """(chunk, part, docs, sums): the log-probabilities of a part's words, added up for each document of a chunk."""
+    keys = _long(np.frombuffer(b"".join(rows["keys"].to_pylist()), "<u2"))
+    p = np.exp(np.frombuffer(b"".join(rows["logs"].to_pylist()), "<f2").astype(np.float64))
+    every, place = np.unique(keys, return_inverse=True)
+    n = np.bincount(place)
+    around = every >> np.uint64(16)
+    at = np.flatnonzero(np.concatenate([[True], around[1:] != around[:-1]]))
+    total = np.repeat(np.add.reduceat(n, at), np.diff(np.append(at, len(every))))
+    logs = np.log((EVIDENCE * p + n[place] - 1) / (EVIDENCE + total[place] - 1))
+    docs, sums, first = [], [], 0
+    for packed in rows["docs"].combine_chunks():
+        doc = _open(packed, "<u4")
+        at = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+        docs.append(doc[at])
+        sums.append(np.add.reduceat(logs[first : first + len(doc)], at))
+        first += len(doc)
+    return pa.table({"chunk": rows["chunk"], "part": rows["part"], "docs": _pack(*docs), "sums": _pack(*sums)})
 
 
 def score(docs: DataFrame, rounds: int = ROUNDS, own: int = OWN, carry: list[str] | None = None) -> DataFrame:
@@ -396,34 +356,33 @@ def score(docs: DataFrame, rounds: int = ROUNDS, own: int = OWN, carry: list[str
 
     Columns of docs with these names are replaced. A text without words (null, empty, blank)
     has 0 tokens, log_prob 0 and a null mean. Repeated rows are each other's evidence and score
-    the same; equal texts have equal scores up to the rounding of float32 products. Long texts
-    are read whole. No rows give no rows.
+    the same; equal texts have equal scores up to the rounding of log-probabilities to 11 bits. Long
+    texts are read whole. No rows give no rows.
     """
     added = {"mean_log_prob": "double", "log_prob": "double", "n_tokens": "long"}
     tokens = tokenize(docs, [c for c in carry or docs.columns if c not in added])
-    model = train(tokens, rounds, own)
-    context = docs.sparkSession.sparkContext
-    vocabulary, sent = context.broadcast(model.vocabulary), context.broadcast(model)
-    parts = max(1, -(-(tokens.agg(F.sum("n")).first()[0] or 0) * 6 // PART_BYTES))
-    counts = remember(tokens, vocabulary, parts).groupBy("chunk").agg(F.collect_list(F.struct("part", "counts")).alias("counts"))
-    kept = tokens.schema["rows"].dataType.elementType
-    out = StructType().add("row", kept)
+    sent = docs.sparkSession.sparkContext.broadcast(train(tokens, rounds, own))
+    parts = max(1, -(-(tokens.agg(F.sum("n")).first()[0] or 0) * KEY_BYTES // PART_BYTES))
+    words = tokens.select("chunk", *_PACKED).mapInArrow(
+        lambda batches: _send(batches, sent.value, parts), "chunk long, part long, keys binary, logs binary, docs binary"
+    )
+    found = words.groupBy("part").applyInArrow(_sum_up, "chunk long, part long, docs binary, sums binary")
+    found = found.groupBy("chunk").agg(F.collect_list(F.struct("part", "docs", "sums")).alias("found"))
+    out = StructType().add("row", tokens.schema["rows"].dataType.elementType)
     for name, kind in added.items():
         out = out.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, (words, places, ends) in enumerate(_unpack(batch)):
-                n = np.diff(ends)
-                total, full = np.zeros(len(n)), np.flatnonzero(n)
-                if len(full):
-                    answers = sorted(batch.column("counts")[i].values, key=lambda x: x["part"].as_py())
-                    found = np.concatenate([_open(x["counts"], "<f4").reshape(2, -1).T for x in answers])
-                    total[full] = np.add.reduceat(word_log_probs(sent.value, words, places, ends, found), ends[:-1][full])
+            for i in range(batch.num_rows):
+                n = np.diff(_open(batch.column("ends")[i], "<i8"))
+                total = np.zeros(len(n))
+                for x in sorted(batch.column("found")[i].values or (), key=lambda x: x["part"].as_py()):
+                    total[_open(x["docs"], "<u4")] += _open(x["sums"], "<f8")
                 mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
                 yield pa.RecordBatch.from_arrays([batch.column("rows").slice(i, 1).flatten(), mean, pa.array(total), pa.array(n)], out.names)
 
-    scored = tokens.join(counts, "chunk", "left").select("rows", *_PACKED, "counts").mapInArrow(run, out)
+    scored = tokens.select("chunk", "rows", "ends").join(found, "chunk", "left").mapInArrow(run, out)
     return scored.select("row.*", *added)
 
 
