@@ -46,8 +46,9 @@ BATCH = 1024
 RATE = 0.05
 SEED = 11
 EVIDENCE = 4  # occurrences of a pair of neighbours at which memory and network weigh the same
-PART_BYTES = 8 << 20  # of keys that a task counts at once
-KEY_BYTES = 6
+PART_BYTES = 4 << 20  # of keys that a task counts at once
+KEY_BYTES = 5
+WORD_BITS = 13  # of a key; the others stand for the neighbours
 _UNIT = 1 << 24  # weights travel as multiples of 1 / _UNIT
 _PER = 256  # positions that count one in the average
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -74,14 +75,14 @@ def _open(value: pa.Scalar, kind: str) -> np.ndarray:
     return np.frombuffer(pa.decompress(data[8:], int.from_bytes(data[:8].to_pybytes(), "little"), _ZIP), kind)
 
 
-def _short(numbers: np.ndarray) -> np.ndarray:
-    """The lower 48 bits of each number."""
-    return numbers.astype("<u8").view("<u2").reshape(-1, 4)[:, :3]
+def _short(numbers: np.ndarray, width: int) -> np.ndarray:
+    """The lower `width` bytes of each number."""
+    return numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
 
 
-def _long(data: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(data) // 3, 4), "<u2")
-    out[:, :3] = data.reshape(-1, 3)
+def _long(data: np.ndarray, width: int) -> np.ndarray:
+    out = np.zeros((len(data) // width, 8), np.uint8)
+    out[:, :width] = data.reshape(-1, width)
     return out.view("<u8")[:, 0]
 
 
@@ -102,9 +103,11 @@ def tokenize(docs: DataFrame, carry: list[str]) -> DataFrame:
             raw, offs = utf8(batch.column("text"))
             for a, b in chunks(offs, 1 << 22):
                 part = offs[a : b + 1]
-                h, _, _, ends = token_runs(raw[part[0] : part[-1]], part - part[0], _KIND)
+                found = [token_runs(raw[x[0] : x[-1]], x - x[0], _KIND)[::3] for x in (part[i : j + 1] for i, j in chunks(part, 1 << 19))]
+                h = np.concatenate([x for x, _ in found])
+                ends = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(x) for _, x in found]))])
                 words, places = np.unique(h >> np.uint64(16), return_inverse=True)
-                packed = (_pack(x) for x in (_short(words), places.astype("<u4" if len(words) > 0xFFFF else "<u2"), ends.astype(np.int64)))
+                packed = (_pack(x) for x in (_short(words, 6), places.astype("<u4" if len(words) > 0xFFFF else "<u2"), ends.astype(np.int64)))
                 rows = pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), batch.column("row").slice(a, b - a))
                 yield pa.RecordBatch.from_arrays([pa.array([chunk]), rows, pa.array([len(h)]), *packed], out.names)
                 chunk += 1
@@ -118,7 +121,7 @@ _PACKED = ["words", "places", "ends"]
 def _unpack(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Word hashes, places and document offsets of each chunk."""
     for words, places, ends in zip(*(batch.column(c) for c in _PACKED), strict=True):
-        words = _long(_open(words, "<u2"))
+        words = _long(_open(words, "u1"), 6)
         yield words, _open(places, "<u4" if len(words) > 0xFFFF else "<u2"), _open(ends, "<i8")
 
 
@@ -295,13 +298,13 @@ def train(tokens: DataFrame, rounds: int = ROUNDS, own: int = OWN) -> Model:
 
 
 def memory_keys(words: np.ndarray, places: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A key for each word between its neighbours: the lower 16 bits stand for the word, the upper 48 for these."""
+    """A key for each word between its neighbours: the lower WORD_BITS stand for the word, the others for these."""
     h = words[places]
     before, after = np.full(len(h), _OUTSIDE), np.full(len(h), _OUTSIDE)
     before[1:], after[:-1] = h[:-1], h[1:]
     full = np.diff(ends) > 0
     before[ends[:-1][full]] = after[ends[1:][full] - 1] = _OUTSIDE
-    low = np.uint64(0xFFFF)
+    low = np.uint64((1 << WORD_BITS) - 1)
     return mix(before * _LEFT + after * _RIGHT) & ~low | (mix(words * _ODD) & low)[places]
 
 
@@ -324,7 +327,7 @@ def _send(batches: Iterator[pa.RecordBatch], model: Model, parts: int) -> Iterat
                 {
                     "chunk": pa.array([chunk] * len(ranges)),
                     "part": pa.array([int(part[x[0]]) for x in ranges]),
-                    "keys": pa.array([_short(keys[x]).tobytes() for x in ranges], pa.binary()),
+                    "keys": pa.array([_short(keys[x], KEY_BYTES).tobytes() for x in ranges], pa.binary()),
                     "logs": pa.array([logs[x].astype("<f2").tobytes() for x in ranges], pa.binary()),
                     "docs": _pack(*(doc[x] for x in ranges)),
                 }
@@ -333,11 +336,11 @@ def _send(batches: Iterator[pa.RecordBatch], model: Model, parts: int) -> Iterat
 
 def _sum_up(key: tuple, rows: pa.Table) -> pa.Table:
     """(chunk, part, docs, sums): the log-probabilities of a part's words, added up for each document of a chunk."""
-    keys = _long(np.frombuffer(b"".join(rows["keys"].to_pylist()), "<u2"))
+    keys = _long(np.frombuffer(b"".join(rows["keys"].to_pylist()), np.uint8), KEY_BYTES)
     p = np.exp(np.frombuffer(b"".join(rows["logs"].to_pylist()), "<f2").astype(np.float64))
     every, place = np.unique(keys, return_inverse=True)
     n = np.bincount(place)
-    around = every >> np.uint64(16)
+    around = every >> np.uint64(WORD_BITS)
     at = np.flatnonzero(np.concatenate([[True], around[1:] != around[:-1]]))
     total = np.repeat(np.add.reduceat(n, at), np.diff(np.append(at, len(every))))
     logs = np.log((EVIDENCE * p + n[place] - 1) / (EVIDENCE + total[place] - 1))
