@@ -351,7 +351,7 @@ def _sum_up(key: tuple, rows: pa.Table) -> pa.Table:
         docs.append(doc[at])
         sums.append(np.add.reduceat(logs[first : first + len(doc)], at))
         first += len(doc)
-    return pa.table({"chunk": rows["chunk"], "part": rows["part"], "docs": _pack(*docs), "sums": _pack(*sums)})
+    return pa.table({"chunk": rows["chunk"], "part": rows["part"], "docs": _pack(*docs), "sums": _pack(*(x.astype("<f4") for x in sums))})
 
 
 def score(docs: DataFrame, rounds: int = ROUNDS, own: int = OWN, carry: list[str] | None = None) -> DataFrame:
@@ -381,7 +381,7 @@ def score(docs: DataFrame, rounds: int = ROUNDS, own: int = OWN, carry: list[str
                 n = np.diff(_open(batch.column("ends")[i], "<i8"))
                 total = np.zeros(len(n))
                 for x in sorted(batch.column("found")[i].values or (), key=lambda x: x["part"].as_py()):
-                    total[_open(x["docs"], "<u4")] += _open(x["sums"], "<f8")
+                    total[_open(x["docs"], "<u4")] += _open(x["sums"], "<f4")
                 mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
                 yield pa.RecordBatch.from_arrays([batch.column("rows").slice(i, 1).flatten(), mean, pa.array(total), pa.array(n)], out.names)
 
