@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import time
 from collections.abc import Callable, Iterator, Sequence
 from typing import Protocol
 
@@ -62,12 +63,13 @@ class StubJudge:
 
 
 def answer(
-    df: DataFrame, prompt: str, out: str, factory: Callable[[], Model], batch: int = 256, failed: str | None = None, tries: int = 1
+    df: DataFrame, prompt: str, out: str, factory: Callable[[], Model], batch: int = 256, failed: str | None = None, tries: int = 1, wait: float = 0.0
 ) -> DataFrame:
     """df with the model's answer to each prompt.
 
     A batch whose call fails `tries` times gets `failed` for every row, or fails the task
-    if that is None.
+    if that is None. Other than one answer for each prompt is a failure. The n-th new try comes
+    after n times `wait` seconds.
     """
     schema = StructType([*df.schema.fields, StructField(out, StringType())])
 
@@ -79,13 +81,18 @@ def answer(
                 texts = frame[prompt].iloc[i : i + batch].fillna("").tolist()
                 for attempt in range(tries):
                     try:
-                        answers += model(texts)
+                        said = model(texts)
+                        if len(said) != len(texts):
+                            raise ValueError(f"{len(said)} answers to {len(texts)} prompts")
+                        answers += said
                         break
                     except Exception:
                         if attempt + 1 == tries:
                             if failed is None:
                                 raise
                             answers += [failed] * len(texts)
+                        else:
+                            time.sleep(wait * (attempt + 1))
             yield frame.assign(**{out: answers})
 
     return df.mapInPandas(run, schema)

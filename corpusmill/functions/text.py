@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,6 +18,15 @@ STRICT_PHONE = r"(?<!\d)(?:\+\d{1,3}[-.\s])?\(?\d{2,4}\)?[-.\s]\d{3,4}[-.\s]\d{4
 SENTENCE_END = "。！？!?；;\\."
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value computed once a row, however often the body names it.
+
+    A column that is merely named twice is copied into each place by the optimizer, and again
+    into lambdas, where it is evaluated for each element.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def clean(text: Column) -> Column:
     """Tags become spaces, runs of white space one space, none at the ends; null becomes ""."""
     spaced = F.regexp_replace(F.coalesce(text, F.lit("")), TAG, " ")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.functions.text import chunk_id, sentences, truthy
+from corpusmill.functions.text import bind, chunk_id, sentences, truthy
 
 MAX_CHARS = 700
 MAX_SENTENCES = 6
@@ -57,13 +57,16 @@ def chunk_texts(text: Column, parts: Column, starts: Column) -> Column:
 
 def chunk_documents(df: DataFrame, max_chars: int = MAX_CHARS, max_sentences: int = MAX_SENTENCES) -> DataFrame:
     """chunk_id, original_doc_id, text_chunk and metadata of every chunk of every document."""
-    docs = document_fields(df).withColumn("parts", sentences(F.col("text")))
-    docs = docs.withColumn("starts", chunk_starts(F.col("parts"), max_chars, max_sentences))
-    docs = docs.withColumn("bodies", chunk_texts(F.col("text"), F.col("parts"), F.col("starts"))).drop("parts", "starts")
+
+    def chunks(parts: Column) -> Column:
+        bodies = bind(chunk_starts(parts, max_chars, max_sentences), lambda starts: chunk_texts(F.col("text"), parts, starts))
+        return bind(bodies, lambda b: F.transform(b, lambda x, i: F.struct(i.alias("i"), F.size(b).alias("n"), x.alias("body"))))
+
+    docs = document_fields(df).withColumn("chunks", bind(sentences(F.col("text")), chunks)).drop("text")
     header = F.concat(
         F.lit("Title: "), "title", F.lit("\nTimestamp: "), "timestamp", F.lit("\nDocumentID: "), "doc_id", F.lit("\n\n")
     )
-    rows = docs.select("doc_id", "title", "timestamp", "event_date", header.alias("header"), F.size("bodies").alias("n"), F.posexplode("bodies").alias("i", "body"))
+    rows = docs.select("doc_id", "title", "timestamp", "event_date", header.alias("header"), F.inline_outer("chunks"))  # every document has a chunk; `inline` would compute them again in a filter
     return rows.select(
         chunk_id(F.col("doc_id"), F.col("i"), F.col("timestamp")).alias("chunk_id"),
         F.col("doc_id").alias("original_doc_id"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from corpusmill.functions.lexicons import EMPTY_ENTITIES, EVAL_KEY_ENTITIES, EVAL_NEGATIVE_REASON, EVAL_POSITIVE_REASON
-from corpusmill.functions.text import any_hit, strip
+from corpusmill.functions.text import any_hit, bind, strip
 from corpusmill.operators.labeling import reason_conflict
 
 THRESHOLD = 3.5
@@ -23,11 +23,14 @@ def parse_judge(output: Column) -> Column:
     be read gives 1, 1, 1.0 and parse_failed.
     """
     output = F.coalesce(output, F.lit(""))
-    found = F.regexp_extract(output, r"(?s)\{.*\}", 0)
-    body = F.when(found != "", found).otherwise(output)
+    body = bind(F.regexp_extract(output, r"(?s)\{.*\}", 0), lambda found: F.when(found != "", found).otherwise(output))
     options = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "_bad"}
-    raw = F.from_json(body, "task_completion string, hallucination string, overall string, reason string, _bad string", options)
-    keys = F.json_object_keys(body)
+    schema = "task_completion string, hallucination string, overall string, reason string, _bad string"
+    both = lambda b: F.struct(F.from_json(b, schema, options).alias("raw"), F.json_object_keys(b).alias("keys"))
+    return bind(body, lambda b: bind(both(b), lambda x: _judge(x["raw"], x["keys"])))
+
+
+def _judge(raw: Column, keys: Column) -> Column:
     given = lambda name: F.array_contains(keys, name)
     whole = lambda name: F.when(given(name), raw[name].try_cast("double").try_cast("int")).otherwise(F.lit(1))
     task, hall = whole("task_completion"), whole("hallucination")

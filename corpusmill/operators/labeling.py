@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions.lexicons import Lexicon
-from corpusmill.functions.text import any_hit, distinct_items, hits, strip
+from corpusmill.functions.text import any_hit, bind, distinct_items, hits, strip
 
 SENTIMENTS = ("positive", "neutral", "negative")
 MOST = 8
@@ -16,7 +16,7 @@ _STRICT = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "_bad"}
 def json_object(text: Column) -> Column:
     """From the first { to the last }; the stripped text if there is no such span."""
     found = F.regexp_extract(text, r"(?s)\{.*\}", 0)
-    return F.when(found != "", found).otherwise(strip(text))
+    return bind(found, lambda x: F.when(x != "", x).otherwise(strip(text)))
 
 
 def parse_label(output: Column) -> Column:
@@ -26,8 +26,13 @@ def parse_label(output: Column) -> Column:
     sentiments are neutral; entities that are no list are none; at most MOST are read. A
     reason of JSON null is the text None. Nested objects among entities are out of scope.
     """
-    body = json_object(F.coalesce(output, F.lit("")))
-    raw = F.from_json(body, "sentiment string, entities string, reason string, _bad string", _STRICT)
+    schema = "sentiment string, entities string, reason string, _bad string"
+    return bind(
+        json_object(F.coalesce(output, F.lit(""))), lambda body: bind(F.from_json(body, schema, _STRICT), lambda raw: _label(body, raw))
+    )
+
+
+def _label(body: Column, raw: Column) -> Column:
     bad = raw.isNull() | raw["_bad"].isNotNull() | ~F.startswith(strip(body), F.lit("{"))
     keys = F.json_object_keys(body)
     low = F.lower(F.coalesce(raw["sentiment"], F.lit("neutral")))
@@ -45,14 +50,12 @@ def parse_label(output: Column) -> Column:
 def infer_sentiment(text: Column, lexicon: Lexicon) -> Column:
     """Majority of distinct hints, after the first contrast token (in the lexicon's order)."""
     text = F.coalesce(text, F.lit(""))
-    focus = None
-    for token in lexicon.contrast:
-        tail = strip(F.substr(text, F.locate(token, text) + F.lit(len(token))))
-        arm = F.when(tail != "", tail).otherwise(text)
-        focus = F.when(F.contains(text, F.lit(token)), arm) if focus is None else focus.when(F.contains(text, F.lit(token)), arm)
-    focus = text if focus is None else focus.otherwise(text)
-    negative, positive = F.size(hits(focus, lexicon.negative)), F.size(hits(focus, lexicon.positive))
-    return F.when(negative > positive, "negative").when(positive > negative, "positive").otherwise("neutral")
+    tail = F.lit("")
+    for token in reversed(lexicon.contrast):
+        tail = F.when(F.contains(text, F.lit(token)), F.substr(text, F.locate(token, text) + F.lit(len(token)))).otherwise(tail)
+    focus = bind(strip(tail), lambda t: F.when(t != "", t).otherwise(text))
+    more = bind(focus, lambda f: F.size(hits(f, lexicon.positive)) - F.size(hits(f, lexicon.negative)))
+    return bind(F.signum(more), lambda s: F.when(s < 0, "negative").when(s > 0, "positive").otherwise("neutral"))
 
 
 def find_entities(text: Column, lexicon: Lexicon) -> Column:
@@ -121,8 +124,13 @@ def normalize(df: DataFrame, text: str, output: str, lexicon: Lexicon) -> DataFr
 
 def parse_topic_label(output: Column) -> Column:
     """Struct (label, confidence) of a plain JSON answer; general and 0.5 by default."""
-    body = strip(F.coalesce(output, F.lit("")))
-    raw = F.from_json(body, "label string, confidence string, _bad string", _STRICT)
+    schema = "label string, confidence string, _bad string"
+    return bind(
+        strip(F.coalesce(output, F.lit(""))), lambda body: bind(F.from_json(body, schema, _STRICT), lambda raw: _topic_label(body, raw))
+    )
+
+
+def _topic_label(body: Column, raw: Column) -> Column:
     bad = raw.isNull() | raw["_bad"].isNotNull() | ~F.startswith(body, F.lit("{"))
     number = raw["confidence"].try_cast("double")
     given = F.array_contains(F.json_object_keys(body), "confidence")

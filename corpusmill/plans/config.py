@@ -21,6 +21,9 @@ class Config:
     chunk_max_sentences: int = 6
     label_batch: int = 256
     embed_batch: int = 64
+    embed_partitions: int = 0  # 0: four for each core
+    judge_tries: int = 3
+    judge_wait: float = 1.0  # seconds before the second try, twice that before the third
     sample_size: int = 100
     seed: int = 42
     quality_threshold: float = 3.5

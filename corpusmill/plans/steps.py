@@ -84,14 +84,20 @@ def embeddings(spark: SparkSession, config: Config, embedder: Callable[[], Model
     rows = _new(readers.read_table(spark, config.silver), stored, config, F.col("metadata")["timestamp"])
     chunks = chunking.chunk_documents(rows, config.chunk_max_chars, config.chunk_max_sentences)
     chunks = incremental.unseen(chunks, stored, ["chunk_id"])
+    # Few documents can hold many chunks: spread these before the model.
+    chunks = chunks.repartition(config.embed_partitions or 4 * spark.sparkContext.defaultParallelism)
     vectors = embed(chunks, "text_chunk", "vector", embedder, config.embed_batch)
     return status("STEP3", sinks.write_embeddings(vectors.withColumn("metadata", text_map(F.col("metadata"))), config.embeddings))
 
 
+#: What a judge that can't be reached is taken to have said.
+REQUEST_FAILED = '{"task_completion": 1, "hallucination": 1, "overall": 1.0, "reason": "judge_request_failed"}'
+
+
 def evaluate(spark: SparkSession, config: Config, judge: Callable[[], Model] = StubJudge) -> dict:
     """Judge a seeded sample of labels and report."""
     sample = incremental.seeded_sample(readers.read_table(spark, config.labeled), "id", config.sample_size, config.seed)
-    said = answer(sample.withColumn("prompt", judge_prompt(sample)), "prompt", "said", judge, 16, "", tries=3)
+    said = answer(sample.withColumn("prompt", judge_prompt(sample)), "prompt", "said", judge, 16, REQUEST_FAILED, config.judge_tries, config.judge_wait)
     judged = said.select(evaluation.source_id(sample).alias("doc_id"), evaluation.parse_judge(F.col("said")).alias("j")).select("doc_id", "j.*")
     return evaluation.report_json(judged, sample, config.quality_threshold)
 

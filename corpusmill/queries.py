@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +10,7 @@ from corpusmill.functions.models import MOST_CHARS
 from corpusmill.functions.text import as_vector, chunk_id, clean, content_hash, distinct_items, event_date, l2_normalize, mask, sentences, text_map
 from corpusmill.operators import chunking, dedup, evaluation, incremental, labeling
 from corpusmill.plans.steps import LABEL_PROMPT, judge_prompt
-from corpusmill.sources import readers
+from corpusmill.sources import readers, sinks
 from corpusmill.streaming import streams
 
 #: Words that the tables have, in the place of the review lexicon.
@@ -34,14 +31,6 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _scratch(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base}/{uuid.uuid4().hex}"
-
-
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents").withColumn("text", clean(F.col("text")))
 
@@ -372,7 +361,7 @@ def idempotent_append_1key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events through a file stream in append mode with a checkpoint, read back as a table."""
-    at = _scratch(spark)
+    at = sinks.scratch(spark)
     lines = read(spark, sf_dir, "events").select(F.to_json(F.struct("event_id", "ts", "event_type")).alias("value"))
     lines.write.text(f"{at}/in")
     stream = readers.file_stream(spark, f"{at}/in")

@@ -218,3 +218,36 @@ def test_config():
 def test_generator_is_seeded(spark):
     a, b = (generator.reviews(spark, 30, seed=3).collect() for _ in range(2))
     assert a == b and len({r["text"] for r in a}) > 5
+
+
+def test_values_are_bound_once(spark, sf_dir):
+    """A bound value's expression stands once in the plan, however often it is used."""
+    from corpusmill import queries
+
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    assert plan(queries.chunk_documents(spark, sf_dir)).count("split(") == 1
+    assert plan(queries.chunk_documents(spark, sf_dir)).count("aggregate(") == 1
+    assert plan(queries.sentiment_rule(spark, sf_dir)).count("regexp_replace(") == 1
+    assert plan(queries.label_normalize(spark, sf_dir)).count("from_json(") <= 2
+
+
+def test_mean_pool_uses_attended_tokens(spark):
+    from corpusmill.functions.text import mean_pool
+
+    rows = [([[1.0, 2.0], [3.0, 4.0], [90.0, 90.0]], [1, 1, 0]), ([[5.0, 5.0]], [0])]
+    df = spark.createDataFrame(rows, "states array<array<double>>, attention array<int>")
+    got = [r[0] for r in df.select(mean_pool(F.col("states"), F.col("attention"))).collect()]
+    assert got == [[2.0, 3.0], [0.0, 0.0]]
+
+
+def test_models_wait_and_answer_each_prompt(spark):
+    from corpusmill.functions.models import answer
+
+    class Short:
+        def __call__(self, texts):
+            return ["x"] * (len(texts) - 1)
+
+    df = spark.createDataFrame([("a",), ("b",)], "p string").coalesce(1)
+    assert {r["o"] for r in answer(df, "p", "o", Short, failed="no", tries=2, wait=0.01).collect()} == {"no"}
