@@ -18,7 +18,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from corpusmill.llm.common import table
@@ -106,7 +105,8 @@ def pairs(samples: bytes) -> tuple[np.ndarray, np.ndarray]:
 def store(docs: DataFrame) -> DataFrame:
     """Columns of docs with `n_bytes` and `media` (a WAV file) added or replaced.
 
-    A null text is stored like an empty one: BLOCK zero bytes.
+    A null text is stored like an empty one: BLOCK zero bytes. Texts are stored whole, repeated
+    rows each. No rows give no rows.
     """
     docs = docs.drop("n_bytes", "media")
 
@@ -125,25 +125,33 @@ _PLAIN = {
     "tail_crc32": pa.int64(),
     "media_bytes": pa.int64(),
     "media_sha256": pa.string(),
+    "feature": pa.string(),
 }
 _READ = (
-    "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, "
-    "fingerprint array<struct<time:int,hash:int>>"
+    "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 )
+_ARRAYS = ", fingerprint array<struct<time:int,hash:int>>"
 
 
-def fingerprint(df: DataFrame) -> DataFrame:
+def digest(times: np.ndarray, codes: np.ndarray) -> str:
+    """The number of pairs, and the SHA-256 of their times and hashes as 32-bit numbers."""
+    return f"{len(times)}:{hashlib.sha256(np.stack([times, codes], axis=1).astype('<i4').tobytes()).hexdigest()}"
+
+
+def fingerprint(df: DataFrame, arrays: bool = True) -> DataFrame:
     """Columns of df, without `media`, with what the WAV files in that column hold.
 
     payload_bytes, payload_sha256, tail_crc32 (last BLOCK bytes), media_bytes,
-    media_sha256 and `fingerprint`, an array of (time, hash) in order. A null media gives
+    media_sha256, `feature` (the digest of all pairs) and, with `arrays`, `fingerprint`, an array
+    of (time, hash) in order. Input columns with these names are replaced. A null media gives
     nulls and an empty fingerprint; data that is no 8-bit mono WAV raises. Silence and
-    other constant payloads have no pairs.
+    other constant payloads have no pairs. Long payloads are transformed in slabs; equal
+    payloads, repeated rows among them, have equal fingerprints. No rows give no rows.
     """
-    added = [*_PLAIN, "fingerprint"]
-    df = df.drop(*added)
+    df = df.drop(*_PLAIN, "fingerprint")
+    added = [*_PLAIN, *(["fingerprint"] if arrays else [])]
     kept = [c for c in df.columns if c != "media"]
-    out = StructType([*df.select(*kept).schema.fields, *StructType.fromDDL(_READ).fields])
+    out = StructType([*df.select(*kept).schema.fields, *StructType.fromDDL(_READ + _ARRAYS * arrays).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(i, _ROWS) for b in batches for i in range(0, b.num_rows, _ROWS)):
@@ -156,35 +164,23 @@ def fingerprint(df: DataFrame) -> DataFrame:
                     samples = from_wav(data)
                     t, c = pairs(samples)
                     sha, tail = hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-BLOCK:])
-                    row = (len(samples), sha, tail, len(data), hashlib.sha256(data).hexdigest())
+                    row = (len(samples), sha, tail, len(data), hashlib.sha256(data).hexdigest(), digest(t, c))
                 for k, v in zip(plain, row, strict=True):
                     plain[k].append(v)
-                times.append(t)
-                codes.append(c)
-                ends.append(ends[-1] + len(t))
-            pair = pa.StructArray.from_arrays(
-                [pa.array(np.concatenate(x).astype(np.int32)) for x in (times, codes)], ["time", "hash"]
-            )
+                if arrays:
+                    times.append(t)
+                    codes.append(c)
+                    ends.append(ends[-1] + len(t))
             new = [pa.array(plain[k], t) for k, t in _PLAIN.items()]
-            new.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pair))
+            if arrays:
+                columns = [pa.array(np.concatenate(x).astype(np.int32)) for x in (times, codes)]
+                pair = pa.StructArray.from_arrays(columns, ["time", "hash"])
+                new.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pair))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *new], [*kept, *added])
 
     return df.mapInArrow(run, out)
 
 
 def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`feature` is the number of pairs and the SHA-256 of "time:hash" of all pairs, comma-joined."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = fingerprint(store(docs).select("doc_id", "n_bytes", "media"))
-    spelled = F.concat_ws(",", F.transform("fingerprint", lambda x: F.concat_ws(":", x["time"].cast("string"), x["hash"].cast("string"))))
-    return found.select(
-        "doc_id",
-        "n_bytes",
-        "payload_bytes",
-        "payload_sha256",
-        "tail_crc32",
-        "media_bytes",
-        "media_sha256",
-        F.concat_ws(":", F.size("fingerprint").cast("string"), F.sha2(spelled, 256)).alias("feature"),
-        "fingerprint",
-    )
+    return fingerprint(store(docs).select("doc_id", "n_bytes", "media"), arrays=False)

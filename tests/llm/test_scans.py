@@ -191,6 +191,9 @@ def test_media_round_trip(spark, docs):
         assert (r["doc_id"], r["n_bytes"], r["payload_bytes"]) == (i, len(raw), len(payload))
         assert r["payload_sha256"] == hashlib.sha256(payload).hexdigest() and r["tail_crc32"] == zlib.crc32(payload[-64:])
     assert got[4] == got[5] and len(got[4]["fingerprint"]) > 0 and got[0]["fingerprint"] == []
+    for r in got:
+        pairs = b"".join(x["time"].to_bytes(4, "little") + x["hash"].to_bytes(4, "little") for x in r["fingerprint"])
+        assert r["feature"] == f"{len(r['fingerprint'])}:{hashlib.sha256(pairs).hexdigest()}"
     times = [x["time"] for x in got[3]["fingerprint"]]
     assert times == sorted(times) and times[-1] > 250
     files = {r["doc_id"]: r["media"] for r in stored.collect()}
