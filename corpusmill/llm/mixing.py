@@ -21,6 +21,7 @@ SHARE = 1.5
 REPEATS = 2
 SEED = "mix-1"
 ROWS_PER_BUCKET = 1000
+ROWS_PER_RANGE = 200_000  # of two numbers each
 
 
 def word_count(text: Column) -> Column:
@@ -120,7 +121,7 @@ def mix(
     finish = queued.select("size", F.explode("times").alias("finish"))
     # Documents without words cost nothing and may be many at one time: one stands for all.
     finish = finish.where("size > 0").unionByName(finish.where("size = 0").distinct())
-    ranges = max(1, -(-(total["rows"] or 0) * repeats // ROWS_PER_BUCKET))
+    ranges = max(1, -(-(total["rows"] or 0) * repeats // ROWS_PER_RANGE))
     sorted_ = stash(finish.repartitionByRange(ranges, "finish", "size").withColumn("range", F.spark_partition_id()), "mix-finish")
     spent = running(sorted_, ["range"], ["finish", "size"], "size", "spent")
     cut = spent.where(F.col("spent") <= F.lit((total["size"] or 0) * share)).agg(F.max("finish")).first()[0]

@@ -78,6 +78,7 @@ def water_fill(sizes, weights, budget):
 @pytest.mark.parametrize("per_bucket", [20_000, 5])
 def test_mix_meets_targets(spark, docs, monkeypatch, per_bucket):
     monkeypatch.setattr(mixing, "ROWS_PER_BUCKET", per_bucket)
+    monkeypatch.setattr(mixing, "ROWS_PER_RANGE", per_bucket)
     rows = [(i, "w " * (i % 9), s) for i, s in enumerate(["b", "a", None, "c", "a", "é"] * 60)]
     rows += [(1, "w " * 1, "a"), (1, "w " * 1, "a"), (None, None, "b"), (None, "  ", "b")]
     got = mixing.mix(docs(*rows)).select("row.*", "size", "source_size", "target", "copies").collect()
