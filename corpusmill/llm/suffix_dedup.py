@@ -33,6 +33,7 @@ from corpusmill.llm.common import BYTE, powers, chunks, mix, stash, table, utf8
 LENGTH = 200
 GRAM = 32
 HOT = 1000  # different runs of an anchor class that a task sorts; more are cut into parts
+COMMON = 10_000  # kinds of runs that are broadcast, at most
 SLAB = 1 << 18  # windows sorted at once in a task
 _PLACE = np.uint64((1 << 31) - 1)
 _ODD = np.uint64(0xD6E8FEB86659FD93)
@@ -292,18 +293,22 @@ def marked_runs(found: DataFrame, hot: int = HOT) -> DataFrame:
     """Runs with n (runs of this kind), parts of their class, and whether they are `todo`.
 
     A run without an equal is compared with one run of each kind in its class, so that
-    copies of a text don't fill a task.
+    copies of a text don't fill a task. The table of kinds is joined by shuffle but for the kinds
+    that hold more than 1 / COMMON of all runs: these are COMMON at most, and are broadcast.
     """
     pick = F.xxhash64("doc_id", "k", "s")
-    stretches = stash(found.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(pick).alias("pick")), "suffix-stretches")
+    kinds = stash(found.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(pick).alias("pick")), "suffix-stretches")
     classes = (
-        stretches.groupBy("h")
+        kinds.groupBy("h")
         .agg(F.count_if(F.col("n") == 1).alias("single"), F.count(F.lit(1)).alias("different"))
         .where("single > 0")
         .select("h", F.ceil(F.col("different") / hot).cast("int").alias("parts"))
     )
-    classes = stash(classes, "suffix-classes")
-    marks = found.join(stretches, ["h", "c"]).join(classes, "h", "left")
+    kinds = stash(kinds.join(classes, "h", "left"), "suffix-kinds")
+    all_runs = kinds.agg(F.sum("n")).first()[0] or 0
+    common = F.broadcast(kinds.where(F.col("n") * COMMON > all_runs))
+    rest = found.join(common, ["h", "c"], "left_anti").join(kinds.where(F.col("n") * COMMON <= all_runs), ["h", "c"])
+    marks = found.join(common, ["h", "c"]).unionByName(rest)
     return marks.withColumn("todo", F.col("parts").isNotNull() & (F.col("pick") == pick)).drop("pick")
 
 
