@@ -304,7 +304,8 @@ def marked_runs(found: DataFrame, hot: int = HOT) -> DataFrame:
         .where("single > 0")
         .select("h", F.ceil(F.col("different") / hot).cast("int").alias("parts"))
     )
-    kinds = stash(kinds.join(classes, "h", "left"), "suffix-kinds")
+    # Both are written tables, so that Spark can split a class of many kinds.
+    kinds = stash(kinds.join(stash(classes, "suffix-classes"), "h", "left"), "suffix-kinds")
     all_runs = kinds.agg(F.sum("n")).first()[0] or 0
     common = F.broadcast(kinds.where(F.col("n") * COMMON > all_runs))
     rest = found.join(common, ["h", "c"], "left_anti").join(kinds.where(F.col("n") * COMMON <= all_runs), ["h", "c"])
