@@ -11,8 +11,9 @@ neighbouring windows share theirs, so that a run of windows travels as one row.
 Pass 2 compares the whole stretch of text that a run covers. Runs with an equal in the
 corpus are repeated as a whole. For the others, the passes over the windows themselves
 follow, digit by digit, inside tasks that each see whole anchor classes. A class too large
-for that is cut into parts: every part sends the last digits of its windows to the tasks
-that count them over all parts, and learns which of them are repeated.
+for that is cut into parts, for which the same passes are aggregations: at every digit each
+part sends what its windows have so far to the tasks that count it over all parts, and
+goes on with the windows that are repeated.
 
 A run's windows start less than `length` bytes apart. The bytes they cover together are
 therefore known from the first and the last repeated one.
@@ -85,6 +86,12 @@ def runs(raw: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int =
     return r, h[p], stretch, s - offsets[r], e - offsets[r]
 
 
+def digits_of(length: int) -> list[int]:
+    """Where the digits of a window end: a third of it each."""
+    third = -(-length // 3)
+    return [min(a + third, length) for a in range(0, length, third)]
+
+
 def windows(texts: list[bytes], length: int = LENGTH):
     """(text number, start, prefix hashes, absolute start) of all windows of some texts."""
     size = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -105,9 +112,9 @@ def repeated(group: np.ndarray, weight: np.ndarray, texts: list[bytes], length:
     text, start, prefix, at = windows(texts, length)
     left = np.arange(len(text))
     cls = mix(group[text].astype(np.uint64) * _ODD)
-    third = -(-length // 3)
-    for a in range(0, length, third):
-        digit = prefix.of(at[left] + a, at[left] + min(a + third, length))
+    a = 0
+    for upto in digits_of(length):
+        digit, a = prefix.of(at[left] + a, at[left] + upto), upto
         cls = mix(cls ^ (digit * _ODD))
         _, inverse = np.unique(cls, return_inverse=True)
         keep = np.bincount(inverse, weight[text[left]])[inverse] >= 2
@@ -232,23 +239,27 @@ def _groups(h: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
 _PART = "h long, part int, bucket int, digits binary, twice binary"
 
 
-def _digits_of_parts(parts: pa.Table, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Text number, start and whole-window digit of all windows of some runs."""
+def _left_in_parts(parts: pa.Table, again: pa.Table | None, depth: int, length: int) -> tuple[np.ndarray, np.ndarray, Prefix, np.ndarray]:
+    """Windows of some runs, without those whose first `depth` bytes are known to be single."""
     text, start, prefix, at = windows(parts["stretch"].to_pylist(), length)
-    return text, start, prefix.of(at, at + length)
+    if again is None:
+        return text, start, prefix, at
+    known = [np.frombuffer(x.as_buffer(), np.uint64) for x in again["digits"].combine_chunks()]
+    hit = np.isin(prefix.of(at, at + depth), np.concatenate(known)) if known else np.zeros(len(at), bool)
+    return text[hit], start[hit], prefix, at[hit]
 
 
-def _send_digits(key: tuple, parts: pa.Table, length: int) -> pa.Table:
-    """A part's distinct digits by bucket, and whether the part alone repeats them."""
+def _send_digits(key: tuple, parts: pa.Table, again: pa.Table | None, depth: int, upto: int, length: int) -> pa.Table:
+    """A part's distinct digits of `upto` bytes by bucket, and whether the part alone repeats them."""
     n = parts["parts"][0].as_py()
-    text, _, digit = _digits_of_parts(parts, length)
-    digit, inverse = np.unique(digit, return_inverse=True)
+    text, _, prefix, at = _left_in_parts(parts, again, depth, length)
+    digit, inverse = np.unique(prefix.of(at, at + upto), return_inverse=True)
     twice = np.bincount(inverse, parts["weight"].to_numpy()[text], len(digit)) >= 2
     bucket = digit % np.uint64(n)
-    rows = [(b, digit[bucket == b].tobytes(), twice[bucket == b].tobytes()) for b in range(n)]
+    rows = [(b, digit[bucket == b].tobytes(), twice[bucket == b].tobytes()) for b in np.unique(bucket).tolist()]
     kinds = (pa.int32(), pa.binary(), pa.binary())
-    cols = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
-    same = [pa.array([key[0].as_py()] * n, pa.int64()), pa.array([key[1].as_py()] * n, pa.int32())]
+    cols = [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)]
+    same = [pa.array([key[0].as_py()] * len(rows), pa.int64()), pa.array([key[1].as_py()] * len(rows), pa.int32())]
     return pa.Table.from_arrays([*same, *cols], ["h", "part", "bucket", "digits", "twice"])
 
 
@@ -265,10 +276,7 @@ def _count_digits(key: tuple, rows: pa.Table) -> pa.Table:
 
 def _mark_parts(key: tuple, parts: pa.Table, again: pa.Table, length: int) -> pa.Table:
     """Spans from the first to the last repeated window of each run of a part."""
-    text, start, digit = _digits_of_parts(parts, length) if parts.num_rows else (np.zeros(0, int),) * 3
-    known = [np.frombuffer(x.as_buffer(), np.uint64) for x in again["digits"].combine_chunks()]
-    hit = np.isin(digit, np.concatenate(known)) if known else np.zeros(len(digit), bool)
-    text, start = text[hit], start[hit]
+    text, start, _, _ = _left_in_parts(parts, again, length, length)
     first, last = np.full(parts.num_rows, -1), np.full(parts.num_rows, -1)
     first[text[::-1]] = start[::-1]
     last[text] = start
@@ -283,9 +291,20 @@ def _sort_large_classes(marked: DataFrame, length: int) -> DataFrame:
     """Spans found in classes that are cut into parts."""
     contexts = marked.mapInArrow(lambda batches: _stretches(batches, length), _CONTEXT)
     contexts = contexts.withColumn("part", F.pmod(F.xxhash64("doc_id", "k", "s"), F.col("parts")).cast("int"))
-    sent = contexts.groupBy("h", "part").applyInArrow(lambda key, t: _send_digits(key, t, length), _PART)
-    again = sent.groupBy("h", "bucket").applyInArrow(_count_digits, "h long, part int, digits binary")
-    both = contexts.groupBy("h", "part").cogroup(again.groupBy("h", "part"))
+    parts = contexts.groupBy("h", "part")
+
+    def first(upto: int):
+        return parts.applyInArrow(lambda key, a: _send_digits(key, a, None, 0, upto, length), _PART)
+
+    def narrowed(again: DataFrame, depth: int, upto: int):
+        both = parts.cogroup(again.groupBy("h", "part"))
+        return both.applyInArrow(lambda key, a, b: _send_digits(key, a, b, depth, upto, length), _PART)
+
+    again, depth = None, 0
+    for upto in digits_of(length):
+        sent = first(upto) if again is None else narrowed(again, depth, upto)
+        again, depth = sent.groupBy("h", "bucket").applyInArrow(_count_digits, "h long, part int, digits binary"), upto
+    both = parts.cogroup(again.groupBy("h", "part"))
     return both.applyInArrow(lambda key, a, b: _mark_parts(key, a, b, length), _SPAN)
 
 
