@@ -13,6 +13,7 @@ class Config:
     silver: str = "silver"
     labeled: str = "gold/labeled"
     embeddings: str = "gold/embeddings"
+    labeled_csv: str = ""  # where new labels are exported to, and read from where the table is missing
     dedup_mode: str = "minhash"  # or silver_anti_join
     dedup_threshold: float = 0.8
     dedup_ngram: int = 3

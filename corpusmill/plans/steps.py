@@ -8,8 +8,10 @@ status: DONE, or SKIPPED_NO_NEW_DATA.
 from __future__ import annotations
 
 import logging
+import time
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,6 +77,9 @@ def label(spark: SparkSession, config: Config, labeler: Callable[[], Model] = St
     said = answer(rows, "prompt_used", "output", labeler, config.label_batch, FAILED)
     labeled = labeling.normalize(said, "text", "output", lexicon)
     labeled = labeled.withColumn("entities_json", F.to_json("entities")).drop("output", "entities")
+    labeled = sinks.written(labeled)  # the model is asked once
+    if config.labeled_csv:
+        sinks.export_csv(labeled, config.labeled_csv)
     return status("STEP2", sinks.write_labels(labeled, config.labeled))
 
 
@@ -86,7 +91,7 @@ def embeddings(spark: SparkSession, config: Config, embedder: Callable[[], Model
     chunks = incremental.unseen(chunks, stored, ["chunk_id"])
     # Few documents can hold many chunks: spread these before the model.
     chunks = chunks.repartition(config.embed_partitions or 4 * spark.sparkContext.defaultParallelism)
-    vectors = embed(chunks, "text_chunk", "vector", embedder, config.embed_batch)
+    vectors = sinks.written(embed(chunks, "text_chunk", "vector", embedder, config.embed_batch))
     return status("STEP3", sinks.write_embeddings(vectors.withColumn("metadata", text_map(F.col("metadata"))), config.embeddings))
 
 
@@ -95,8 +100,10 @@ REQUEST_FAILED = '{"task_completion": 1, "hallucination": 1, "overall": 1.0, "re
 
 
 def evaluate(spark: SparkSession, config: Config, judge: Callable[[], Model] = StubJudge) -> dict:
-    """Judge a seeded sample of labels and report."""
-    sample = incremental.seeded_sample(readers.read_table(spark, config.labeled), "id", config.sample_size, config.seed)
+    """Judge a seeded sample of labels and report. The export stands in for a missing table."""
+    missing = config.labeled_csv and incremental.existing(spark, config.labeled) is None
+    labeled = readers.read_csv(spark, config.labeled_csv) if missing else readers.read_table(spark, config.labeled)
+    sample = incremental.seeded_sample(labeled, "id", config.sample_size, config.seed)
     said = answer(sample.withColumn("prompt", judge_prompt(sample)), "prompt", "said", judge, 16, REQUEST_FAILED, config.judge_tries, config.judge_wait)
     judged = said.select(evaluation.source_id(sample).alias("doc_id"), evaluation.parse_judge(F.col("said")).alias("j")).select("doc_id", "j.*")
     return evaluation.report_json(judged, sample, config.quality_threshold)
@@ -120,5 +127,26 @@ def run_all(
 
 def run_when_due(spark: SparkSession, config: Config, seen: int, least: int = 50) -> tuple[int, dict | None]:
     """A cycle if bronze has `least` lines more than the `seen` ones. Returns the lines seen and the cycle."""
-    lines = spark.read.text(config.bronze).count()
+    lines = bronze_lines(spark, config.bronze)
     return (lines, run_all(spark, config)) if lines - seen >= least else (seen, None)
+
+
+def bronze_lines(spark: SparkSession, path: str) -> int:
+    """Lines stored so far; none before the first write."""
+    try:
+        return spark.read.text(path).count()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return 0
+        raise
+
+
+def follow(spark: SparkSession, config: Config, arriving: Callable[[], bool], least: int = 50, wait: float = 5.0) -> list[dict]:
+    """Cycles while lines arrive, each after `least` new ones, and a last one for the rest."""
+    seen, cycles = 0, []
+    while arriving():
+        seen, cycle = run_when_due(spark, config, seen, least)
+        if cycle is not None:
+            cycles.append(cycle)
+        time.sleep(wait)
+    return [*cycles, run_all(spark, config)]

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.operators.incremental import required
+from corpusmill.operators.incremental import existing, required
 
 REVIEW = ("id", "text", "timestamp")
 DOCUMENT = ("doc_id", "title", "content", "source", "timestamp")
@@ -82,18 +81,20 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_first(spark: SparkSession, *paths: str) -> DataFrame:
-    """The first table that exists."""
-    for i, path in enumerate(paths):
-        try:
-            return spark.read.parquet(path)
-        except AnalysisException:
-            if i + 1 == len(paths):
-                raise
-    raise ValueError("no path given")
+    """The first table that exists. A table that is there and can't be read is an error."""
+    for path in paths[:-1]:
+        if (found := existing(spark, path)) is not None:
+            return found
+    return spark.read.parquet(paths[-1])
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A stored table. Set partitionColumnTypeInference off, or dates change their type once
-    a partition is called `unknown`."""
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    return spark.read.parquet(path)
+    """A stored table with partition columns as text, or dates would change their type once a
+    partition is called `unknown`. The session's own setting stays as it is."""
+    name = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.set(name, before)

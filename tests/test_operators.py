@@ -251,3 +251,68 @@ def test_models_wait_and_answer_each_prompt(spark):
 
     df = spark.createDataFrame([("a",), ("b",)], "p string").coalesce(1)
     assert {r["o"] for r in answer(df, "p", "o", Short, failed="no", tries=2, wait=0.01).collect()} == {"no"}
+
+
+def test_read_first_raises_on_a_broken_table(spark, tmp_path):
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "x.parquet").write_text("no parquet")
+    sinks.overwrite(texts(spark, ("1", "a")), str(tmp_path / "raw"))
+    with pytest.raises(Exception):  # noqa: B017
+        readers.read_first(spark, str(tmp_path / "broken"), str(tmp_path / "raw")).collect()
+
+
+def test_read_table_leaves_the_session_as_it_is(spark, tmp_path):
+    name = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(name)
+    spark.createDataFrame([("1", "2026-03-01")], "id string, day string").write.partitionBy("day").parquet(str(tmp_path / "t"))
+    assert readers.read_table(spark, str(tmp_path / "t")).dtypes == [("id", "string"), ("day", "string")]
+    assert spark.conf.get(name) == before
+
+
+def test_labels_reach_table_and_topic(spark, tmp_path):
+    rows = generator.reviews(spark, 20)
+    rows.select(F.to_json(F.struct("*")).alias("value")).coalesce(1).write.text(str(tmp_path / "in"))
+    sent = []
+    write = sinks.labels_to_both(str(tmp_path / "out"), lambda df: sent.extend(r["id"] for r in df.collect()))
+    for ck in ("a", "b"):  # the second run replays everything
+        parsed = readers.parse_lines_keeping(readers.file_stream(spark, str(tmp_path / "in")), readers.REVIEW)
+        streams.each_batch(parsed, write, str(tmp_path / ck), None).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 20
+    assert len(sent) == 40 and len(set(sent)) == 20
+
+
+def test_documents_stream_to_parquet(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    doc = '{"doc_id": "d1", "title": "t", "content": "c", "source": "s", "timestamp": "2026-01-01"}'
+    (tmp_path / "in" / "x").write_text(doc + "\nbad\n")
+    docs = readers.parse_lines_keeping(readers.file_stream(spark, str(tmp_path / "in")))
+    streams.parquet(docs, str(tmp_path / "out"), str(tmp_path / "ck"), None).awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert got.columns == list(readers.DOCUMENT)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([("d1", "t", "c", "s", "2026-01-01"), (None,) * 5], key=str)
+
+
+@pytest.mark.parametrize("passed", [True, False])
+def test_printed_report(capsys, passed):
+    assert sinks.print_report({"pass": passed, "mean": 3.5}) is passed
+    assert ("gate passed" if passed else "gate failed") in capsys.readouterr().out
+
+
+def test_follow_catches_up_and_csv_stands_in(spark, tmp_path):
+    paths = {k: str(tmp_path / k) for k in ("bronze", "silver", "labeled", "embeddings", "labeled_csv")}
+    config = Config(**paths, dedup_mode="silver_anti_join", sample_size=20)
+    left = [60, 5]
+
+    def arriving():
+        if not left:
+            return False
+        part = generator.reviews(spark, n := left.pop(0), seed=n).withColumn("id", F.concat("id", F.lit(f"-{n}")))
+        part.select(F.to_json(F.struct("*")).alias("value")).write.mode("append").text(config.bronze)
+        return True
+
+    cycles = steps.follow(spark, config, arriving, wait=0.0)
+    assert [c["STEP1"] for c in cycles] == ["DONE", "DONE"]
+    assert steps.bronze_lines(spark, config.bronze) == 65
+    exported = readers.read_csv(spark, config.labeled_csv).count()
+    report = steps.evaluate(spark, Config(**paths | {"labeled": str(tmp_path / "none")}, sample_size=20))
+    assert report["sample_count"] == min(20, exported) > 0
