@@ -5,6 +5,7 @@ from __future__ import annotations
 from corpusmill.llm import (
     decontamination,
     jaccard,
+    line_dedup,
     lm_scoring,
     media,
     mixing,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_warc": warc.op10_warc,
+    "op11_line_dedup": line_dedup.op11_line_dedup,
 }
 
 SQL = {
@@ -35,4 +37,5 @@ SQL = {
     "op8_mixing": mixing.OP8_SQL,
     "op9_decontamination": decontamination.OP9_SQL,
     "op10_warc": warc.OP10_SQL,
+    "op11_line_dedup": line_dedup.OP11_SQL,
 }
