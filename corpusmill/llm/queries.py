@@ -9,6 +9,7 @@ from corpusmill.llm import (
     lm_scoring,
     media,
     mixing,
+    periodic_runs,
     quality,
     secrets,
     sharding,
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_warc": warc.op10_warc,
     "op11_line_dedup": line_dedup.op11_line_dedup,
+    "op12_periodic_runs": periodic_runs.op12_periodic_runs,
 }
 
 SQL = {
