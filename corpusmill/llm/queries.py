@@ -14,6 +14,7 @@ from corpusmill.llm import (
     secrets,
     sharding,
     suffix_dedup,
+    token_alignment,
     warc,
 )
 
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_warc": warc.op10_warc,
     "op11_line_dedup": line_dedup.op11_line_dedup,
     "op12_periodic_runs": periodic_runs.op12_periodic_runs,
+    "op13_token_alignment": token_alignment.op13_token_alignment,
 }
 
 SQL = {
