@@ -37,9 +37,9 @@ from corpusmill.llm.common import chunks, stash, table, utf8
 
 A_PATH = "/opt/tokenizers/byte_bpe_50k.json"
 B_PATH = "/opt/tokenizers/piece_bpe_32k.model"
-CHUNK_BYTES = 8 << 20  # of text, or one longer document
+CHUNK_BYTES = 2 << 20  # of text, or one longer document
 PIECE = 1 << 16  # steps of the merge in a piece
-KEPT_IDS = 4_000_000  # ids that a worker keeps of stretches it has seen
+KEPT_IDS = 1_500_000  # ids that a worker keeps of stretches it has seen
 LONG = 500  # letters of a stretch that goes to the slower encoder, whose time doesn't grow with the square
 
 # Fixed value: how the byte-level tokenizer splits texts.
