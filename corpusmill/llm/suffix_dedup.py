@@ -15,6 +15,10 @@ for that is cut into parts, for which the same passes are aggregations: at every
 part sends what its windows have so far to the tasks that count it over all parts, and
 goes on with the windows that are repeated.
 
+Hashes of prefix sums find candidates only, as texts can be made for which they collide. What is
+removed rests on bytes: runs are equal by 128 bits of BLAKE2 of their stretch, windows in a
+task by comparing them byte by byte, and windows of parts by 128 bits of BLAKE2.
+
 A run's windows start less than `length` bytes apart. The bytes they cover together are
 therefore known from the first and the last repeated one.
 """
@@ -54,14 +58,14 @@ class Prefix:
 
 
 def runs(raw: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-    """Runs of windows with one anchor: (row, anchor hash, stretch hash, first start, last start).
+    """Runs of windows with one anchor: (row, anchor hash, anchor, first start, last start).
 
-    Starts count from the row's own beginning.
+    Starts and anchors count from the row's own beginning.
     """
     n = len(raw)
     none = np.zeros(0, np.int64)
     if n < length:
-        return none, none.astype(np.uint64), none.astype(np.uint64), none, none
+        return none, none.astype(np.uint64), none, none, none
     prefix = Prefix(raw)
     h = mix((prefix.total[gram:] - prefix.total[:-gram]) * prefix.inverse[: n - gram + 1])
     # Least hash in each window of `wide` grams; the place in the low bits breaks ties.
@@ -76,14 +80,17 @@ def runs(raw: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int =
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[: len(anchor)]
     inside = np.flatnonzero(np.arange(len(anchor)) + length <= offsets[1:][row])
     if len(inside) == 0:
-        return none, none.astype(np.uint64), none.astype(np.uint64), none, none
+        return none, none.astype(np.uint64), none, none, none
     at = anchor[inside]
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
     last = np.append(first[1:], len(at)) - 1
     s, e, p = inside[first], inside[last], at[first]
-    stretch = mix(prefix.of(s, e + length) ^ ((p - s).astype(np.uint64) * _ODD + (e - s).astype(np.uint64)))
     r = row[s]
-    return r, h[p], stretch, s - offsets[r], e - offsets[r]
+    return r, h[p], p - offsets[r], s - offsets[r], e - offsets[r]
+
+
+def digest(raw: bytes | memoryview) -> bytes:
+    return hashlib.blake2b(raw, digest_size=16).digest()
 
 
 def digits_of(length: int) -> list[int]:
@@ -119,17 +126,61 @@ def repeated(group: np.ndarray, weight: np.ndarray, texts: list[bytes], length:
         _, inverse = np.unique(cls, return_inverse=True)
         keep = np.bincount(inverse, weight[text[left]])[inverse] >= 2
         left, cls = left[keep], cls[keep]
+    left = _really_repeated(left, cls, at, text, weight, group, b"".join(texts), length)
     first, last = np.full(len(texts), -1), np.full(len(texts), -1)
     first[text[left][::-1]] = start[left][::-1]
     last[text[left]] = start[left]
     return first, last
 
 
-_RUN = "doc_id long, k long, h long, c long, s int, e int"
+def _really_repeated(left, cls, at, text, weight, group, raw: bytes, length: int, most: int = 1 << 15) -> np.ndarray:
+    """Those of the windows `left` that are repeated by their bytes, given classes of equal hashes.
+
+    Neighbours in the order of classes are compared; a class with any difference is dealt anew.
+    """
+    order = np.argsort(cls, kind="stable")
+    view = np.lib.stride_tricks.sliding_window_view(np.frombuffer(raw, np.uint8), length) if len(raw) >= length else None
+    differ = np.zeros(len(order), bool)
+    for k in range(1, len(order), most):
+        x, y = order[k - 1 : k - 1 + most], order[k : k + most]
+        x, same = x[: len(y)], cls[x[: len(y)]] == cls[y]
+        one, two = left[x[same]], left[y[same]]
+        other = (view[at[one]] != view[at[two]]).any(axis=1) | (group[text[one]] != group[text[two]])
+        differ[k + np.flatnonzero(same)[other]] = True
+    if not differ.any():
+        return left
+    odd = np.isin(cls, cls[order[differ]])
+    rest = np.flatnonzero(odd)
+    keys = [(group[text[w]], raw[at[w] : at[w] + length]) for w in left[rest]]
+    total: dict[tuple, int] = {}
+    for key, w in zip(keys, left[rest], strict=True):
+        total[key] = total.get(key, 0) + int(weight[text[w]])
+    odd[rest] = [total[key] < 2 for key in keys]
+    return left[~odd]
+
+
+_RUN = "doc_id long, k long, h long, c long, d long, s int, e int"
+
+
+def find_anchors(docs: DataFrame, length: int) -> DataFrame:
+    """h of each run."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, offs = utf8(batch.column("text"))
+            for a, b in chunks(offs, 1 << 18):
+                part = offs[a : b + 1]
+                h = runs(raw[part[0] : part[-1]], part - part[0], length)[1]
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["h"])
+
+    return docs.select("text").mapInArrow(run, "h long")
 
 
 def find_runs(docs: DataFrame, length: int) -> DataFrame:
-    """One row for each run: its document, anchor class h, stretch c, first and last start."""
+    """One row for each run: its document, anchor class h, stretch (c, d), first and last start.
+
+    Runs have equal (c, d) if their stretches and the places of their windows in these are equal.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -137,12 +188,15 @@ def find_runs(docs: DataFrame, length: int) -> DataFrame:
             doc, key = batch.column("doc_id"), batch.column("k")
             for a, b in chunks(offs, 1 << 18):
                 part = offs[a : b + 1]
-                r, h, c, s, e = runs(raw[part[0] : part[-1]], part - part[0], length)
+                r, h, p, s, e = runs(raw[part[0] : part[-1]], part - part[0], length)
                 if len(r):
                     rows = pa.array(r + a)
-                    cols = [doc.take(rows), key.take(rows), pa.array(h.view(np.int64)), pa.array(c.view(np.int64))]
+                    text = raw[part[0] : part[-1]].tobytes()
+                    spans = zip((part[r] - part[0] + s).tolist(), (part[r] - part[0] + e + length).tolist(), (p - s).tolist(), strict=True)
+                    c = np.frombuffer(b"".join(digest(text[i:j] + k.to_bytes(4, "little")) for i, j, k in spans), np.int64).reshape(-1, 2)
+                    cols = [doc.take(rows), key.take(rows), pa.array(h.view(np.int64)), pa.array(c[:, 0]), pa.array(c[:, 1])]
                     cols += [pa.array(s.astype(np.int32)), pa.array(e.astype(np.int32))]
-                    yield pa.RecordBatch.from_arrays(cols, ["doc_id", "k", "h", "c", "s", "e"])
+                    yield pa.RecordBatch.from_arrays(cols, ["doc_id", "k", "h", "c", "d", "s", "e"])
 
     return docs.mapInArrow(run, _RUN)
 
@@ -237,25 +291,36 @@ def _groups(h: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
 
 
 _PART = "h long, part int, bucket int, digits binary, twice binary"
+_WHOLE = np.dtype([("x", np.uint64), ("y", np.uint64)])  # 128 bits of BLAKE2
 
 
-def _left_in_parts(parts: pa.Table, again: pa.Table | None, depth: int, length: int) -> tuple[np.ndarray, np.ndarray, Prefix, np.ndarray]:
+def _digits(raw: bytes, prefix: Prefix, at: np.ndarray, upto: int, length: int) -> np.ndarray:
+    """What windows are compared by when `upto` bytes are read: a hash, and a digest once they are whole."""
+    if upto < length:
+        return prefix.of(at, at + upto)
+    return np.frombuffer(b"".join([digest(raw[i : i + length]) for i in at.tolist()]), _WHOLE)
+
+
+def _left_in_parts(parts: pa.Table, again: pa.Table | None, depth: int, length: int) -> tuple:
     """Windows of some runs, without those whose first `depth` bytes are known to be single."""
-    text, start, prefix, at = windows(parts["stretch"].to_pylist(), length)
+    texts = parts["stretch"].to_pylist()
+    text, start, prefix, at = windows(texts, length)
+    raw = b"".join(texts)
     if again is None:
-        return text, start, prefix, at
-    known = [np.frombuffer(x.as_buffer(), np.uint64) for x in again["digits"].combine_chunks()]
-    hit = np.isin(prefix.of(at, at + depth), np.concatenate(known)) if known else np.zeros(len(at), bool)
-    return text[hit], start[hit], prefix, at[hit]
+        return text, start, prefix, at, raw
+    kind = np.dtype(np.uint64) if depth < length else _WHOLE
+    known = [np.frombuffer(x.as_buffer(), kind) for x in again["digits"].combine_chunks()]
+    hit = np.isin(_digits(raw, prefix, at, depth, length), np.concatenate(known)) if known else np.zeros(len(at), bool)
+    return text[hit], start[hit], prefix, at[hit], raw
 
 
 def _send_digits(key: tuple, parts: pa.Table, again: pa.Table | None, depth: int, upto: int, length: int) -> pa.Table:
     """A part's distinct digits of `upto` bytes by bucket, and whether the part alone repeats them."""
     n = parts["parts"][0].as_py()
-    text, _, prefix, at = _left_in_parts(parts, again, depth, length)
-    digit, inverse = np.unique(prefix.of(at, at + upto), return_inverse=True)
+    text, _, prefix, at, raw = _left_in_parts(parts, again, depth, length)
+    digit, inverse = np.unique(_digits(raw, prefix, at, upto, length), return_inverse=True)
     twice = np.bincount(inverse, parts["weight"].to_numpy()[text], len(digit)) >= 2
-    bucket = digit % np.uint64(n)
+    bucket = (digit if upto < length else digit["x"]) % np.uint64(n)
     rows = [(b, digit[bucket == b].tobytes(), twice[bucket == b].tobytes()) for b in np.unique(bucket).tolist()]
     kinds = (pa.int32(), pa.binary(), pa.binary())
     cols = [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)]
@@ -263,9 +328,10 @@ def _send_digits(key: tuple, parts: pa.Table, again: pa.Table | None, depth: int
     return pa.Table.from_arrays([*same, *cols], ["h", "part", "bucket", "digits", "twice"])
 
 
-def _count_digits(key: tuple, rows: pa.Table) -> pa.Table:
+def _count_digits(key: tuple, rows: pa.Table, whole: bool) -> pa.Table:
     """For each part the digits of a bucket that are repeated over all parts."""
-    parts = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows["digits"].combine_chunks()]
+    kind = _WHOLE if whole else np.dtype(np.uint64)
+    parts = [np.frombuffer(x.as_buffer(), kind) for x in rows["digits"].combine_chunks()]
     own = [np.frombuffer(x.as_buffer(), bool) for x in rows["twice"].combine_chunks()]
     every, inverse = np.unique(np.concatenate(parts), return_inverse=True)
     again = np.bincount(inverse, 1 + np.concatenate(own), len(every))[inverse] >= 2
@@ -276,7 +342,7 @@ def _count_digits(key: tuple, rows: pa.Table) -> pa.Table:
 
 def _mark_parts(key: tuple, parts: pa.Table, again: pa.Table, length: int) -> pa.Table:
     """Spans from the first to the last repeated window of each run of a part."""
-    text, start, _, _ = _left_in_parts(parts, again, length, length)
+    text, start, *_ = _left_in_parts(parts, again, length, length)
     first, last = np.full(parts.num_rows, -1), np.full(parts.num_rows, -1)
     first[text[::-1]] = start[::-1]
     last[text] = start
@@ -300,10 +366,14 @@ def _sort_large_classes(marked: DataFrame, length: int) -> DataFrame:
         both = parts.cogroup(again.groupBy("h", "part"))
         return both.applyInArrow(lambda key, a, b: _send_digits(key, a, b, depth, upto, length), _PART)
 
+    def counted(sent: DataFrame, whole: bool) -> DataFrame:
+        count = lambda key, rows: _count_digits(key, rows, whole)
+        return sent.groupBy("h", "bucket").applyInArrow(count, "h long, part int, digits binary")
+
     again, depth = None, 0
     for upto in digits_of(length):
         sent = first(upto) if again is None else narrowed(again, depth, upto)
-        again, depth = sent.groupBy("h", "bucket").applyInArrow(_count_digits, "h long, part int, digits binary"), upto
+        again, depth = counted(sent, upto == length), upto
     both = parts.cogroup(again.groupBy("h", "part"))
     return both.applyInArrow(lambda key, a, b: _mark_parts(key, a, b, length), _SPAN)
 
@@ -316,7 +386,7 @@ def marked_runs(found: DataFrame, hot: int = HOT) -> DataFrame:
     that hold more than 1 / COMMON of all runs: these are COMMON at most, and are broadcast.
     """
     pick = F.xxhash64("doc_id", "k", "s")
-    kinds = stash(found.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(pick).alias("pick")), "suffix-stretches")
+    kinds = stash(found.groupBy("h", "c", "d").agg(F.count(F.lit(1)).alias("n"), F.min(pick).alias("pick")), "suffix-stretches")
     classes = (
         kinds.groupBy("h")
         .agg(F.count_if(F.col("n") == 1).alias("single"), F.count(F.lit(1)).alias("different"))
@@ -327,8 +397,9 @@ def marked_runs(found: DataFrame, hot: int = HOT) -> DataFrame:
     kinds = stash(kinds.join(stash(classes, "suffix-classes"), "h", "left"), "suffix-kinds")
     all_runs = kinds.agg(F.sum("n")).first()[0] or 0
     common = F.broadcast(kinds.where(F.col("n") * COMMON > all_runs))
-    rest = found.join(common, ["h", "c"], "left_anti").join(kinds.where(F.col("n") * COMMON <= all_runs), ["h", "c"])
-    marks = found.join(common, ["h", "c"]).unionByName(rest)
+    same = ["h", "c", "d"]
+    rest = found.join(common, same, "left_anti").join(kinds.where(F.col("n") * COMMON <= all_runs), same)
+    marks = found.join(common, same).unionByName(rest)
     return marks.withColumn("todo", F.col("parts").isNotNull() & (F.col("pick") == pick)).drop("pick")
 
 
@@ -337,10 +408,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
 
     spans: byte ranges whose union is what repeated windows cover, for documents with any.
     """
-    found = find_runs(docs, length)
     # The tables of keys are written, so that joins with them deal anew and Spark can split a hot key.
-    again = stash(found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "suffix-keys")
-    found = stash(found.join(again, "h", "left_semi"), "suffix-runs")
+    again = find_anchors(docs, length).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    found = stash(find_runs(docs, length).join(stash(again, "suffix-keys"), "h", "left_semi"), "suffix-runs")
     marks = marked_runs(found, hot)
     weight = F.least("n", F.lit(2)).cast("int")
     lists = (
@@ -385,7 +455,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
 
     Every byte covered by a string of `length` bytes that also starts anywhere else goes.
     A null text is empty. Repeated rows repeat each other and lose all their bytes if
-    they have `length` of them. Cuts fall on bytes, so that `kept` need not be UTF-8.
+    they have `length` of them. Cuts fall on bytes, so that `kept` need not be UTF-8. No rows give
+    no rows, columns other than doc_id and text are not read, and texts are searched whole.
     """
     docs = docs.select("doc_id", F.xxhash64("text").alias("k"), "text")
     marked = _with(docs, repeated_spans(docs, length, hot), "left")

@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -54,6 +55,61 @@ def test_suffix_dedup_repeated_rows_and_empty(spark, docs):
     assert removed(docs()) == []
 
 
+def colliding_texts():
+    """Two texts of 252 letters that share no string of 200 bytes, but whose hashes by prefix sums are equal.
+
+    Blocks of 64 letters a and b in the order of Thue and Morse differ from those with a and b exchanged by
+    (a - b) times a constant with many zero bits; three such blocks are chosen so that the rest cancels out.
+    """
+    power = [int(x) for x in sd.powers(256)[0][:256]]
+    order = [bin(i).count("1") & 1 for i in range(64)]
+    unit = sum(power[i] * (1 - 2 * t) for i, t in enumerate(order))
+    letters = [c for c in range(33, 127)]
+    pairs = [(x, y) for x in letters for y in letters if x != y and (int(sd.BYTE[x]) - int(sd.BYTE[y])) % 4 == 0]
+    value = np.array([(int(sd.BYTE[x]) - int(sd.BYTE[y])) * unit % 2**64 for x, y in pairs], np.uint64)
+    places = (0, 124, 188)
+    one, two, three = (value * np.uint64(power[k]) for k in places)
+    for k, v in enumerate(three):
+        hit = np.flatnonzero(np.isin((~v + np.uint64(1)) - one, two))
+        if len(hit):
+            i = int(hit[0])
+            j = int(np.flatnonzero(two == (~v + np.uint64(1)) - one[i])[0])
+            chosen = pairs[i], pairs[j], pairs[k]
+            break
+    block = lambda p, turn: "".join(chr(p[t ^ turn]) for t in order)
+    rng = random.Random(0)
+    while True:
+        shared = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(60))
+        texts = [block(chosen[0], t) + shared + block(chosen[1], t) + block(chosen[2], t) for t in (0, 1)]
+        found = [sd.runs(np.frombuffer(t.encode(), np.uint8), np.array([0, 252])) for t in texts]
+        if all(len(f[0]) == 1 for f in found) and found[0][1] == found[1][1] and found[0][2] == found[1][2]:
+            return texts
+
+
+def test_texts_made_to_collide_are_no_repeats(spark, docs):
+    texts = colliding_texts()
+    raw = [np.frombuffer(t.encode(), np.uint8) for t in texts]
+    a, b = (sd.Prefix(r).of(np.array([0]), np.array([252]))[0] for r in raw)
+    assert a == b and all(x != y for x, y in zip(*(t[:64] for t in texts), strict=True))
+    for hot in (1000, 1):
+        assert removed(docs(*enumerate(texts)), hot=hot) == sorted((252, 0, 0, t.encode()) for t in texts)
+        more = [*texts, texts[0]]
+        assert removed(docs(*enumerate(more)), hot=hot) == sorted(brute_removal(more, 200))
+
+
+def test_windows_whose_digits_collide_are_compared(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    texts = [bytes(rng.integers(97, 100, 90).astype(np.uint8)) for _ in range(30)]
+    texts += [texts[0], texts[1][3:] + b"abc", texts[2][:70]]
+    group, weight = np.arange(len(texts)) % 2, np.ones(len(texts), np.int64)
+    monkeypatch.setattr(sd.Prefix, "of", lambda self, s, e: np.zeros(len(s), np.uint64))
+    seen = Counter((g, t[i : i + 64]) for g, t in zip(group, texts, strict=True) for i in range(len(t) - 63))
+    first, last = sd.repeated(group, weight, texts, 64)
+    for k, t in enumerate(texts):
+        at = [i for i in range(len(t) - 63) if seen[group[k], t[i : i + 64]] > 1]
+        assert (first[k], last[k]) == ((at[0], at[-1]) if at else (-1, -1))
+
+
 def test_query_at_its_own_length(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     assert removed(docs) == sorted(brute_removal([r["text"] for r in docs.collect()], sd.LENGTH))
