@@ -6,11 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from corpusmill.functions.lexicons import EMPTY_ENTITIES, EVAL_KEY_ENTITIES, EVAL_NEGATIVE_REASON, EVAL_POSITIVE_REASON
 from corpusmill.functions.text import any_hit, bind, strip
 from corpusmill.operators.labeling import reason_conflict
+from corpusmill.operators.selection import ranked_values
+from corpusmill.sources.sinks import written
 
 THRESHOLD = 3.5
 WORST = 10
@@ -129,21 +130,24 @@ def report_json(judged: DataFrame, labeled: DataFrame | None = None, threshold:
 def latency_summary(df: DataFrame, value: str, error: str, seconds: float, group: str) -> DataFrame:
     """Median, P99 (from ten values on), failures by kind and rate of each group.
 
-    P99 is the value at index max(0, int(n * 0.99) - 1) of the sorted values. It is found
-    by running counts of the distinct values, so that no list of all values is made; the
-    same counts give the median.
+    P99 is the value at index max(0, int(n * 0.99) - 1) of the sorted values; the median of an even number
+    is the mean of the two in the middle. Both are found by selection over all tasks.
     """
     text = F.lower(F.coalesce(F.col(error), F.lit("")))
-    base = df.groupBy(group).agg(
-        F.count(value).alias("n"),
-        F.percentile(value, 0.5).alias("p50"),
-        F.count_if(F.contains(text, F.lit("out of memory")) | F.contains(text, F.lit("oom"))).alias("oom_count"),
-        F.count_if(F.contains(text, F.lit("timeout"))).alias("timeout_count"),
-        (F.count(F.lit(1)) / F.lit(float(seconds))).alias("qps"),
+    base = written(
+        df.groupBy(group).agg(
+            F.count(value).alias("n"),
+            F.count_if(F.contains(text, F.lit("out of memory")) | F.contains(text, F.lit("oom"))).alias("oom_count"),
+            F.count_if(F.contains(text, F.lit("timeout"))).alias("timeout_count"),
+            (F.count(F.lit(1)) / F.lit(float(seconds))).alias("qps"),
+        )
     )
-    distinct = df.where(F.col(value).isNotNull()).groupBy(group, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    upto = F.sum("c").over(W.partitionBy(group).orderBy("v").rowsBetween(W.unboundedPreceding, 0))
-    spot = F.greatest(F.lit(0), F.floor(F.col("n") * 0.99) - 1) + 1
-    ranked = distinct.withColumn("upto", upto).join(base.select(group, "n"), group)
-    p99 = ranked.where((F.col("n") >= 10) & (F.col("upto") >= spot)).groupBy(group).agg(F.min("v").alias("p99"))
-    return base.join(p99, group, "left")
+    n = F.col("n")
+    targets = {"low": F.floor((n - 1) / 2), "high": F.floor(n / 2), "p99": F.when(n >= 10, F.greatest(F.lit(0), F.floor(n * 0.99) - 1))}
+    wanted = F.explode(F.array(*(F.struct(F.lit(k).alias("target"), r.cast("long").alias("rank")) for k, r in targets.items())))
+    ranks = base.where("n > 0").select(group, wanted.alias("t")).select(group, "t.*").where("rank IS NOT NULL")
+    at = lambda k: F.max(F.when(F.col("target") == k, F.col("value")))
+    found = ranked_values(df, group, value, ranks).groupBy(F.col(group).alias("of"))
+    found = found.agg(((at("low") + at("high")) / 2).alias("p50"), at("p99").alias("p99"))
+    both = base.join(found, F.col(group).eqNullSafe(F.col("of")), "left")
+    return both.select(group, "n", "p50", "oom_count", "timeout_count", "qps", "p99")

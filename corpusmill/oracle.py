@@ -152,6 +152,10 @@ SQL = {
     "near_dup_survivors": f"""{NEAR} SELECT doc_id FROM docs d
         WHERE NOT EXISTS (SELECT 1 FROM near WHERE id_b = doc_id)
           AND (len(text) < 3 OR NOT EXISTS (SELECT 1 FROM docs e WHERE lower(e.text) = lower(d.text) AND e.doc_id < d.doc_id))""",
+    # Two batches leave what one leaves.
+    "near_dup_batches": f"""{NEAR} SELECT doc_id FROM docs d
+        WHERE NOT EXISTS (SELECT 1 FROM near WHERE id_b = doc_id)
+          AND (len(text) < 3 OR NOT EXISTS (SELECT 1 FROM docs e WHERE lower(e.text) = lower(d.text) AND e.doc_id < d.doc_id))""",
     "latest_per_key": "SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) = 1",
     "latest_turn": "SELECT conv_id, turn, role FROM conversations QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC NULLS LAST, text) = 1",
     "nonblank_filter": "SELECT role, count(*) AS n FROM conversations WHERE len(trim(text)) > 0 GROUP BY 1",
@@ -221,6 +225,11 @@ SQL = {
         CASE WHEN count(value) >= 10 THEN list_sort(list(value))[greatest(0, floor(count(value) * 0.99)::INT - 1) + 1] END AS p99 FROM events GROUP BY 1""",
     "l2_normalized": """SELECT vec_id, (i - 1)::INT AS i, round(e[i] / greatest(sqrt(list_sum(list_transform(e, lambda x: x * x))), 1e-9), 6) AS x
         FROM (SELECT vec_id, e, unnest(range(1, len(e) + 1)) AS i FROM (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings))""",
+    "cosine_topk": """WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v, sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS n FROM embeddings),
+        s AS (SELECT q.vec_id AS query, e.vec_id, round(CASE WHEN q.n * e.n > 0 THEN list_inner_product(q.v, e.v) / (q.n * e.n) ELSE 0 END, 9) AS similarity
+              FROM e q, e WHERE q.vec_id % 50 = 0)
+        SELECT query, (row_number() OVER (PARTITION BY query ORDER BY similarity DESC, vec_id))::INT AS rank, vec_id, similarity FROM s
+        QUALIFY rank <= 10""",
     "idempotent_append_3key": f"""WITH {TURNS} SELECT DISTINCT ON (conv_id, turn, content_hash) conv_id, turn, role, content_hash FROM turns t
         WHERE NOT EXISTS (SELECT 1 FROM turns s WHERE s.role = 'system' AND s.conv_id = t.conv_id AND s.turn = t.turn AND s.content_hash = t.content_hash)
         ORDER BY conv_id, turn, content_hash, role NULLS LAST""",

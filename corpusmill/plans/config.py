@@ -13,8 +13,10 @@ class Config:
     silver: str = "silver"
     labeled: str = "gold/labeled"
     embeddings: str = "gold/embeddings"
+    checkpoints: str = "checkpoints"
     labeled_csv: str = ""  # where new labels are exported to, and read from where the table is missing
-    dedup_mode: str = "minhash"  # or silver_anti_join
+    dedup_mode: str = "minhash"  # within a batch; or near_index, also against all rows before; or silver_anti_join, exact
+    dedup_index: str = "silver_index"
     dedup_threshold: float = 0.8
     dedup_ngram: int = 3
     incremental: str = "anti_join"  # or max_timestamp, which drops late rows for good

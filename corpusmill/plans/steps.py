@@ -10,17 +10,20 @@ from __future__ import annotations
 import logging
 import time
 from collections.abc import Callable
+from fractions import Fraction
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from corpusmill.functions.lexicons import REVIEWS, Lexicon
 from corpusmill.functions.models import FAILED, HashEmbedder, Model, StubJudge, StubLabeler, answer, embed
 from corpusmill.functions.text import clean, content_hash, event_date, mask, text_map
-from corpusmill.operators import chunking, dedup, evaluation, incremental, labeling
+from corpusmill.operators import chunking, dedup, evaluation, incremental, labeling, near_index
 from corpusmill.plans.config import Config
 from corpusmill.sources import readers, sinks
+from corpusmill.streaming import streams
 
 DONE, SKIPPED = "DONE", "SKIPPED_NO_NEW_DATA"
 log = logging.getLogger(__name__)
@@ -56,16 +59,25 @@ def _new(df: DataFrame, target: DataFrame | None, config: Config, mark=None) ->
     return df
 
 
-def silver(spark: SparkSession, config: Config) -> str:
-    """Parse, clean, mask and deduplicate bronze lines."""
+def silver(spark: SparkSession, config: Config, rows: DataFrame | None = None) -> str:
+    """Parse, clean, mask and deduplicate bronze lines: all of them, or the parsed rows of a micro-batch."""
     stored = incremental.existing(spark, config.silver)
-    rows = clean_reviews(_new(readers.read_bronze(spark, config.bronze), stored, config))
+    rows = readers.read_bronze(spark, config.bronze) if rows is None else rows
+    rows = clean_reviews(_new(rows, stored, config)).withColumn("content_hash", content_hash(F.col("text")))
+    seen = None
     if config.dedup_mode == "silver_anti_join":
         rows = dedup.against_existing(rows, stored, "text", "id")
+    elif config.dedup_mode == "near_index":
+        limit = Fraction(str(config.dedup_threshold))
+        rows = rows.withColumn("row_key", F.concat_ws("::", "id", "timestamp", "content_hash"))
+        rows, seen = near_index.sift(rows, config.dedup_index, "row_key", "text", config.dedup_ngram, (limit.numerator, limit.denominator))
+        rows = rows.drop("row_key")
     else:
         rows = dedup.minhash_survivors(rows, "id", "text", config.dedup_ngram, config.dedup_threshold)
-    rows = rows.withColumns({"content_hash": content_hash(F.col("text")), "event_date": event_date(F.col("timestamp"))})
-    return status("STEP1", sinks.write_silver(rows, config.silver))
+    n = sinks.write_silver(rows.withColumn("event_date", event_date(F.col("timestamp"))), config.silver)
+    if seen is not None:
+        near_index.remember(seen, config.dedup_index, "row_key")
+    return status("STEP1", n)
 
 
 def label(spark: SparkSession, config: Config, labeler: Callable[[], Model] = StubLabeler, lexicon: Lexicon = REVIEWS) -> str:
@@ -116,37 +128,55 @@ def run_all(
     embedder: Callable[[], Model] = HashEmbedder,
     judge: Callable[[], Model] = StubJudge,
     lexicon: Lexicon = REVIEWS,
+    rows: DataFrame | None = None,
 ) -> dict:
-    """One cycle: the statuses of the three steps and the report."""
-    out: dict = {"STEP1": silver(spark, config)}
+    """One cycle, over all of bronze or the given rows: the statuses of the three steps and the report."""
+    out: dict = {"STEP1": silver(spark, config, rows)}
     out["STEP2"] = label(spark, config, labeler, lexicon)
     out["STEP3"] = embeddings(spark, config, embedder)
     out["report"] = evaluate(spark, config, judge)
     return out
 
 
-def run_when_due(spark: SparkSession, config: Config, seen: int, least: int = 50) -> tuple[int, dict | None]:
-    """A cycle if bronze has `least` lines more than the `seen` ones. Returns the lines seen and the cycle."""
-    lines = bronze_lines(spark, config.bronze)
-    return (lines, run_all(spark, config)) if lines - seen >= least else (seen, None)
+def start(spark: SparkSession, config: Config, done: Callable[[dict], object] = log.info, every: str | None = "10 seconds", files: int = 1000, **models) -> StreamingQuery:
+    """A stream over bronze: each micro-batch of new lines is a cycle, which `done` gets.
 
+    The stream's checkpoint knows which files have been read, so that bronze is neither read nor counted again. A batch
+    that dies between its steps is run again as a whole by the next start; every step appends
+    by key, so that what it had stored is neither lost nor stored twice. every=None takes what is there and ends.
+    """
 
-def bronze_lines(spark: SparkSession, path: str) -> int:
-    """Lines stored so far; none before the first write."""
+    def cycle(lines: DataFrame) -> None:
+        rows = readers.parse_lines(sinks.written(lines))
+        done(run_all(lines.sparkSession, config, rows=rows, **models))
+
+    return streams.each_batch(readers.file_stream(spark, config.bronze, files), cycle, f"{config.checkpoints}/cycles", every)
+
+
+def follow(spark: SparkSession, config: Config, arriving: Callable[[], bool], wait: float = 5.0, every: str = "0 seconds", **models) -> list[dict]:
+    """Cycles while lines arrive in bronze, and for what is left then. A cycle that fails is raised."""
+    cycles: list[dict] = []
+    while not has_folder(spark, config.bronze):
+        if not arriving():
+            return cycles
+        time.sleep(wait)
+    query = start(spark, config, cycles.append, every, **models)
+    try:
+        query.processAllAvailable()
+        while arriving():
+            time.sleep(wait)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return cycles
+
+
+def has_folder(spark: SparkSession, path: str) -> bool:
+    """Whether bronze has been written to: a stream needs its folder."""
     try:
-        return spark.read.text(path).count()
+        spark.read.text(path)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
-            return 0
+            return False
         raise
-
-
-def follow(spark: SparkSession, config: Config, arriving: Callable[[], bool], least: int = 50, wait: float = 5.0) -> list[dict]:
-    """Cycles while lines arrive, each after `least` new ones, and a last one for the rest."""
-    seen, cycles = 0, []
-    while arriving():
-        seen, cycle = run_when_due(spark, config, seen, least)
-        if cycle is not None:
-            cycles.append(cycle)
-        time.sleep(wait)
-    return [*cycles, run_all(spark, config)]
+    return True

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions.lexicons import Lexicon
 from corpusmill.functions.models import MOST_CHARS
 from corpusmill.functions.text import as_vector, chunk_id, clean, content_hash, distinct_items, event_date, l2_normalize, mask, sentences, text_map
-from corpusmill.operators import chunking, dedup, evaluation, incremental, labeling
+from corpusmill.operators import chunking, dedup, evaluation, incremental, labeling, near_index, similarity
 from corpusmill.plans.steps import LABEL_PROMPT, judge_prompt
 from corpusmill.sources import readers, sinks
 from corpusmill.streaming import streams
@@ -73,6 +73,25 @@ def minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.minhash_survivors(cleaned(spark, sf_dir).select("doc_id", "text"), "doc_id", "text").select("doc_id")
 
 
+def near_dup_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents in two batches, the lesser ids first; the second is compared with the index of the first."""
+    docs = cleaned(spark, sf_dir).select("doc_id", "text")
+    half = docs.agg((F.max("doc_id") / 2).alias("half")).first()["half"]
+    path = sinks.scratch(spark)
+    kept = []
+    for batch in (docs.where(F.col("doc_id") <= half), docs.where(F.col("doc_id") > half)):
+        rows, new = near_index.sift(batch, path, "doc_id", "text")
+        kept.append(sinks.written(rows.select("doc_id")))
+        near_index.remember(new, path, "doc_id")
+    return kept[0].unionByName(kept[1])
+
+
+def cosine_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every fiftieth vector the ten most similar ones of all."""
+    vectors = read(spark, sf_dir, "embeddings")
+    return similarity.cosine_topk(vectors.where("vec_id % 50 = 0"), vectors, "vec_id", "embedding")
+
+
 def latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read(spark, sf_dir, "events")
     return incremental.latest(events, ["user_id"], F.col("ts").desc_nulls_last(), F.col("event_id").desc()).select("user_id", "event_id", "event_type")
@@ -371,11 +390,11 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 NAMES = (
-    "clean_text clean_pages mask_pii clean_mask_hash exact_dedup incremental_anti_join near_dup_pairs near_dup_survivors minhash_dedup "
+    "clean_text clean_pages mask_pii clean_mask_hash exact_dedup incremental_anti_join near_dup_pairs near_dup_survivors near_dup_batches minhash_dedup "
     "latest_per_key latest_turn nonblank_filter required_fields max_watermark map_watermark incremental_window new_data_gate event_date_partition "
     "json_parse_required bronze_round_trip reject_count keep_bad_rows prompt_fallback field_coalesce null_coalesce sentence_split chunk_documents "
     "chunk_counts chunk_ids sentiment_rule sentiment_distribution entity_extract item_dedup label_parse label_normalize topic_label_parse judge_parse "
-    "label_prompts judge_prompts embedder_inputs embedding_rows quality_report worst_k below_threshold integrity_metrics seeded_sample latency_summary l2_normalized idempotent_append_3key "
+    "label_prompts judge_prompts embedder_inputs embedding_rows quality_report worst_k below_threshold integrity_metrics seeded_sample latency_summary l2_normalized cosine_topk idempotent_append_3key "
     "idempotent_append_2key idempotent_append_1key stream_events"
 ).split()
 QUERIES = {name: globals()[name] for name in NAMES}
