@@ -92,9 +92,9 @@ def l2_normalize(vector: Column) -> Column:
 
 
 def mean_pool(states: Column, attention: Column) -> Column:
-    """Mean of the token vectors whose attention is one; the divisor is 1e-9 at least."""
+    """Mean of the token vectors whose attention is one; the divisor is 1e-9 at least. No tokens give an empty vector."""
     used = F.filter(F.arrays_zip(states.alias("v"), attention.alias("a")), lambda x: x["a"] > 0)
-    zero = F.transform(F.element_at(states, 1), lambda x: F.lit(0.0))
+    zero = F.transform(F.coalesce(F.try_element_at(states, F.lit(1)), F.array().cast("array<double>")), lambda x: F.lit(0.0))
     total = F.aggregate(used, zero, lambda acc, x: F.zip_with(acc, x["v"], lambda a, b: a + b.cast("double")))
     return F.transform(total, lambda x: x / F.greatest(F.size(used).cast("double"), F.lit(1e-9)))
 

@@ -26,6 +26,7 @@ class Config:
     embed_batch: int = 64
     embed_partitions: int = 0  # 0: four for each core
     judge_tries: int = 3
+    judge_at_once: int = 8  # calls of a task at the same time
     judge_wait: float = 1.0  # seconds before the second try, twice that before the third
     sample_size: int = 100
     seed: int = 42

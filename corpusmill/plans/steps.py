@@ -116,7 +116,7 @@ def evaluate(spark: SparkSession, config: Config, judge: Callable[[], Model] = S
     missing = config.labeled_csv and incremental.existing(spark, config.labeled) is None
     labeled = readers.read_csv(spark, config.labeled_csv) if missing else readers.read_table(spark, config.labeled)
     sample = incremental.seeded_sample(labeled, "id", config.sample_size, config.seed)
-    said = answer(sample.withColumn("prompt", judge_prompt(sample)), "prompt", "said", judge, 16, REQUEST_FAILED, config.judge_tries, config.judge_wait)
+    said = answer(sample.withColumn("prompt", judge_prompt(sample)), "prompt", "said", judge, 16, REQUEST_FAILED, config.judge_tries, config.judge_wait, config.judge_at_once)
     judged = said.select(evaluation.source_id(sample).alias("doc_id"), evaluation.parse_judge(F.col("said")).alias("j")).select("doc_id", "j.*")
     return evaluation.report_json(judged, sample, config.quality_threshold)
 

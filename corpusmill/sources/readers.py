@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from corpusmill.operators.incremental import existing, required
 
@@ -37,14 +38,33 @@ def rejects(lines: DataFrame, fields: Sequence[str] = REVIEW) -> DataFrame:
     return lines.agg(F.count(F.lit(1)).alias("lines"), F.count_if(F.coalesce(missing, F.lit(True))).alias("rejected"))
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line, value) of text files, lines numbered from 1 in each file, however files are split.
+
+    A first pass counts the lines of each piece of a file that a task reads; sums over the pieces before it
+    give a piece its first number. Ids that rise within a task number the lines of a piece.
+    """
+    meta = F.col("_metadata")
+    lines = spark.read.text(path).select(
+        "value", meta["file_path"].alias("file"), meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("id")
+    )
+    counts = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
+    before = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    starts = counts.select("file", "block", (F.coalesce(F.sum("n").over(before), F.lit(0)) + 1 - F.col("first")).alias("shift"))
+    return lines.join(starts, ["file", "block"]).select("file", (F.col("id") + F.col("shift")).alias("line"), "value")
+
+
 def read_strict(spark: SparkSession, path: str, fields: Sequence[str] = REVIEW) -> DataFrame:
-    """JSON lines without blank ones; a bad line or a missing key fails the job, naming the line."""
-    lines = spark.read.text(path).where(F.trim("value") != "")
+    """JSON lines without blank ones; a bad line or a missing key fails the job, naming the file, the line's number and its text."""
+    lines = numbered_lines(spark, path).where(F.trim("value") != "")
     r, keys = parse(F.col("value"), fields), F.json_object_keys("value")
     whole = keys.isNotNull()
     for f in fields:
         whole = whole & F.array_contains(keys, f)
-    fail = F.raise_error(F.concat(F.lit("not a JSON object with all keys: "), F.substring("value", 1, 200)))
+    lacking = F.array_join(F.array_sort(F.array_except(F.array(*map(F.lit, fields)), keys)), ", ")
+    what = F.when(keys.isNull(), "not a JSON object").otherwise(F.concat(F.lit("not a JSON object with all keys, it lacks "), lacking))
+    where = F.concat(F.lit(" at line "), F.col("line").cast("string"), F.lit(" of "), F.col("file"), F.lit(": "))
+    fail = F.raise_error(F.concat(what, where, F.substring("value", 1, 200)))
     checked = F.when(F.coalesce(whole, F.lit(False)), r).otherwise(fail.cast(f"struct<{','.join(f'`{f}`:string' for f in fields)}>"))
     return lines.select(checked.alias("r")).select("r.*")
 
