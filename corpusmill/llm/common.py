@@ -7,7 +7,8 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +31,11 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
+def column(name: str) -> Column:
+    """A column by its very name, which may have dots or backticks."""
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
 def stash(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet below the shared folder and read it again.
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import stash, table
+from corpusmill.llm.common import column, stash, table
 
 WINDOW = 13
 COVERAGE = 20  # contaminated where hit words are at least a 20th of all words
@@ -207,7 +207,8 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_byte
     """Columns of docs, with n_words, n_hit, items and spans (in words, end exclusive) added.
 
     A null text has no words and no hits. Repeated rows are judged each. Input columns
-    named like an added one are replaced. No items means no hits.
+    named like an added one are replaced, others may have any names. No items means no hits, no
+    rows give no rows, and texts are searched whole, however long.
     """
     empty = {
         "n_words": F.lit(0).cast("long"),
@@ -215,10 +216,12 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_byte
         "items": F.array().cast("array<string>"),
         "spans": F.array().cast("array<struct<start:int,end:int>>"),
     }
-    found = docs.select(*(c for c in docs.columns if c not in empty)).withColumns(empty)
+    order = [c for c in docs.columns if c not in empty]
+    row = F.struct(F.lit(0).alias("0"), *(column(c) for c in order if c != "text")).alias("row")
+    found = docs.select(row, "text").withColumns(empty)
     for k, block in enumerate(benchmark_blocks(benchmark, block_bytes)):
         found = _pass(stash(found, "decontamination") if k else found, block, window)
-    return found
+    return found.select(*(F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in order), *empty)
 
 
 def contaminated(coverage: int = COVERAGE) -> Column:
@@ -235,7 +238,7 @@ def decontaminate(
     have any names and pass unchanged; nulls and empty texts have no words and stay, repeated
     rows are judged each, and no rows give no rows.
     """
-    row = F.struct(*(c for c in docs.columns if c != "text")).alias("row")
+    row = F.struct(*(column(c) for c in docs.columns if c != "text")).alias("row")
     left = find(docs.select(row, "text"), benchmark, window).where(~contaminated(coverage))
     if longest is not None:
         left = _without_spans(left.select("row", "text", F.filter("spans", lambda x: x["end"] - x["start"] > longest).alias("spans")))

@@ -404,8 +404,10 @@ def keep_one(docs: DataFrame, words: int = WORDS, threshold: tuple[int, int] = (
     first = F.struct(F.col("low").isNull(), F.col("low"), F.col("k"))
     stays = text.groupBy("root").agg(F.min(first).alias("x")).select("x.k", "x.low")
     keys = ["__doc", "__none", "__k"]
-    named = docs.withColumns({"__k": text_key(), "__doc": F.coalesce("doc_id", F.lit(0)), "__none": F.col("doc_id").isNull()})
-    return named.join(_by_document(stays, "low").select(*keys), keys, "left_semi").dropDuplicates(keys).select(*docs.columns)
+    named = docs.select(
+        F.struct("*").alias("row"), text_key().alias("__k"), F.coalesce("doc_id", F.lit(0)).alias("__doc"), F.col("doc_id").isNull().alias("__none")
+    )
+    return named.join(_by_document(stays, "low").select(*keys), keys, "left_semi").dropDuplicates(keys).select("row.*")
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

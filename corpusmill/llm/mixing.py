@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from corpusmill.llm.common import stash, table
+from corpusmill.llm.common import column, stash, table
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -100,7 +100,7 @@ def mix(
     digest = F.md5(F.coalesce(F.col("text"), F.lit("")))
     shuffle = F.md5(F.concat_ws("/", F.lit(seed), F.col("doc_id").cast("string"), digest))
     # Words are counted once; the passes below read what is written here.
-    rows = stash(docs.select(F.struct(*(carry or docs.columns)).alias("row"), "source", word_count(F.col("text")).alias("size"), shuffle.alias("shuffle")), "mix")
+    rows = stash(docs.select(F.struct(*map(column, carry or docs.columns)).alias("row"), "source", word_count(F.col("text")).alias("size"), shuffle.alias("shuffle")), "mix")
     # One row for each source, written so that a join with it deals a hot source's rows anew.
     targets = stash(source_targets(rows, weights, share, repeats).withColumnRenamed("source", "__source"), "mix-sources")
     placed = rows.join(targets, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")

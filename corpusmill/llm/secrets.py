@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from corpusmill.llm.common import table
+from corpusmill.llm.common import column, table
 
 KINDS = ("assign", "access", "hex", "guess")
 
@@ -206,10 +206,14 @@ def scan(text: str | None, ranks: dict[str, int] = {}) -> list[tuple[int, int, i
     if _hex_run(text.encode()):
         spans += [(*m.span(), 2, None) for m in HEX.finditer(text) if len(m[0]) >= LEAST["hex"]]
     if any(x in low for x in HINTS):
-        fixed = list(spans)
+        # Contexts ascend: one pass over the fixed spans by start tells how far those before a value reach.
+        fixed, k, reach = sorted((s, e) for s, e, _, _ in spans), 0, -1
         for m in CONTEXT.finditer(text):
             a, b = m.span(1)
-            if any(s <= a and b <= e for s, e, _, _ in fixed):
+            while k < len(fixed) and fixed[k][0] <= a:
+                reach = max(reach, fixed[k][1])
+                k += 1
+            if b <= reach:
                 continue
             if (cost := guess_cost(m[1], ranks)) >= STRONG:
                 spans.append((a, b, 3, cost))
@@ -259,8 +263,14 @@ def word_ranks(docs: DataFrame) -> dict[str, int]:
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """Columns of docs with `spans` added (or replaced). A null or empty text has none."""
-    docs = docs.drop("spans")
+    """Columns of docs, of any names, with `spans` added (or replaced). A null or empty text has none.
+
+    Spans are in order of start, then kind. Repeated rows are scanned each; texts are scanned whole, however
+    long; no rows give no rows.
+    """
+    kept = [c for c in docs.columns if c not in ("spans", "text")]
+    order = [c for c in docs.columns if c != "spans"]
+    docs = docs.select(F.struct(F.lit(0).alias("0"), *map(column, kept)).alias("row"), "text")
     ranks = docs.sparkSession.sparkContext.broadcast(word_ranks(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,7 +282,8 @@ def find(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, _FOUND)], [*batch.schema.names, "spans"])
 
     out = StructType([*docs.schema.fields, *StructType.fromDDL(FOUND).fields])
-    return docs.mapInArrow(run, out)
+    named = [F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in order]
+    return docs.mapInArrow(run, out).select(*named, "spans")
 
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

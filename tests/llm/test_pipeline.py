@@ -57,7 +57,7 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 
 def test_names():
-    assert [x.split("_")[0] for x in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [x.split("_")[0] for x in queries.QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert set(queries.SQL) < set(queries.QUERIES)
 
 
@@ -65,8 +65,8 @@ def test_stages_on_odd_rows(spark, docs, tmp_path):
     """Nulls in every column, empty texts, repeated rows and columns with names used inside; then no rows at all."""
     good = " ".join(f"river stone {i} lamp cloud" for i in range(30))
     rows = [(i, f"{good} {i}") for i in range(12)] + [(40, good), (40, good), (None, None), (None, ""), (50, "x"), (51, "x" * 100_000)]
-    names = ("score", "predicted", "row", "items", "spans", "n_words", "size", "target", "copies", "k", "id", "root", "shard")
-    d = docs(*rows).withColumns({n: F.lit(n) for n in names}).withColumn("lang", F.lit(None).cast("string"))
+    names = ("score", "predicted", "row", "items", "spans", "n_words", "size", "target", "copies", "k", "id", "root", "shard", "a.b", "a`b", "__k", "__doc", "__none", "__bucket")
+    d = docs(*rows).select("*", *(F.lit(n).alias(n) for n in names)).withColumn("lang", F.lit(None).cast("string"))
     d = d.withColumn("source", F.when(F.col("doc_id") > 3, F.col("source"))).withColumn("n_chars", F.lit(None).cast("long"))
     labels = spark.createDataFrame([(i, int(i < 12), 0) for i in (*range(12), 40, 50, 51)], "doc_id long, quality int, toxic int")
     labels.write.parquet(f"{tmp_path}/labels.parquet")
