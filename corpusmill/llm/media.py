@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from corpusmill.llm.common import table
+from corpusmill.llm.common import stash, table
 
 BLOCK = 64
 RATE = 8000
@@ -183,4 +183,4 @@ def fingerprint(df: DataFrame, arrays: bool = True) -> DataFrame:
 
 def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return fingerprint(store(docs).select("doc_id", "n_bytes", "media"), arrays=False)
+    return fingerprint(stash(store(docs).select("doc_id", "n_bytes", "media"), "media"), arrays=False)
