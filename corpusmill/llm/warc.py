@@ -114,6 +114,41 @@ class Source:
         return whole[:n]
 
 
+def text(line: bytes) -> str:
+    """A header line, in UTF-8 or else in Latin-1, which older archives have."""
+    try:
+        return line.decode()
+    except UnicodeDecodeError:
+        return line.decode("latin-1")
+
+
+def stated(value: str | None) -> tuple[str, bytes] | None:
+    """The algorithm and the bytes of a labelled digest in hex or base32, of either case; None if it can't be told."""
+    label, _, body = (value or "").strip().partition(":")
+    name, body = label.strip().lower().replace("-", ""), body.strip()
+    size = _SIZES.get(name)
+    if size is None:
+        return None
+    try:
+        if len(body) == 2 * size:
+            return name, bytes.fromhex(body)
+        plain = body.upper().rstrip("=")
+        got = base64.b32decode(plain + "=" * (-len(plain) % 8))
+    except ValueError:
+        return None
+    return (name, got) if len(got) == size else None
+
+
+# The digests that archives label, and their bytes.
+_SIZES = {"md5": 16, "sha1": 20, "sha256": 32, "sha512": 64}
+
+
+def agrees(value: str | None, data: bytes) -> bool:
+    """Whether a digest is that of the data. One that can't be told is left unverified."""
+    known = stated(value)
+    return known is None or hashlib.new(known[0], data).digest() == known[1]
+
+
 def records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Header (names in lower case) and block of each record of an archive.
 
@@ -126,12 +161,12 @@ def records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
             raise ValueError(f"not a WARC record: {version[:20]!r}")
         head: dict[str, str] = {}
         while line := src.line():
-            name, _, value = line.decode().partition(":")
+            name, _, value = text(line).partition(":")
             head[name.strip().lower()] = value.strip()
         block = src.take(int(head["content-length"]))
         if src.take(4) != b"\r\n\r\n":
             raise ValueError("record isn't followed by two line ends")
-        if (want := head.get("warc-block-digest")) and want != digest(block):
+        if not agrees(head.get("warc-block-digest"), block):
             raise ValueError(f"block digest differs: {head.get('warc-record-id')}")
         yield head, block
 
@@ -202,24 +237,29 @@ def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
     """One row for each record of the archives in column `bytes`.
 
     `payload_bytes` and `payload_digest` (hex SHA-1) describe the full payload; a revisit
-    takes them from its header. A damaged archive raises. Without `payloads` the column
+    takes them from its header, and has nulls where that lacks them or has another digest. Digests in
+    hex or base32 of the usual kinds are verified, others are not. Records other than HTTP ones
+    are payload as a whole. A damaged archive raises. Without `payloads` the column
     payload is null.
     """
 
     def rows(data: bytes) -> Iterator[dict]:
         for head, block in records(data):
-            http, _, payload = block.partition(b"\r\n\r\n")
-            kind = head["warc-type"]
-            stored = head.get("warc-payload-digest", "")
-            sha1 = base64.b32decode(stored.partition(":")[2]).hex() if stored else None
-            length = len(payload)
+            kind = head.get("warc-type", "").lower()
+            http, payload = b"", block
+            if kind == "revisit" or head.get("content-type", "").replace(" ", "").startswith("application/http"):
+                http, _, payload = block.partition(b"\r\n\r\n")
+            fields = dict((n.strip().lower(), v.strip()) for n, _, v in (text(x).partition(":") for x in http.split(b"\r\n")[1:]))
+            known, length = stated(head.get("warc-payload-digest")), len(payload)
             if kind == "revisit":
-                fields = dict(x.decode().lower().split(":", 1) for x in http.split(b"\r\n")[1:])
-                length = int(fields["content-length"])
-            elif (found := hashlib.sha1(payload).hexdigest()) != (sha1 or found):
-                raise ValueError(f"payload digest differs: {head.get('warc-record-id')}")
+                # Its header is that of the full payload; without one, nothing tells the length.
+                length = int(fields["content-length"]) if fields.get("content-length", "").isdigit() else None
+                sha1 = known[1].hex() if known and known[0] == "sha1" else None
             else:
-                sha1 = found
+                # What a transfer encoding wraps has a digest of its own, which the stored bytes don't have.
+                if "transfer-encoding" not in fields and not agrees(head.get("warc-payload-digest"), payload):
+                    raise ValueError(f"payload digest differs: {head.get('warc-record-id')}")
+                sha1 = hashlib.sha1(payload).hexdigest()
             yield {
                 "record_id": head.get("warc-record-id"),
                 "record_type": kind,

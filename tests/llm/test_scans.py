@@ -1,3 +1,4 @@
+import base64
 import gzip
 import hashlib
 import random
@@ -309,6 +310,37 @@ def test_members_of_several_records_and_their_trailers():
             list(warc.records(bad))
 
 
+def foreign(kind, head, block):
+    lines = ["WARC/1.0", f"WARC-Type: {kind}", "WARC-Record-ID: <urn:x>", *head, f"Content-Length: {len(block)}"]
+    return gzip.compress("\r\n".join(lines).encode("latin-1") + b"\r\n\r\n" + block + b"\r\n\r\n")
+
+
+def test_archives_of_other_writers(spark):
+    payload = "grün".encode("latin-1") * 50
+    block = b"HTTP/1.1 200 OK\r\nX-Name: caf\xe9\r\n\r\n" + payload
+    sha1 = hashlib.sha1(payload)
+    http = "Content-Type: application/http; msgtype=response"
+    base32 = base64.b32encode(sha1.digest()).decode()
+    digests = [f"sha1:{base32}", f"sha1:{base32.lower()}", f"sha1:{sha1.hexdigest()}", f"SHA-1:{sha1.hexdigest().upper()}", f"sha256:{hashlib.sha256(payload).hexdigest()}", f"md5:{hashlib.md5(payload).hexdigest()}", "blake3:abc", "sha1:???"]
+    made = [foreign("response", [http, f"WARC-Payload-Digest: {d}", f"WARC-Block-Digest: sha256:{hashlib.sha256(block).hexdigest()}", "X: caf\xe9"], block) for d in digests]
+    made += [
+        foreign("revisit", [http, f"WARC-Payload-Digest: sha1:{sha1.hexdigest()}"], b""),
+        foreign("revisit", [http, "WARC-Payload-Digest: sha256:00"], b"HTTP/1.1 304 Not Modified\r\nContent-Length: 7\r\n\r\n"),
+        foreign("warcinfo", ["Content-Type: application/warc-fields"], b"software: x\r\n\r\nmore"),
+        foreign("response", [http, "WARC-Payload-Digest: sha1:" + "A" * 32], b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n1\r\nx\r\n0\r\n\r\n"),
+    ]
+    df = spark.createDataFrame([("a", b"".join(made))], "archive string, bytes binary")
+    rows = [(r["record_type"], r["payload_bytes"], r["payload_digest"]) for r in warc.read_archives(df).collect()]
+    assert rows[:8] == [("response", 200, sha1.hexdigest())] * 8
+    assert rows[8:11] == [("revisit", None, sha1.hexdigest()), ("revisit", 7, None), ("warcinfo", 19, hashlib.sha1(b"software: x\r\n\r\nmore").hexdigest())]
+    assert len(rows) == 12
+    for d in ("sha1:" + "A" * 32, "sha256:" + "0" * 64):
+        for name in ("WARC-Payload-Digest", "WARC-Block-Digest"):
+            bad = spark.createDataFrame([("a", foreign("response", [http, f"{name}: {d}"], block))], "archive string, bytes binary")
+            with pytest.raises(Exception, match="digest differs"):
+                warc.read_archives(bad).collect()
+
+
 def test_read_files(spark, tmp_path):
     (tmp_path / "a.warc.gz").write_bytes(member() * 2)
     (tmp_path / "b.warc").write_bytes(gzip.decompress(member()))
