@@ -37,7 +37,7 @@ from corpusmill.llm.common import chunks, stash, table, utf8
 
 A_PATH = "/opt/tokenizers/byte_bpe_50k.json"
 B_PATH = "/opt/tokenizers/piece_bpe_32k.model"
-CHUNK_BYTES = 2 << 20  # of text, or one longer document
+CHUNK_BYTES = 2 << 20  # of text, or one longer document in pieces of that size
 PIECE = 1 << 16  # steps of the merge in a piece
 KEPT_IDS = 1_500_000  # ids that a worker keeps of stretches it has seen
 LONG = 500  # letters of a stretch that goes to the slower encoder, whose time doesn't grow with the square
@@ -269,6 +269,37 @@ def align_chunk(texts: list[str], pair: Pair, steps: int = PIECE) -> tuple[dict[
     return cols, kinds, counts
 
 
+def pieces(text: str, most: int) -> Iterator[str]:
+    """A long text in pieces of about `most` letters, cut where `stretches` cuts; the space at a cut belongs to the next piece."""
+    start = 0
+    while cut := _CUT.search(text, start + most):
+        if cut.start() == len(text) - 1:
+            break  # a lone space is no piece
+        yield text[start : cut.start()]
+        start = cut.start() + 1
+    yield text[start:]
+
+
+def align_long(text: str, pair: Pair, most: int) -> tuple[dict[str, list], np.ndarray, np.ndarray]:
+    """What `align_chunk` gives for one text, which is aligned piece by piece: tokens of both end at every cut."""
+    total, groups = dict.fromkeys(_COUNTS, 0), []
+    kinds, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for piece in pieces(text, most):
+        cols, k, n = align_chunk([piece], pair)
+        if not cols["n_a"][0]:
+            return align_chunk([""], pair)  # tokens that don't give the text back
+        for c in _COUNTS:
+            total[c] += cols[c][0]
+        groups += cols["groups"]
+        kinds, which = np.unique(np.concatenate([kinds, k]), return_inverse=True)
+        both = np.zeros(len(kinds), np.int64)
+        np.add.at(both, which, np.concatenate([counts, n]))
+        counts = both
+    step = np.ones(len(kinds), np.int64)
+    step[:1] = 0
+    return {**{c: [v] for c, v in total.items()}, "groups": [b";".join(groups)], "at": [_pack(step)], "times": [_pack(counts)]}, kinds, counts
+
+
 def encoded(docs: DataFrame, a_path: str, b_path: str, chunk_bytes: int) -> DataFrame:
     """The rows of _ENCODED for documents, chunk by chunk."""
 
@@ -278,7 +309,9 @@ def encoded(docs: DataFrame, a_path: str, b_path: str, chunk_bytes: int) -> Data
             _, offsets = utf8(batch.column("text"))
             for x, y in chunks(offsets, chunk_bytes):
                 ids, texts = batch.column("doc_id").slice(x, y - x), batch.column("text").slice(x, y - x)
-                cols, kinds, counts = align_chunk([t or "" for t in texts.to_pylist()], pair)
+                rows = [t or "" for t in texts.to_pylist()]
+                long = offsets[y] - offsets[x] > chunk_bytes  # one document
+                cols, kinds, counts = align_long(rows[0], pair, chunk_bytes) if long else align_chunk(rows, pair)
                 name = uuid.uuid4().int >> 65
                 n = y - x
                 put = {"chunk": [name] * (n + 1), "doc_id": [*ids.to_pylist(), None]}

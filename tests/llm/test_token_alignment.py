@@ -132,6 +132,15 @@ def test_equals_brute_force(spark, docs, chunk_bytes):
     assert aligned(df, chunk_bytes=chunk_bytes) == brute(rows)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.builds(text_of, st.randoms(use_true_random=False), st.integers(1, 60)), st.integers(1, 40))
+def test_long_texts_are_aligned_in_pieces(text, most):
+    pair = ta.load(ta.A_PATH, ta.B_PATH)
+    assert text == " ".join(ta.pieces(text, most))
+    (cols, kinds, counts), (want, k, n) = ta.align_long(text, pair, most), ta.align_chunk([text], pair)
+    assert cols == want and kinds.tolist() == k.tolist() and counts.tolist() == n.tolist()
+
+
 def test_no_rows_and_rows_without_tokens(spark, docs):
     assert aligned(docs()) == []
     assert aligned(docs((1, None), (2, ""))) == [(1, 0, 0, 0, 0, 0, 0, ""), (2, 0, 0, 0, 0, 0, 0, "")]
