@@ -237,5 +237,9 @@ SQL = {
         WHERE NOT EXISTS (SELECT 1 FROM conversations s WHERE s.role = 'user' AND s.conv_id = t.conv_id AND s.turn = t.turn) GROUP BY 1, 2""",
     "idempotent_append_1key": """SELECT doc_id, min(lang) AS lang FROM documents t
         WHERE NOT EXISTS (SELECT 1 FROM documents s WHERE s.lang = 'fr' AND s.doc_id = t.doc_id) GROUP BY 1""",
+    "latest_events_stream": """SELECT user_id, max(ts) AS ts FROM events GROUP BY 1
+        HAVING epoch_ms(max(ts)) <= epoch_ms((SELECT max(ts) FROM events)) - 86400000""",
+    "delivered_rows": "SELECT count_if(doc_id % 10 <> 7) AS sent, count_if(doc_id % 10 = 7) AS dropped FROM documents",
+    "line_numbers": "SELECT lang, doc_id, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS line FROM documents",
     "stream_events": "SELECT event_type, count(*) AS n, max(event_id) AS last_id FROM events GROUP BY 1",
 }

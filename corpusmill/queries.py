@@ -10,7 +10,7 @@ from corpusmill.functions.models import MOST_CHARS
 from corpusmill.functions.text import as_vector, chunk_id, clean, content_hash, distinct_items, event_date, l2_normalize, mask, sentences, text_map
 from corpusmill.operators import chunking, dedup, evaluation, incremental, labeling, near_index, similarity
 from corpusmill.plans.steps import LABEL_PROMPT, judge_prompt
-from corpusmill.sources import readers, sinks
+from corpusmill.sources import delivery, readers, sinks
 from corpusmill.streaming import streams
 
 #: Words that the tables have, in the place of the review lexicon.
@@ -389,12 +389,71 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("event_id").cast("long")).alias("last_id"))
 
 
+def latest_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The time of each user's latest event, for users whose event is a day behind the last one of all; by keyed state."""
+    at = sinks.scratch(spark)
+    events = read(spark, sf_dir, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    events.write.parquet(f"{at}/in")
+    before = {k: spark.conf.get(k, None) for k in streams.STATE_STORE}
+    for k, v in streams.STATE_STORE.items():
+        spark.conf.set(k, v)
+    try:
+        rows = streams.latest_and_late(spark.readStream.schema(events.schema).parquet(f"{at}/in"), ["user_id"], "ts", "1 day")
+        write = streams.split_late(f"{at}/latest", f"{at}/late")
+        for _ in range(2):  # the second run has no rows, and lets timers fire that the last batch has made due
+            query = rows.writeStream.foreachBatch(write).option("checkpointLocation", f"{at}/checkpoint")
+            query.trigger(availableNow=True).start().awaitTermination()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    found = incremental.existing(spark, f"{at}/latest")
+    return events.limit(0) if found is None else found.select("user_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
+class _Counting:
+    """A transport that has no broker: it refuses keys that end in 7, and others that end in 3 at the first try."""
+
+    def __init__(self):
+        self.seen: set[str] = set()
+
+    def send(self, key: str, value: str) -> None:
+        if key.endswith("7") or key.endswith("3") and key not in self.seen:
+            self.seen.add(key)
+            raise BufferError("refused")
+
+    def poll(self, seconds: float) -> None:
+        pass
+
+    def flush(self, seconds: float) -> None:
+        pass
+
+
+def delivered_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents through the keyed sink; how many it sent and dropped."""
+    policy = delivery.Policy(tries=2, backoff=0.0, drain=0.0)
+    counts = delivery.deliver(read(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id", _Counting, policy)
+    return spark.createDataFrame([(counts["sent"], counts["dropped"])], "sent long, dropped long")
+
+
+def line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of JSON lines; each line's number against the order in which its file was written."""
+    at = sinks.scratch(spark)
+    docs = read(spark, sf_dir, "documents").select("lang", F.col("doc_id").alias("id"), "text")
+    # A file for each language and task, its lines by id.
+    docs.repartition("lang").sortWithinPartitions("lang", "id").select(
+        "lang", F.to_json(F.struct("id", "text")).alias("value")
+    ).write.partitionBy("lang").text(f"{at}/in")
+    lines = readers.numbered_lines(spark, f"{at}/in")
+    rows = lines.select(F.regexp_extract("file", "lang=([a-z]+)", 1).alias("lang"), "line", readers.parse(F.col("value"), ("id",))["id"].cast("long").alias("doc_id"))
+    return rows.select("lang", "doc_id", "line")
+
+
 NAMES = (
     "clean_text clean_pages mask_pii clean_mask_hash exact_dedup incremental_anti_join near_dup_pairs near_dup_survivors near_dup_batches minhash_dedup "
     "latest_per_key latest_turn nonblank_filter required_fields max_watermark map_watermark incremental_window new_data_gate event_date_partition "
     "json_parse_required bronze_round_trip reject_count keep_bad_rows prompt_fallback field_coalesce null_coalesce sentence_split chunk_documents "
     "chunk_counts chunk_ids sentiment_rule sentiment_distribution entity_extract item_dedup label_parse label_normalize topic_label_parse judge_parse "
     "label_prompts judge_prompts embedder_inputs embedding_rows quality_report worst_k below_threshold integrity_metrics seeded_sample latency_summary l2_normalized cosine_topk idempotent_append_3key "
-    "idempotent_append_2key idempotent_append_1key stream_events"
+    "idempotent_append_2key idempotent_append_1key stream_events latest_events_stream delivered_rows line_numbers"
 ).split()
 QUERIES = {name: globals()[name] for name in NAMES}

@@ -2,8 +2,8 @@
 
 Each task opens a transport, sends its rows one after the other under their key, and drops a row after `tries`
 failures. How many rows were sent and dropped travels in the task's commit message, so that
-attempts that Spark repeats or gives up don't count; the totals are written as JSON to a folder of
-the caller's and read from there.
+attempts that Spark repeats or gives up don't count; the totals are written as JSON below the shared folder,
+since Spark commits in a process of its own, and read from there.
 """
 
 from __future__ import annotations
@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
+from corpusmill.sources.paced import open_folder
+from corpusmill.sources.sinks import scratch
+
 log = logging.getLogger(__name__)
 
 
@@ -78,20 +81,22 @@ class _Writer(DataSourceWriter):
 
     def commit(self, messages: list) -> None:
         totals = {"sent": sum(m.sent for m in messages if m), "dropped": sum(m.dropped for m in messages if m)}
-        with open(self.report, "w", encoding="utf-8") as f:
-            json.dump(totals, f)
+        system, folder = open_folder(self.report)
+        system.create_dir(folder)
+        with system.open_output_stream(f"{folder}/totals.json") as f:
+            f.write(json.dumps(totals).encode())
 
     def abort(self, messages: list) -> None:
         log.error("a task failed for good; rows of %d tasks had been sent", sum(m is not None for m in messages))
 
 
-def deliver(df: DataFrame, key: str, transport: Callable[[], Transport], policy: Policy = Policy(), folder: str = "/tmp") -> dict[str, int]:
+def deliver(df: DataFrame, key: str, transport: Callable[[], Transport], policy: Policy = Policy()) -> dict[str, int]:
     """Send the rows as JSON under their key, in the order of each partition. Returns how many were sent and dropped.
 
     `transport` makes a client in each task. A null key is sent as the empty text. A task that Spark runs again sends its
-    rows again: delivery is at least once. `folder` is the driver's own, for the totals.
+    rows again: delivery is at least once.
     """
-    report = f"{folder}/delivered-{uuid.uuid4().hex}.json"
+    report = scratch(df.sparkSession)
     name = f"delivery-{uuid.uuid4().hex}"
 
     class Source(DataSource):
@@ -108,5 +113,6 @@ def deliver(df: DataFrame, key: str, transport: Callable[[], Transport], policy:
     df.sparkSession.dataSource.register(Source)
     rows = df.select(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("key"), F.to_json(F.struct("*")).alias("value"))
     rows.write.format(name).mode("append").save()
-    with open(report, encoding="utf-8") as f:
-        return json.load(f)
+    system, folder = open_folder(report)
+    with system.open_input_stream(f"{folder}/totals.json") as f:
+        return json.loads(f.read())

@@ -40,12 +40,12 @@ def test_rows_are_sent_retried_and_dropped(spark, tmp_path):
     folder = str(tmp_path)
     df = spark.range(40).select(F.col("id").cast("string").alias("id"), F.concat(F.lit("text "), "id").alias("text"), F.lit(1).alias("a.b")).repartition(3)
     policy = delivery.Policy(tries=3, backoff=0.0, drain=0.0)
-    assert delivery.deliver(df, "id", lambda: Stub(folder), policy, folder) == {"sent": 36, "dropped": 4}
+    assert delivery.deliver(df, "id", lambda: Stub(folder), policy) == {"sent": 36, "dropped": 4}
     sent = [json.loads(x) for x in (tmp_path / "sent").read_text().splitlines()]
     assert sorted(int(k) for k, _ in sent) == [i for i in range(40) if i % 10 != 3]
     assert all(json.loads(v) == {"id": k, "text": f"text {k}", "a.b": 1} for k, v in sent)
     assert (tmp_path / "flushed").read_text() == "xxx"
-    assert delivery.deliver(df.limit(0), "id", lambda: Stub(folder), policy, folder) == {"sent": 0, "dropped": 0}
+    assert delivery.deliver(df.limit(0), "id", lambda: Stub(folder), policy) == {"sent": 0, "dropped": 0}
 
 
 def test_pauses_grow_and_a_full_queue_is_drained():
@@ -70,7 +70,7 @@ def test_counts_are_those_of_the_attempts_that_count(tmp_path):
     rows = [{"key": k, "value": ""} for k in ("1", "3", "5")]
     _lost, kept = (writer.write(iter(rows)) for _ in range(2))
     writer.commit([kept, None, delivery.Delivered(10, 0)])
-    assert json.loads((tmp_path / "report").read_text()) == {"sent": 12, "dropped": 1}
+    assert json.loads((tmp_path / "report" / "totals.json").read_text()) == {"sent": 12, "dropped": 1}
 
 
 @pytest.fixture
