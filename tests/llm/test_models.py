@@ -1,3 +1,6 @@
+import math
+import random
+import re
 import zlib
 from collections import Counter
 
@@ -189,3 +192,45 @@ def test_documents_that_occur_twice_score_apart(spark, docs):
     got = {r["doc_id"]: r["mean_log_prob"] for r in lm_scoring.score(docs(*enumerate(texts), (100, texts[7]), (101, texts[31]))).collect()}
     twice = [got[i] for i in (7, 31, 100, 101)]
     assert min(twice) > max(v for i, v in got.items() if i not in (7, 31, 100, 101)) + 0.5
+
+
+def test_quality_word_by_word(spark, docs):
+    """Contexts, pooled features and scores, one token after the other."""
+    texts = ["one two two -- three", "a b c d e f g", "Größe, größer; 12.5 %%%", "", None, "x", " \t\n", "two " * 50, "one two\n\nthree one two three ..."]
+    rng = random.Random(4)
+    texts += [" ".join(rng.choice(["one", "two", "three", "é", "--", "a", "b"]) for _ in range(rng.randint(2, 40))) for _ in range(20)]
+    token = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff\t-\r ]+")
+    bucket = lambda w: int(quality.buckets(np.frombuffer(w, np.uint8), np.array([0, len(w)]))[0][0])
+    seqs = [[bucket(w) for w in token.findall((t or "").encode())] for t in texts]
+    context = np.zeros((quality.BUCKETS, quality.DIMS), np.int64)
+    for seq in seqs:
+        for i, w in enumerate(seq):
+            for j in range(max(0, i - quality.BESIDE), min(len(seq), i + quality.BESIDE + 1)):
+                for z in range(quality.NONZERO * (i != j)):
+                    context[w, quality._PLACE[z][seq[j]]] += quality._SIGN[z][seq[j]]
+    df = docs(*enumerate(texts)).repartition(3)
+    assert (quality.context_vectors(df) == context).all()
+    unit = {w: context[w] / n for w in {x for s in seqs for x in s} if (n := math.sqrt(sum(int(v) ** 2 for v in context[w])))}
+    mean = sum(unit.values()) / len(unit)
+    unit = {w: (v - mean) / np.linalg.norm(v - mean) for w, v in unit.items()}
+    zero = np.zeros(quality.DIMS)
+    want = []
+    for seq in seqs:
+        v = [unit.get(w, zero) for w in seq]
+        n = len(v) + quality.SHRINK
+        both = [a * b for a, b in zip(v[:-1], v[1:], strict=True)] if v else []
+        want.append(np.concatenate([sum(v, zero) / n, sum(both, zero) / n, [math.log(len(v))]]) if v else np.zeros(quality.FEATURES))
+    vectors = quality.word_vectors(context)
+    got = quality.pool(pa.array(texts, pa.string()), vectors)
+    np.testing.assert_allclose(got, np.array(want), atol=1e-5)
+    rng = np.random.default_rng(2)
+    model = quality.Model(
+        vectors, rng.normal(size=quality.FEATURES), rng.uniform(0.5, 2, quality.FEATURES), rng.normal(size=(quality.FEATURES, 16)), rng.normal(size=16), rng.normal(size=16), 0.3, 1.7
+    )
+    scores = {}
+    for i, x in enumerate(want):
+        hidden = [math.tanh(sum((x[d] - model.mean[d]) / model.scale[d] * model.w1[d, h] for d in range(len(x))) + model.b1[h]) for h in range(16)]
+        logit = sum(a * b for a, b in zip(hidden, model.w2, strict=True)) + model.b2
+        scores[i] = 1 / (1 + math.exp(-logit / model.temperature))
+    for r in quality.score(df, model).collect():
+        assert abs(r["score"] - scores[r["doc_id"]]) < 1e-3 and r["predicted"] == (r["score"] >= quality.ACCEPT)
