@@ -7,6 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.functions.lexicons import REVIEW_CLASSES
+from corpusmill.functions.text import any_hit
+
 # A fixed set of templates and words in the manner of shop reviews: ten for each class, eleven slots.
 TEMPLATES = {
     "positive": (
@@ -85,3 +88,13 @@ def reviews(
     seconds = F.pmod(F.xxhash64(key, F.lit("time")), F.lit(30 * 86400))
     stamp = F.date_format(F.timestamp_seconds(F.lit(1772323200) + seconds), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     return spark.range(1, n + 1).select(F.format_string("r-%06d", "id").alias("id"), text.alias("text"), stamp.alias("timestamp"))
+
+
+def class_counts(texts: DataFrame, classes: Sequence[tuple[str, Sequence[str]]] = REVIEW_CLASSES, other: str = "neutral") -> DataFrame:
+    """(kind, n): reviews by the first class of which a word stands in the text; all classes are listed."""
+    kind = F.lit(other)
+    for name, words in reversed(classes):
+        kind = F.when(any_hit(F.coalesce("text", F.lit("")), words), name).otherwise(kind)
+    names = texts.sparkSession.createDataFrame([(name,) for name in (*(n for n, _ in classes), other)], "kind string")
+    found = texts.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    return names.join(found, "kind", "left").select("kind", F.coalesce("n", F.lit(0)).alias("n"))

@@ -263,6 +263,9 @@ def test_generator_has_ten_templates_and_eleven_slots(spark):
     assert all(f"{{{s}}}" in used for s in generator.SLOTS)
     texts = [r["text"] for r in generator.reviews(spark, 500).collect()]
     assert not any("{" in t for t in texts) and len(set(texts)) > 300
+    df = spark.createDataFrame([(t,) for t in ("不好", "很差", "推荐", "", None, "卡顿")], "text string")
+    assert {r["kind"]: r["n"] for r in generator.class_counts(df).collect()} == {"positive": 2, "negative": 2, "neutral": 2}
+    assert {r["n"] for r in generator.class_counts(df.limit(0)).collect()} == {0}
 
 
 def test_latest_and_late_rows_add_up_after_a_restart(spark, tmp_path):

@@ -297,7 +297,7 @@ def test_printed_report(capsys, passed):
     assert ("gate passed" if passed else "gate failed") in capsys.readouterr().out
 
 
-@pytest.mark.parametrize("step", ["label", "embeddings", "evaluate"])
+@pytest.mark.parametrize("step", ["label", "evaluate"])
 def test_a_cycle_that_dies_between_steps_is_resumed(spark, tmp_path, monkeypatch, step):
     paths = {k: str(tmp_path / k) for k in ("bronze", "silver", "labeled", "embeddings")}
     config = Config(**paths, checkpoints=str(tmp_path / "ck"), dedup_mode="silver_anti_join", sample_size=5)
