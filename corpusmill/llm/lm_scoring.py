@@ -7,11 +7,12 @@ softmax) from the classes of the SIDE words to its left and to its right. Every
 document is masked once while training and once while scoring.
 
 What the corpus holds beyond that grows with it and stays partitioned: how often each word stands
-between the same two neighbours. Every chunk of documents sends its words, with the network's
-log-probabilities, to the parts that count words by their neighbours. There the counts, less the
-occurrence that is scored, are mixed into the network's probability by the weight of their
-evidence, and the sums for each document come back. A document's score is the sum of the
-conditional log-probabilities of all its words.
+between the same two neighbours. Every chunk of documents counts its words between their neighbours
+and sends these counts, one for each different key, to the parts that add them up; the corpus's
+counts of the chunk's keys come back. There they are, less the occurrence that is scored, mixed into
+the network's probability by the weight of their evidence. A document's score is the sum of the
+conditional log-probabilities of all its words. However common a pair of neighbours is, a chunk sends
+no more than 2^WORD_BITS counts for it.
 
 Training runs where the data is: in each round every task starts from the same weights,
 learns from the documents of its part that are dealt to the round, and the weights are averaged
@@ -308,50 +309,57 @@ def memory_keys(words: np.ndarray, places: np.ndarray, ends: np.ndarray) -> np.n
     return mix(before * _LEFT + after * _RIGHT) & ~low | (mix(words * _ODD) & low)[places]
 
 
-def _send(batches: Iterator[pa.RecordBatch], model: Model, parts: int) -> Iterator[pa.RecordBatch]:
-    """(chunk, part, keys, logs, docs): a chunk's words that a part counts, in order of documents."""
+def _parts(keys: np.ndarray, parts: int) -> np.ndarray:
+    """The part that counts a key: upper bits choose it, so that the lower KEY_BYTES are enough there. Ascends with the keys."""
+    return ((keys >> np.uint64(40)) * np.uint64(parts)) >> np.uint64(24)
+
+
+def _send(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """(chunk, part, keys, counts): a chunk's different keys that a part counts, ascending, and how often the chunk has them."""
     for batch in batches:
         for chunk, (words, places, ends) in zip(batch.column("chunk").to_pylist(), _unpack(batch), strict=True):
             if len(places) == 0:
                 continue
-            bucket = _bucket(words)
-            logs = model.log_probs(model.vocabulary.of_bucket[bucket][places], ends) + model.vocabulary.share[bucket][places]
-            keys = memory_keys(words, places, ends)
-            doc = np.repeat(np.arange(len(ends) - 1, dtype="<u4"), np.diff(ends))
-            # A key's upper bits choose its part, so that the lower ones are enough there.
-            part = ((keys >> np.uint64(40)) * np.uint64(parts)) >> np.uint64(24)
-            order = np.argsort(part, kind="stable")
-            cuts = [0, *(np.flatnonzero(np.diff(part[order])) + 1).tolist(), len(order)]
-            ranges = [order[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            keys, counts = np.unique(memory_keys(words, places, ends), return_counts=True)
+            part = _parts(keys, parts)
+            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(keys)]
+            ranges = list(zip(cuts[:-1], cuts[1:], strict=True))
             yield pa.record_batch(
                 {
                     "chunk": pa.array([chunk] * len(ranges)),
-                    "part": pa.array([int(part[x[0]]) for x in ranges]),
-                    "keys": pa.array([_short(keys[x], KEY_BYTES).tobytes() for x in ranges], pa.binary()),
-                    "logs": pa.array([logs[x].astype("<f2").tobytes() for x in ranges], pa.binary()),
-                    "docs": _pack(*(doc[x] for x in ranges)),
+                    "part": pa.array([int(part[x]) for x, _ in ranges]),
+                    "keys": pa.array([_short(keys[x:y], KEY_BYTES).tobytes() for x, y in ranges], pa.binary()),
+                    "counts": _pack(*(counts[x:y].astype("<u4") for x, y in ranges)),
                 }
             )
 
 
-def _sum_up(key: tuple, rows: pa.Table) -> pa.Table:
-    """(chunk, part, docs, sums): the log-probabilities of a part's words, added up for each document of a chunk."""
+def _add_up(key: tuple, rows: pa.Table) -> pa.Table:
+    """(chunk, part, n, counts): for each of a row's n keys how often all documents have it, then how often its neighbours have others."""
     keys = _long(np.frombuffer(b"".join(rows["keys"].to_pylist()), np.uint8), KEY_BYTES)
-    p = np.exp(np.frombuffer(b"".join(rows["logs"].to_pylist()), "<f2").astype(np.float64))
+    counts = np.concatenate([_open(x, "<u4") for x in rows["counts"].combine_chunks()])
     every, place = np.unique(keys, return_inverse=True)
-    n = np.bincount(place)
+    n = np.bincount(place, counts).astype(np.int64)
     around = every >> np.uint64(WORD_BITS)
     at = np.flatnonzero(np.concatenate([[True], around[1:] != around[:-1]]))
     total = np.repeat(np.add.reduceat(n, at), np.diff(np.append(at, len(every))))
-    logs = np.log((EVIDENCE * p + n[place] - 1) / (EVIDENCE + total[place] - 1))
-    docs, sums, first = [], [], 0
-    for packed in rows["docs"].combine_chunks():
-        doc = _open(packed, "<u4")
-        at = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
-        docs.append(doc[at])
-        sums.append(np.add.reduceat(logs[first : first + len(doc)], at))
-        first += len(doc)
-    return pa.table({"chunk": rows["chunk"], "part": rows["part"], "docs": _pack(*docs), "sums": _pack(*(x.astype("<f4") for x in sums))})
+    ends = np.cumsum([0, *(len(x.as_buffer()) // KEY_BYTES for x in rows["keys"].combine_chunks())])
+    back = (np.concatenate([n[x], total[x] - n[x]]) for x in (place[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)))
+    packed = _pack(*(x.astype("<u4" if x.max() < 1 << 32 else "<u8") for x in back))
+    return pa.table({"chunk": rows["chunk"], "part": rows["part"], "n": pa.array(np.diff(ends), pa.int32()), "counts": packed})
+
+
+def _counts_of(found: pa.Scalar, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """For a chunk's n different keys, ascending: how often all documents have them, and their neighbours."""
+    own, others = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for x in sorted(found.values or (), key=lambda x: x["part"].as_py()):
+        width = int.from_bytes(x["counts"].as_buffer()[:8].to_pybytes(), "little") // (2 * x["n"].as_py())
+        both = _open(x["counts"], f"<u{width}").astype(np.int64).reshape(2, -1)
+        own.append(both[0])
+        others.append(both[1])
+    own, others = np.concatenate(own), np.concatenate(others)
+    assert len(own) == n, "counts of a chunk's keys are missing"
+    return own, own + others
 
 
 def score(docs: DataFrame, rounds: int = ROUNDS, own: int = OWN, carry: list[str] | None = None) -> DataFrame:
@@ -359,33 +367,37 @@ def score(docs: DataFrame, rounds: int = ROUNDS, own: int = OWN, carry: list[str
 
     Columns of docs with these names are replaced. A text without words (null, empty, blank)
     has 0 tokens, log_prob 0 and a null mean. Repeated rows are each other's evidence and score
-    the same; equal texts have equal scores up to the rounding of log-probabilities to 11 bits. Long
-    texts are read whole. No rows give no rows.
+    the same; equal texts have equal scores up to rounding. Long texts are read whole. No rows give
+    no rows.
     """
     added = {"mean_log_prob": "double", "log_prob": "double", "n_tokens": "long"}
     tokens = tokenize(docs, [c for c in carry or docs.columns if c not in added])
     sent = docs.sparkSession.sparkContext.broadcast(train(tokens, rounds, own))
     parts = max(1, -(-(tokens.agg(F.sum("n")).first()[0] or 0) * KEY_BYTES // PART_BYTES))
-    words = tokens.select("chunk", *_PACKED).mapInArrow(
-        lambda batches: _send(batches, sent.value, parts), "chunk long, part long, keys binary, logs binary, docs binary"
-    )
-    found = words.groupBy("part").applyInArrow(_sum_up, "chunk long, part long, docs binary, sums binary")
-    found = found.groupBy("chunk").agg(F.collect_list(F.struct("part", "docs", "sums")).alias("found"))
+    sends = "chunk long, part long, keys binary, counts binary"
+    words = tokens.select("chunk", *_PACKED).mapInArrow(lambda batches: _send(batches, parts), sends)
+    found = words.groupBy("part").applyInArrow(_add_up, "chunk long, part long, n int, counts binary")
+    found = found.groupBy("chunk").agg(F.collect_list(F.struct("part", "n", "counts")).alias("found"))
     out = StructType().add("row", tokens.schema["rows"].dataType.elementType)
     for name, kind in added.items():
         out = out.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sent.value
         for batch in batches:
-            for i in range(batch.num_rows):
-                n = np.diff(_open(batch.column("ends")[i], "<i8"))
-                total = np.zeros(len(n))
-                for x in sorted(batch.column("found")[i].values or (), key=lambda x: x["part"].as_py()):
-                    total[_open(x["docs"], "<u4")] += _open(x["sums"], "<f4")
+            for i, (words, places, ends) in enumerate(_unpack(batch)):
+                n, total = np.diff(ends), np.zeros(len(ends) - 1)
+                if len(places):
+                    every, key = np.unique(memory_keys(words, places, ends), return_inverse=True)
+                    own, around = _counts_of(batch.column("found")[i], len(every))
+                    bucket = _bucket(words)
+                    p = np.exp(model.log_probs(model.vocabulary.of_bucket[bucket][places], ends) + model.vocabulary.share[bucket][places])
+                    logs = np.log((EVIDENCE * p + own[key] - 1) / (EVIDENCE + around[key] - 1))
+                    total[n > 0] = np.add.reduceat(logs, ends[:-1][n > 0])
                 mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
                 yield pa.RecordBatch.from_arrays([batch.column("rows").slice(i, 1).flatten(), mean, pa.array(total), pa.array(n)], out.names)
 
-    scored = tokens.select("chunk", "rows", "ends").join(found, "chunk", "left").mapInArrow(run, out)
+    scored = tokens.select("chunk", "rows", *_PACKED).join(found, "chunk", "left").mapInArrow(run, out)
     return scored.select("row.*", *added)
 
 
