@@ -48,6 +48,21 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stash_buckets(df: DataFrame, name: str, key: str, n: int) -> DataFrame:
+    """`stash`, dealt to n buckets by `key`: a join with rows in n partitions by that column does not shuffle these files.
+
+    Only the catalog records buckets, so the files are a table of it until they are read; they outlive it.
+    """
+    spark = df.sparkSession
+    name = f"{name}_{uuid.uuid4().hex}"
+    held = f"spark_catalog.default.`{name}`"
+    df.write.format("parquet").bucketBy(n, key).option("path", f"{shared_dir(spark)}/{name}").saveAsTable(held)
+    try:
+        return spark.read.table(held)
+    finally:
+        spark.sql(f"DROP TABLE {held}")
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string column and the offsets of its rows; a null row is empty."""
     column = column.cast(pa.large_string()) if not pa.types.is_large_string(column.type) else column

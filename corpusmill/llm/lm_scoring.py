@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
-from corpusmill.llm.common import block_rows, chunks, mix, stash, sum_blocks, table, token_runs, utf8
+from corpusmill.llm.common import block_rows, chunks, mix, stash_buckets, sum_blocks, table, token_runs, utf8
 
 DIGIT = 16
 CLASSES = DIGIT**3
@@ -47,6 +47,7 @@ BATCH = 1024
 RATE = 0.05
 SEED = 11
 EVIDENCE = 4  # occurrences of a pair of neighbours at which memory and network weigh the same
+TASK_WORDS = 1 << 25  # that a task learns from, or fewer, as the tasks that wrote the chunks had
 PART_BYTES = 4 << 20  # of keys that a task counts at once
 KEY_BYTES = 5
 WORD_BITS = 13  # of a key; the others stand for the neighbours
@@ -87,8 +88,12 @@ def _long(data: np.ndarray, width: int) -> np.ndarray:
     return out.view("<u8")[:, 0]
 
 
+def _buckets(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def tokenize(docs: DataFrame, carry: list[str]) -> DataFrame:
-    """Chunks of documents, written: (chunk, rows, n, words, places, ends).
+    """Chunks of documents, written in buckets by chunk: (chunk, rows, n, words, places, ends).
 
     rows holds the columns `carry` of the chunk's documents, words the 48-bit hashes of its distinct
     words, places the n words of the documents as places in these, and ends the offsets of the
@@ -113,7 +118,7 @@ def tokenize(docs: DataFrame, carry: list[str]) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([chunk]), rows, pa.array([len(h)]), *packed], out.names)
                 chunk += 1
 
-    return stash(docs.mapInArrow(run, out), "lm-tokens")
+    return stash_buckets(docs.mapInArrow(run, out), "lm_tokens", "chunk", _buckets(docs.sparkSession))
 
 
 _PACKED = ["words", "places", "ends"]
@@ -289,7 +294,12 @@ class Model:
 
 
 def train(tokens: DataFrame, rounds: int = ROUNDS, own: int = OWN) -> Model:
-    """Counts and network from all documents; without words the network stays as it starts."""
+    """Counts and network from all documents; without words the network stays as it starts.
+
+    As many tasks learn as wrote the chunks: buckets make many small files, and a task that reads few of them learns little.
+    """
+    size = tokens.agg(F.count_distinct(F.shiftright("chunk", 32)).alias("writers"), F.sum("n").alias("words")).first()
+    tokens = tokens.coalesce(max(1, size["writers"], -(-(size["words"] or 0) // TASK_WORDS)))
     vocabulary = Vocabulary.of(count_words(tokens), own)
     sent = tokens.sparkSession.sparkContext.broadcast(vocabulary)
     weights = start_weights(vocabulary)
@@ -377,7 +387,7 @@ def score(docs: DataFrame, rounds: int = ROUNDS, own: int = OWN, carry: list[str
     sends = "chunk long, part long, keys binary, counts binary"
     words = tokens.select("chunk", *_PACKED).mapInArrow(lambda batches: _send(batches, parts), sends)
     found = words.groupBy("part").applyInArrow(_add_up, "chunk long, part long, n int, counts binary")
-    found = found.groupBy("chunk").agg(F.collect_list(F.struct("part", "n", "counts")).alias("found"))
+    found = found.repartition(_buckets(docs.sparkSession), "chunk").groupBy("chunk").agg(F.collect_list(F.struct("part", "n", "counts")).alias("found"))
     out = StructType().add("row", tokens.schema["rows"].dataType.elementType)
     for name, kind in added.items():
         out = out.add(name, kind)

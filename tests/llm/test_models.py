@@ -134,6 +134,26 @@ def test_lm_scores_equal_brute_force(spark, docs, monkeypatch):
     assert lm_scoring.score(d.limit(0)).collect() == []
 
 
+def test_chunks_are_joined_where_they_lie(spark, docs, monkeypatch):
+    """Only keys and counts are shuffled, not the chunks; tasks learn from as much as the tasks wrote; no table stays."""
+    learn, real = [], lm_scoring.count_words
+    monkeypatch.setattr(lm_scoring, "count_words", lambda tokens: learn.append(tokens.rdd.getNumPartitions()) or real(tokens))
+    tables = spark.catalog.listTables()
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.execution.arrow.maxRecordsPerBatch": "5"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        scored = lm_scoring.score(docs(*((i, f"a b{i % 7} c") for i in range(80))).coalesce(1))
+        plan = scored._jdf.queryExecution().executedPlan().toString()
+        got = {r["doc_id"]: r for r in scored.collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert plan.count("Exchange hashpartitioning(chunk#") == 1 and learn == [1] and spark.catalog.listTables() == tables
+    assert len(got) == 80 and all(r["n_tokens"] == 3 and abs(r["log_prob"] - got[i % 7]["log_prob"]) < 1e-3 for i, r in got.items())
+
+
 def test_class_distribution_sums_to_one():
     rng = np.random.default_rng(1)
     v = lm_scoring.Vocabulary(np.zeros(0, np.uint16), np.zeros(0, np.float32), rng.integers(0, 50, lm_scoring.CLASSES))
