@@ -77,6 +77,17 @@ def _open(value: pa.Scalar, kind: str) -> np.ndarray:
     return np.frombuffer(pa.decompress(data[8:], int.from_bytes(data[:8].to_pybytes(), "little"), _ZIP), kind)
 
 
+def _narrow(numbers: np.ndarray) -> np.ndarray:
+    """The numbers in as few bytes each as the largest needs: 1, 2, 4 or 8."""
+    return numbers.astype(np.min_scalar_type(int(numbers.max())))
+
+
+def _widen(value: pa.Scalar, n: int) -> np.ndarray:
+    """What `_pack` made of n numbers of `_narrow`."""
+    width = int.from_bytes(value.as_buffer()[:8].to_pybytes(), "little") // n
+    return _open(value, f"<u{width}").astype(np.int64)
+
+
 def _short(numbers: np.ndarray, width: int) -> np.ndarray:
     """The lower `width` bytes of each number."""
     return numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
@@ -339,7 +350,7 @@ def _send(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBa
                     "chunk": pa.array([chunk] * len(ranges)),
                     "part": pa.array([int(part[x]) for x, _ in ranges]),
                     "keys": pa.array([_short(keys[x:y], KEY_BYTES).tobytes() for x, y in ranges], pa.binary()),
-                    "counts": _pack(*(counts[x:y].astype("<u4") for x, y in ranges)),
+                    "counts": _pack(*(_narrow(counts[x:y]) for x, y in ranges)),
                 }
             )
 
@@ -347,15 +358,15 @@ def _send(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBa
 def _add_up(key: tuple, rows: pa.Table) -> pa.Table:
     """(chunk, part, n, counts): for each of a row's n keys how often all documents have it, then how often its neighbours have others."""
     keys = _long(np.frombuffer(b"".join(rows["keys"].to_pylist()), np.uint8), KEY_BYTES)
-    counts = np.concatenate([_open(x, "<u4") for x in rows["counts"].combine_chunks()])
+    ends = np.cumsum([0, *(len(x.as_buffer()) // KEY_BYTES for x in rows["keys"].combine_chunks())])
+    counts = np.concatenate([_widen(x, n) for x, n in zip(rows["counts"].combine_chunks(), np.diff(ends).tolist(), strict=True)])
     every, place = np.unique(keys, return_inverse=True)
     n = np.bincount(place, counts).astype(np.int64)
     around = every >> np.uint64(WORD_BITS)
     at = np.flatnonzero(np.concatenate([[True], around[1:] != around[:-1]]))
     total = np.repeat(np.add.reduceat(n, at), np.diff(np.append(at, len(every))))
-    ends = np.cumsum([0, *(len(x.as_buffer()) // KEY_BYTES for x in rows["keys"].combine_chunks())])
     back = (np.concatenate([n[x], total[x] - n[x]]) for x in (place[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)))
-    packed = _pack(*(x.astype("<u4" if x.max() < 1 << 32 else "<u8") for x in back))
+    packed = _pack(*(_narrow(x) for x in back))
     return pa.table({"chunk": rows["chunk"], "part": rows["part"], "n": pa.array(np.diff(ends), pa.int32()), "counts": packed})
 
 
@@ -363,8 +374,7 @@ def _counts_of(found: pa.Scalar, n: int) -> tuple[np.ndarray, np.ndarray]:
     """For a chunk's n different keys, ascending: how often all documents have them, and their neighbours."""
     own, others = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for x in sorted(found.values or (), key=lambda x: x["part"].as_py()):
-        width = int.from_bytes(x["counts"].as_buffer()[:8].to_pybytes(), "little") // (2 * x["n"].as_py())
-        both = _open(x["counts"], f"<u{width}").astype(np.int64).reshape(2, -1)
+        both = _widen(x["counts"], 2 * x["n"].as_py()).reshape(2, -1)
         own.append(both[0])
         others.append(both[1])
     own, others = np.concatenate(own), np.concatenate(others)
